@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, sharding
+from . import line_dedup, near_dedup, packing, sharding, suffix_dedup
 from ._common import scratch_dir, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arrive source by source; what the last manifest lists is read back."""
     docs = table(spark, sf_dir, "documents")
@@ -31,7 +39,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_line_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_line_dedup, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLES = {
