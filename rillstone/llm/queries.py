@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dedup, packing, sharding, suffix_dedup
+from . import decontam, line_dedup, near_dedup, packing, sharding, suffix_dedup
 from ._common import scratch_dir, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_line_dedup, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_line_dedup, op6_benchmark_decontamination, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLES = {
@@ -53,5 +57,13 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE h.key IS NOT NULL) AS n_dropped,
           sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE h.key IS NULL), '')) AS kept_sha256
         FROM lines l LEFT JOIN hot h ON l.key = h.key GROUP BY row_id, doc_id""",
+    "op6_benchmark_decontamination": r"""
+        WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+        i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+        ds AS (SELECT DISTINCT row_id, doc_id, array_to_string(w[k : k + 4], ' ') AS s FROM (SELECT row_id, doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d)),
+        its AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS k FROM i)),
+        n AS (SELECT item_id, count(*) AS n FROM its GROUP BY item_id)
+        SELECT doc_id, item_id, count(*) AS n_shared, n AS n_shingles FROM ds JOIN its USING (s) JOIN n USING (item_id)
+        GROUP BY row_id, doc_id, item_id, n HAVING count(*) * 10 >= n * 8""",
     "op10_sharding": "SELECT doc_id, lang, source, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents",
 }
