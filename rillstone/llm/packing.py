@@ -25,44 +25,94 @@ END_ID = 0
 #: Rows that one task ranks.
 RANKED_ROWS = 50_000
 PLAN_ROWS = 200_000
-CACHE_WORDS, CACHED_LENGTH = 300_000, 48
+CACHE_WORDS, CACHED_LENGTH = 400_000, 48
+JOINED_WORDS, OUTPUT_ROWS = 4096, 512
+_TAIL = ".,;:!?"
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """(doc_id, piece, start, length, ids): ids are little-endian unsigned 32-bit, the document's last one is END_ID.
+class WordEncoder:
+    """Ids of texts, as little-endian unsigned 32-bit bytes, from a vocabulary that drops white space and marks word ends.
 
-    White space never reaches this vocabulary's ids, and no rule of it looks across a space or line feed, so a text's ids
-    are those of its parts between them. Parts are encoded once per task and remembered.
+    White space never reaches the ids, and no rule of the vocabulary looks across a space or line feed, so a text's ids are
+    those of its parts between them. A part that ends in a letter before closing punctuation is two such parts, and ASCII
+    parts are alike in either case, as the vocabulary lower-cases. Parts are remembered; new ones of letters alone are
+    encoded many at a time and told apart by their word-end ids, each of the others by itself.
     """
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        tokenizer, known = Tokenizer.from_file(vocabulary), {"": b""}
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _single(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encode(self, new: list[str]) -> dict[str, bytes]:
+        out = {p: self._single(p) for p in new if not p.isalpha()}
+        words = [p for p in new if p.isalpha()]
+        for at in range(0, len(words), JOINED_WORDS):
+            some = words[at : at + JOINED_WORDS]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cut = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1)) * 4
+            if len(cut) == len(some) + 1:  # each is one word of the vocabulary's rule
+                raw, cut = ids.tobytes(), cut.tolist()
+                out.update(zip(some, (raw[a:b] for a, b in zip(cut, cut[1:], strict=False)), strict=True))
+            else:
+                out.update((p, self._single(p)) for p in some)
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        if len(self.parts) > CACHE_WORDS:
+            self.older, self.parts = self.parts, {}
+        parts, older = self.parts, self.older
+        missing = set().union(*split).difference(parts)
+        again = {p: older[p] for p in missing if p in older}
+        parts.update(again)
+        missing.difference_update(again)
+        of = {}
+        for p in missing:
+            low = p.lower() if p.isascii() else p
+            body = low.rstrip(_TAIL)
+            of[p] = (body, low[len(body) :]) if body and body[-1].isalpha() else (low, "")
+        pieces = {x for xs in of.values() for x in xs if x}
+        known = {x: y for x in pieces if (y := parts.get(x) or older.get(x)) is not None}
+        known |= self._encode(list(pieces.difference(known))) | {"": b""}
+        here = {p: known[a] + known[b] for p, (a, b) in of.items()}
+        for x, y in (*known.items(), *here.items()):
+            if len(x) <= CACHED_LENGTH:
+                parts[x] = y
+        whole = parts if all(len(x) <= CACHED_LENGTH for x in missing) else parts | here
+        return [b"".join(map(whole.__getitem__, ps)) for ps in split]
+
+
+#: One encoder for each vocabulary in a Python worker, which Spark uses for one task after another.
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """(doc_id, piece, start, length, ids): ids are little-endian unsigned 32-bit, the document's last one is END_ID."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if vocabulary not in _ENCODERS:
+            _ENCODERS[vocabulary] = WordEncoder(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            rows = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                parts = [(t or "").replace("\n", " ").split(" ") for t in texts[at : at + 256]]
-                new = list({p for ps in parts for p in ps if p not in known})
-                here = {}
-                if new:
-                    made = tokenizer.encode_batch(new, add_special_tokens=False)
-                    here = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, made, strict=True)}
-                    if len(known) + len(here) > CACHE_WORDS:
-                        here = known | here
-                        known = {"": b""}
-                    else:
-                        known.update((p, v) for p, v in here.items() if len(p) <= CACHED_LENGTH)
-                for doc_id, ps in zip(ids[at : at + 256], parts, strict=True):
-                    whole = b"".join([known[p] if p in known else here[p] for p in ps]) + end
+            for at in range(0, len(batch), OUTPUT_ROWS):
+                part = batch.slice(at, OUTPUT_ROWS)
+                rows = []
+                for doc_id, ids in zip(part.column(0).to_pylist(), _ENCODERS[vocabulary].encode(part.column(1).to_pylist()), strict=True):
+                    whole = ids + end
                     for piece, start in enumerate(range(0, len(whole), 4 * max_tokens)):
                         cut = whole[start : start + 4 * max_tokens]
-                        for k, v in zip(rows, (doc_id, piece, start // 4, len(cut) // 4, cut), strict=True):
-                            rows[k].append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), kinds, strict=True)})
+                        rows.append((doc_id, piece, start // 4, len(cut) // 4, cut))
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(encode, "doc_id long, piece int, start long, length long, ids binary")
 

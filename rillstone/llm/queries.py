@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, near_dedup, packing, sharding, suffix_dedup
+from . import decontam, line_dedup, near_dedup, packing, sharding, suffix_dedup, toxicity
 from ._common import scratch_dir, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,18 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _remainder(doc_id: str) -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(_remainder("doc_id") != 0))
+    done = toxicity.score(docs, model)
+    evidence = F.concat_ws(";", F.transform("evidence", lambda e: F.concat_ws(":", e["example"], e["label"], e["cosine"])))
+    return done.select("doc_id", (_remainder("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), evidence.alias("evidence"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
@@ -43,7 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_line_dedup, op6_benchmark_decontamination, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_line_dedup, op6_benchmark_decontamination, op7_toxicity, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLES = {

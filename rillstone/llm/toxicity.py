@@ -27,7 +27,7 @@ from ._common import save, small
 
 WORDS = re.compile(r"\w+")
 MAX_EXAMPLES = 20_000
-MAX_TERMS, MIN_TERM_EXAMPLES, MIN_CHI_SQUARE = 5_000, 8, 15.0
+MAX_TERMS, MIN_TERM_EXAMPLES, MIN_CHI_SQUARE = 5_000, 4, 30.0
 K, BLOCK, SMOOTH = 15, 64, 0.05
 EVIDENCE = 3
 #: Vectors a task remembers the score of.
