@@ -8,17 +8,30 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, near_dedup, packing, sharding, suffix_dedup, toxicity
+from . import decontam, line_dedup, near_dedup, packing, pii, sharding, suffix_dedup, toxicity, url_filter
 from ._common import scratch_dir, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 MIN_LINE_DOCS, MIN_LINE_LENGTH = 10, 1
 
 
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pii_spans(table(spark, sf_dir, "documents"))
+    counts = [pii.n_of(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_docs=MIN_LINE_DOCS, min_length=MIN_LINE_LENGTH)
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -55,7 +68,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_line_dedup, op6_benchmark_decontamination, op7_toxicity, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op4_pii, op5_line_dedup, op6_benchmark_decontamination, op7_toxicity, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLES = {
