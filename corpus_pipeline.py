@@ -1,2 +1,55 @@
+"""The corpus pipeline: toxicity, line dedup, near-dedup, benchmark decontamination, best-fit packing."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillstone.llm import decontam, line_dedup, near_dedup, packing, toxicity
+from rillstone.llm._common import save, table
+from rillstone.llm.queries import MIN_LINE_DOCS, MIN_LINE_LENGTH, VOCABULARY
+
+#: Documents with this score or more are rejected.
+TOXIC_FROM = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score stays below TOXIC_FROM, learnt from all labels. Texts are judged, so null and repeated ids
+    are kept or rejected row by row."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_rows(docs, model)
+    return scored.filter(F.col("score") < TOXIC_FROM).select("row.*")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many of them repeat; texts that become empty stay as empty documents."""
+    done = line_dedup.drop_repeated_lines(docs, min_docs=MIN_LINE_DOCS, min_length=MIN_LINE_LENGTH, carry=("lang", "source"))
+    return done.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near_dedup.keep_one(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all remaining documents with their sequence and offset."""
+    return packing.pack_documents(docs, VOCABULARY)
+
+
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_lines), ("minhash_near_dedup", drop_near_copies), ("benchmark_decontamination", drop_benchmark), ("best_fit_packing", pack)]
+#: No SQL here fits a classifier, bands signatures or tokenises; tests hold each stage against brute force.
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each but the last is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = save(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

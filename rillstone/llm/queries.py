@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, near_dedup, packing, pii, sharding, suffix_dedup, toxicity, url_filter
+from . import decontam, line_dedup, media, near_dedup, packing, pii, sharding, suffix_dedup, toxicity, url_filter
 from ._common import scratch_dir, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.document_media(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(table(spark, sf_dir, "documents"))
     counts = [pii.n_of(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
@@ -68,7 +72,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op4_pii, op5_line_dedup, op6_benchmark_decontamination, op7_toxicity, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_best_fit_packing, op3_media_columns, op4_pii, op5_line_dedup, op6_benchmark_decontamination, op7_toxicity, op8_minhash_near_dedup, op9_suffix_dedup, op10_sharding)}
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLES = {

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import save, small
+from ._common import save
 
 WORDS = re.compile(r"\w+")
 MAX_EXAMPLES = 20_000
@@ -212,16 +212,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(idf, [(r["id"], r["label"], dict(zip(r["terms"], r["tf"], strict=True))) for r in rows])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, evidence): evidence is an array of the nearest examples (id, label, cosine)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, score, evidence) of (row, text)."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
         for batch in batches:
             found = [sent.value.score(t) for t in batch.column(1).to_pylist()]
             evidence = [[{"example": i, "label": y, "cosine": c} for i, y, c in e] for _, e in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(evidence, kind)], ["id", "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(evidence, kind)], ["row", "score", "evidence"])
+
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, evidence array<struct<example: long, label: int, cosine: double>>")
+
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "id long, score double, evidence array<struct<example: long, label: int, cosine: double>>")
-    return rows.select(F.col("id").alias(id_col), "score", "evidence")
+def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """(row, score, evidence): row is the whole input row; evidence an array of the nearest examples (id, label, cosine)."""
+    return _scored(docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string")), model)
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score, evidence)."""
+    return _scored(docs.select(F.col(id_col).alias("row"), F.col(text_col).cast("string")), model).withColumnRenamed("row", id_col)
