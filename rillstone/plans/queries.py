@@ -1 +1,543 @@
-QUERIES = {}
+"""The reference's queries over the driver tables: (spark, sf_dir) -> DataFrame of scalar columns."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillstone.functions import keys
+from rillstone.functions.fields import alias, identity_text, present
+from rillstone.operators import context, contracts, release, summarize, validate
+from rillstone.plans import rulebook as rb
+from rillstone.plans.views import view
+from rillstone.sources import payloads, records
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+C = F.col
+STATUS = ["row_number", "validation_status", "validation_notes"]
+#: Labels of batches in the routing queries, by row number.
+LABELS = ["nature_geoscience_waters", "science_advances ocean", "EST TFA rebuild", "latest test", "plain"]
+
+
+def query(f):
+    QUERIES[f"q_{f.__name__}"] = f
+    return f
+
+
+def joined(array: str) -> Column:
+    return F.array_join(array, "; ")
+
+
+def audited(spark: SparkSession, sf: str, book: rb.Rulebook = rb.GENERIC) -> DataFrame:
+    return validate.audit(view(spark, sf, "r1"), book)
+
+
+def out(df: DataFrame) -> DataFrame:
+    return df.select("row_number", "applied_rulebook", "validation_status", joined("validation_notes").alias("notes"))
+
+
+# Record audit
+
+
+@query
+def audit_rows(spark, sf):
+    return out(audited(spark, sf))
+
+
+@query
+def audit_counts(spark, sf):
+    return validate.status_counts(audited(spark, sf))
+
+
+@query
+def audit_notes_freq(spark, sf):
+    return validate.note_counts(audited(spark, sf))
+
+
+@query
+def duplicates(spark, sf):
+    flagged = audited(spark, sf).filter(F.array_contains("validation_notes", validate.REPEATED))
+    return flagged.select("row_number", "validation_status")
+
+
+@query
+def duplicate_groups(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    sizes = validate.repeated_identities(docs, F.lower(F.trim("text")))
+    return sizes.groupBy(C("_n").alias("copies")).agg(F.count("*").alias("n_groups"))
+
+
+def _batches(df: DataFrame) -> DataFrame:
+    return df.withColumn("label", F.get(F.array(*map(F.lit, LABELS)), (C("row_number") % len(LABELS)).cast("int")))
+
+
+@query
+def multi_rulebook(spark, sf):
+    names = F.get(F.array(*map(F.lit, rb.RULEBOOKS)), (C("row_number") % 4).cast("int"))
+    return out(validate.audit_many(view(spark, sf, "r1").withColumn("book", names), "book", list(rb.RULEBOOKS.values())))
+
+
+@query
+def route_label(spark, sf):
+    routed = rb.route_by_label(_batches(view(spark, sf, "r1")), F.array("label"), "by_word")
+    routed = rb.route_by_label(routed, F.array("label"), "by_substring", substring=True)
+    return routed.groupBy("label", "by_word", "by_substring").agg(F.count("*").alias("n"))
+
+
+@query
+def route_columns(spark, sf):
+    rows = _batches(view(spark, sf, "r1"))
+    fields = F.when(C("label").startswith("science"), F.array(*map(F.lit, rows.columns))).when(C("label").startswith("nature"), F.array(F.lit("doi"), F.lit("value_min"))).when(C("label").startswith("EST"), F.array(F.lit("reference_resolution_status"))).otherwise(F.array(F.lit("doi")))
+    return rb.route_by_columns(rows.withColumn("fields", fields), "label", C("fields"))
+
+
+@query
+def rule_table(spark, sf):
+    default = rb.rule_table(spark, [rb.GENERIC])
+    merged = rb.with_defaults(rb.rule_table(spark, [rb.RECORD]).filter("rule_kind in ('required_fields', 'review_if_missing')"), default)
+    rules = merged.select("rule_kind", "ordinal", F.explode("field_group").alias("field"))
+    rows = view(spark, sf, "r1")
+    held = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), present(rows, c).isNotNull().cast("long").alias("has")) for c in ("doi", "matrix", "unit_original", "unit_standardized", "paper_title", "evidence_page")])))
+    return rules.join(held.groupBy("field").agg(F.sum("has").alias("n_present")), "field").select("rule_kind", "ordinal", "field", "n_present")
+
+
+@query
+def row_numbers(spark, sf):
+    return validate.numbered(view(spark, sf, "r1").select(C("row_number").alias("position"), "country"), "position").select("position", "row_number")
+
+
+# Keys
+
+
+@query
+def doi_inventory(spark, sf):
+    return context.doi_inventory(view(spark, sf, "r1"))
+
+
+@query
+def doi_from_text(spark, sf):
+    found = payloads.dois_of_texts(view(spark, sf, "r3"), "text", "doc_id")
+    return found.select("doi", C("first.doc_id").alias("first_doc"), C("first.pos").alias("first_pos"))
+
+
+@query
+def publisher_mix(spark, sf):
+    routed = contracts.doi_routes(context.doi_inventory(view(spark, sf, "r1")))
+    return routed.groupBy("publisher", "supported", "failure_reason").agg(F.count("*").alias("n"))
+
+
+@query
+def doi_slug(spark, sf):
+    return context.doi_inventory(view(spark, sf, "r1")).select("doi", keys.slug(C("doi")).alias("slug"))
+
+
+@query
+def iso3(spark, sf):
+    return view(spark, sf, "r1").select("row_number", keys.iso3(C("country")).alias("iso3"))
+
+
+@query
+def country_inventory(spark, sf):
+    return context.country_inventory(view(spark, sf, "r1"))
+
+
+@query
+def safe_number(spark, sf):
+    return view(spark, sf, "r1").select("row_number", F.round(keys.number(C("value_numeric")), 6).alias("value"))
+
+
+# Summaries
+
+
+def _summary(df: DataFrame) -> DataFrame:
+    return df.withColumn("mean", F.round("mean", 6)).withColumn("min", F.round("min", 6)).withColumn("max", F.round("max", 6))
+
+
+@query
+def numeric_summary(spark, sf):
+    return _summary(summarize.numeric_summary(summarize.numeric_values(view(spark, sf, "r1"))))
+
+
+@query
+def numeric_by_column(spark, sf):
+    return _summary(summarize.numeric_summary(summarize.numeric_values(view(spark, sf, "r1")), "column"))
+
+
+@query
+def numeric_lineitem(spark, sf):
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select(C("l_quantity").alias("value_numeric"), C("l_extendedprice").alias("value_max"), C("l_discount").alias("value_min"))
+    return _summary(summarize.numeric_summary(summarize.numeric_values(items), "column"))
+
+
+@query
+def threshold_summary(spark, sf):
+    return summarize.threshold_summary(view(spark, sf, "r1"))
+
+
+def _top(spark, sf, key: str) -> DataFrame:
+    rows = view(spark, sf, "r1")
+    return summarize.top(summarize.counts(rows, alias(rows, key)))
+
+
+@query
+def top_pollutants(spark, sf):
+    return _top(spark, sf, rb.POLLUTANT)
+
+
+@query
+def top_matrices(spark, sf):
+    return _top(spark, sf, "matrix")
+
+
+@query
+def top_geographies(spark, sf):
+    return _top(spark, sf, rb.GEOGRAPHY)
+
+
+@query
+def trend_counts(spark, sf):
+    rows = view(spark, sf, "r1")
+    return summarize.counts(rows, present(rows, "trend_direction")).select("key", "n")
+
+
+@query
+def key_counts(spark, sf):
+    rows = view(spark, sf, "r1")
+    return summarize.several_counts(rows, {"pollutant": alias(rows, rb.POLLUTANT), "matrix": present(rows, "matrix"), "geography": alias(rows, rb.GEOGRAPHY), "trend": present(rows, "trend_direction")})
+
+
+def _table(spark, sf, key: str) -> DataFrame:
+    rows = view(spark, sf, "r1")
+    return summarize.group_table(rows, alias(rows, key))
+
+
+@query
+def pollutant_table(spark, sf):
+    return _table(spark, sf, rb.POLLUTANT)
+
+
+@query
+def matrix_table(spark, sf):
+    return _table(spark, sf, "matrix")
+
+
+@query
+def geography_table(spark, sf):
+    return _table(spark, sf, rb.GEOGRAPHY)
+
+
+# Context
+
+
+def _dims(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    a = context.last_row(view(spark, sf, "d1"), "doi", "load_order").drop("load_order")
+    b = context.last_row(view(spark, sf, "d2"), "doi", "load_order").drop("load_order").withColumn("top_concepts", F.split("concepts_text", ";"))
+    maps = context.indicator_maps(context.latest_indicators(view(spark, sf, "d3")).withColumn("pos", F.lit(0)), "pos")
+    return a, b, maps
+
+
+def _enriched(spark, sf) -> DataFrame:
+    return context.enrich(view(spark, sf, "r1"), *_dims(spark, sf))
+
+
+@query
+def enrich_a(spark, sf):
+    return _enriched(spark, sf).select("row_number", C("context.crossref.publisher").alias("publisher"), C("context.crossref.journal").alias("journal"), C("context.crossref.year").alias("year"), C("context.crossref.citation_count").alias("citation_count"))
+
+
+@query
+def enrich_b(spark, sf):
+    return _enriched(spark, sf).select("row_number", C("context.openalex.journal").alias("journal"), C("context.openalex.cited_by_count").alias("cited_by_count"), C("context.openalex.is_oa").alias("is_oa"), F.array_join("context.openalex.top_concepts", ";").alias("concepts"))
+
+
+@query
+def enrich_country(spark, sf):
+    i = C("context.world_bank.indicators")
+    return _enriched(spark, sf).select("row_number", C("context.world_bank.country_iso3").alias("country_iso3"), F.size(i).cast("long").alias("n_indicators"), i["SP.POP.TOTL"].alias("population"))
+
+
+@query
+def enriched_flat(spark, sf):
+    flat = _enriched(spark, sf)
+    return flat.groupBy(C("context.crossref.doi").isNotNull().alias("in_a"), C("context.openalex.doi").isNotNull().alias("in_b"), (F.size("context.world_bank.indicators") > 0).alias("has_indicators")).agg(F.count("*").alias("n"))
+
+
+@query
+def context_top_publishers(spark, sf):
+    rows = _enriched(spark, sf)
+    return summarize.top(summarize.counts(rows, C("context.crossref.publisher")))
+
+
+@query
+def context_top_journals(spark, sf):
+    rows = _enriched(spark, sf)
+    return summarize.top(summarize.counts(rows, F.coalesce("context.crossref.journal", "context.openalex.journal")))
+
+
+@query
+def dimension_publishers(spark, sf):
+    return summarize.top(summarize.counts(view(spark, sf, "d1"), C("publisher"), "load_order"))
+
+
+@query
+def concepts(spark, sf):
+    return context.exploded_counts(_enriched(spark, sf), C("context.openalex.top_concepts")).orderBy(F.desc("n"), "first_row")
+
+
+@query
+def indicator_coverage(spark, sf):
+    return summarize.top(context.exploded_counts(_enriched(spark, sf), F.map_keys("context.world_bank.indicators")), None).select("key", "n")
+
+
+@query
+def context_sizes(spark, sf):
+    return context.context_sizes(view(spark, sf, "d1"), view(spark, sf, "d2"), view(spark, sf, "d3"))
+
+
+@query
+def context_overview(spark, sf):
+    return context.context_overview(view(spark, sf, "r1"))
+
+
+@query
+def latest_indicator(spark, sf):
+    return context.latest_indicators(view(spark, sf, "d3"))
+
+
+@query
+def request_manifest(spark, sf):
+    return context.request_manifest(view(spark, sf, "r1"))
+
+
+@query
+def fetch_results(spark, sf):
+    manifest = context.request_manifest(view(spark, sf, "r1"))
+    landed = view(spark, sf, "d1").select(F.lit("works_a").alias("service"), C("doi").alias("request_key")).unionByName(view(spark, sf, "d2").select(F.lit("works_b").alias("service"), C("doi").alias("request_key")))
+    return context.fetch_results(manifest, landed).groupBy("service", "status").agg(F.count("*").alias("n"))
+
+
+# Payloads, made from the dimensions
+
+
+@query
+def flatten_a(spark, sf):
+    d = view(spark, sf, "d1")
+    dates = lambda y: F.struct(F.array(F.array(y)).alias("date-parts"))
+    none = F.lit(None).cast("struct<`date-parts`: array<array<int>>>")
+    odd = C("load_order") % 4 == 0
+    message = F.struct(C("doi").alias("DOI"), F.array(F.concat(F.lit("T"), C("load_order").cast("string"))).alias("title"), F.array("journal").alias("container-title"), "publisher", C("citation_count").alias("is-referenced-by-count"), F.when(odd, dates(C("year"))).otherwise(none).alias("published-print"), dates(C("year") + 1).alias("created"))
+    docs = d.select(F.concat(F.lit("/p/"), C("load_order").cast("string"), F.lit(".json")).alias("file_path"), F.when(C("load_order") % 50 == 2, F.lit("{broken")).otherwise(F.to_json(F.struct(message.alias("message")))).alias("value"))
+    return payloads.flatten_works_a(docs).select("file_path", "doi", "title", "publisher", "journal", "year", "citation_count", C("author_count").cast("long"))
+
+
+@query
+def flatten_b(spark, sf):
+    d = view(spark, sf, "d2")
+    names = F.transform(F.split(F.coalesce("concepts_text", F.lit("")), ";"), lambda x: F.struct(x.alias("display_name")))
+    places = F.array(F.struct(F.array(F.struct(C("journal").alias("display_name")), F.struct(F.lit("Lab").alias("display_name"))).alias("institutions")), F.struct(F.array(F.struct(C("journal").alias("display_name"))).alias("institutions")))
+    body = F.struct(F.concat(F.lit("W"), C("load_order").cast("string")).alias("id"), F.struct(C("doi")).alias("ids"), C("cited_by_count"), F.struct(F.struct(C("journal").alias("display_name")).alias("source")).alias("primary_location"), F.struct("is_oa").alias("open_access"), names.alias("concepts"), places.alias("authorships"))
+    docs = d.select(F.concat(F.lit("/q/"), C("load_order").cast("string"), F.lit(".json")).alias("file_path"), F.to_json(body).alias("value"))
+    return payloads.flatten_works_b(docs).select("openalex_id", "doi", "cited_by_count", "journal", "is_oa", F.array_join("top_concepts", ";").alias("concepts"), F.array_join("institutions", ";").alias("institutions"))
+
+
+@query
+def flatten_indicators(spark, sf):
+    d = view(spark, sf, "d3")
+    item = F.struct(F.struct(C("country_iso3").alias("value")).alias("country"), C("year").alias("date"), "value")
+    series = d.groupBy("country_iso3", "indicator").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", item.alias("i")))), lambda x: x["i"]).alias("rows"))
+    docs = series.select(F.concat(F.lit("/w/"), "country_iso3", F.lit("/"), "indicator", F.lit(".json")).alias("file_path"), F.concat(F.lit('[{"page":1},'), F.to_json("rows"), F.lit("]")).alias("value"))
+    return payloads.flatten_indicators(docs).select("country_iso3", "indicator", C("pos").cast("long"), "year", "value")
+
+
+# Gates and contracts
+
+
+@query
+def integrity(spark, sf):
+    return view(spark, sf, "r2").select("doc_id", contracts.integrity_status(C("pages"), C("text")).alias("integrity_status"))
+
+
+@query
+def ladder(spark, sf):
+    good = (C("http_status") == 200) & (C("body_head").startswith("%PDF"))
+    return contracts.first_success(view(spark, sf, "r4"), "target_id", "rung", F.coalesce(good, F.lit(False)))
+
+
+@query
+def source_gate(spark, sf):
+    gated = contracts.source_gate(view(spark, sf, "r2"), C("source") == "src1")
+    return gated.select("doc_id", "passed", joined("reasons").alias("reasons"))
+
+
+@query
+def harvest_outcome(spark, sf):
+    attempts = view(spark, sf, "r4").withColumn("body", C("body_head").cast("binary"))
+    done = contracts.harvest_outcome(attempts, ("Elsevier", "Springer"))
+    return done.groupBy("publisher", "status", contracts.F.col("source_type"), "failure_reason").agg(F.count("*").alias("n"))
+
+
+@query
+def status_vocabulary(spark, sf):
+    rows = view(spark, sf, "r2").withColumn("status", F.when(C("doc_id") % 9 == 0, F.concat(F.lit("odd_"), C("lang"))).otherwise(contracts.integrity_status(C("pages"), C("text"))))
+    return contracts.outside_vocabulary(rows, "status", contracts.INTEGRITY_STATUSES)
+
+
+@query
+def confidence(spark, sf):
+    return contracts.outside_vocabulary(view(spark, sf, "r1"), "extraction_confidence", contracts.CONFIDENCES)
+
+
+@query
+def provenance_min(spark, sf):
+    return contracts.lacks_provenance(view(spark, sf, "r1")).select("row_number", joined("missing_provenance").alias("missing"))
+
+
+@query
+def unresolved(spark, sf):
+    rows = view(spark, sf, "r1")
+    return rows.select("row_number", contracts.unresolved_reason(rows, C("source_kind") != "figure").alias("reason")).filter("reason is not null")
+
+
+def _pair(df: DataFrame) -> Column:
+    return F.concat_ws("\x1f", identity_text(alias(df, "doi")), identity_text(alias(df, rb.POLLUTANT)), identity_text(alias(df, "matrix")))
+
+
+@query
+def conflicts(spark, sf):
+    rows = view(spark, sf, "r1")
+    kept = contracts.source_conflicts(rows, _pair(rows), present(rows, "unit_standardized"), contracts.source_rank(C("source_kind")))
+    return kept.select("row_number", "conflict", "source_kind")
+
+
+@query
+def source_priority(spark, sf):
+    rows = view(spark, sf, "r1")
+    kept = contracts.source_conflicts(rows, _pair(rows), F.lit(1), contracts.source_rank(C("source_kind")))
+    return kept.groupBy("source_kind").agg(F.count("*").alias("n"))
+
+
+@query
+def granularity(spark, sf):
+    rows = view(spark, sf, "r1")
+    found = contracts.granularity_violations(rows, validate.identity(rows, rb.RECORD))
+    return found.select(F.md5("identity").alias("identity"), "n")
+
+
+@query
+def no_record_papers(spark, sf):
+    rows = view(spark, sf, "r1").select(keys.doi(C("doi")).alias("doi"), "row_number").filter("doi is not null")
+    papers = view(spark, sf, "d1").select("doi").distinct()
+    return contracts.with_paper_rows(rows, papers, "doi").groupBy("doi").agg(F.count("row_number").alias("n_records"), F.max("no_record").alias("no_record"))
+
+
+@query
+def doi_title_consistency(spark, sf):
+    return contracts.inconsistent_titles(view(spark, sf, "r1").withColumn("paper_title", F.when(C("row_number") % 37 == 0, F.lit("Other")).otherwise(C("paper_title"))))
+
+
+def _resolved(spark, sf) -> DataFrame:
+    return contracts.resolve_references(view(spark, sf, "r5"), view(spark, sf, "r5_map"))
+
+
+@query
+def reference_resolution(spark, sf):
+    return _resolved(spark, sf).select("row_id", "doi", "doi_match_status")
+
+
+@query
+def mapped_audit(spark, sf):
+    rows = contracts.mapped_columns(_resolved(spark, sf)).withColumns({"paper_title": C("short_ref"), "evidence_page": F.lit("S1"), "row_number": C("row_id")})
+    return validate.status_counts(validate.audit(rows, rb.REBUILD))
+
+
+@query
+def benchmark_doi_reuse(spark, sf):
+    own = view(spark, sf, "r5_map").filter("doi = '10.1021/benchmark'").select("doi")
+    return contracts.reused_benchmark_dois(_resolved(spark, sf), own).select("row_id", "doi")
+
+
+@query
+def reconcile(spark, sf):
+    source = view(spark, sf, "r5")
+    kept = _resolved(spark, sf).filter("row_id % 97 <> 5")
+    return contracts.reconciled(source, kept.unionByName(kept.filter("row_id % 89 = 3")), "row_id")
+
+
+# Release
+
+
+@query
+def release_rows(spark, sf):
+    return release.release_rows(audited(spark, sf)).select("row_number", "doi", "validation_status")
+
+
+@query
+def release_gate(spark, sf):
+    rows = audited(spark, sf)
+    return release.gate(release.release_rows(rows)).withColumn("kind", F.lit("approved")).unionByName(release.gate(rows).withColumn("kind", F.lit("all")))
+
+
+@query
+def release_exclusions(spark, sf):
+    return release.exclusions(audited(spark, sf))
+
+
+@query
+def bundle_completeness(spark, sf):
+    made = audited(spark, sf).groupBy("validation_status").count().select(F.when(C("validation_status") == "approved", "api/validated_rows.json").otherwise(F.concat(F.lit("reports/"), "validation_status", F.lit(".csv"))).alias("path"))
+    return release.completeness(made)
+
+
+@query
+def published_conformance(spark, sf):
+    return release.nonconforming(audited(spark, sf))
+
+
+@query
+def release_hash(spark, sf):
+    return release.provenance_hash(out(release.release_rows(audited(spark, sf))))
+
+
+# Round trips
+
+
+def _scratch(spark) -> str:
+    import tempfile
+
+    return f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='spark-', dir='/tmp')).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@query
+def roundtrip_csv(spark, sf):
+    path = _scratch(spark)
+    records.write_csv(audited(spark, sf).select(*STATUS, "doi", "country"), path)
+    return spark.read.option("header", True).option("escape", '"').option("lineSep", "\r\n").schema("row_number long, validation_status string, validation_notes string, doi string, country string").csv(path)
+
+
+@query
+def roundtrip_json(spark, sf):
+    path = _scratch(spark)
+    df = audited(spark, sf).select(*STATUS, "doi")
+    records.write_json(df, path)
+    return spark.read.schema(df.schema).json(path).select("row_number", "validation_status", joined("validation_notes").alias("notes"), "doi")
+
+
+@query
+def roundtrip_split(spark, sf):
+    path = _scratch(spark)
+    records.write_by_status(audited(spark, sf).select("row_number", "doi", "validation_status"), path)
+    return spark.read.parquet(path).filter("validation_status = 'rejected'").select("row_number", "doi")
+
+
+@query
+def array_scan(spark, sf):
+    """Records gathered into JSON array documents of a few hundred, with numbers among the objects, and scanned again."""
+    path = _scratch(spark)
+    rows = view(spark, sf, "r1").select((C("row_number") % 97).alias("g"), F.to_json(F.struct("row_number", "doi", "matrix")).alias("j"))
+    docs = rows.groupBy("g").agg(F.concat(F.lit("[1,"), F.concat_ws(",", F.collect_list("j")), F.lit(",[2]]")).alias("value"))
+    docs.select("value").repartition(8).write.text(path)
+    lines = spark.read.text(path).select(F.lit("f").alias("file_path"), "value")
+    return records._elements(lines, "row_number long, doi string, matrix string", True).select("row_number", "doi", "matrix")
