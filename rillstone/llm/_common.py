@@ -31,7 +31,16 @@ def save(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    saved = spark.read.schema(df.schema).parquet(path)
+    saved._scratch = path
+    return saved
+
+
+def discard(saved: DataFrame) -> None:
+    """Delete what save() wrote. Only for tables that nothing still to be run reads."""
+    spark = saved.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(saved._scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, rows: int, limit: int) -> DataFrame:

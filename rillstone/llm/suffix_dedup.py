@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import save, small, text_key
+from ._common import discard, save, small, text_key
 from .near_dedup import mix
 
 LENGTH, Q, CELL = 200, 100, 25
@@ -84,10 +84,11 @@ def _blocks(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
         yield start, np.frombuffer(text, np.uint8, min(len(text) - start, BLOCK + LENGTH - 1), start)
 
 
-def refined(bucket: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The refined bucket, in two halves, of the spans of that length: from the identifiers at the start and at later offsets."""
+def refined(bucket: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """The refined bucket, in two halves, of spans of Q to 3 * Q bytes: from the identifiers at the start and at two later
+    offsets, so that the three cover the span."""
     one, two = bucket[start], mix(bucket[start])
-    for k in [*range(Q, length - Q, Q), length - Q]:
+    for k in (np.minimum(Q, length - Q), length - Q):
         later = bucket[start + k]
         one, two = mix(one * _U(3) + later), mix(two * _U(5) ^ later)
     return one, two
@@ -105,23 +106,20 @@ class _Part:
         self.last = np.concatenate((cut, [self.windows])) - 1
         self.at = self.chosen[self.first]
 
-    def cells(self, keep: np.ndarray) -> dict[str, np.ndarray]:
-        """Cells of the kept representatives: cell c has the windows that start c * CELL ... c * CELL + CELL - 1 before it."""
+    def cells(self, keep: np.ndarray) -> list[np.ndarray]:
+        """Cells of the kept representatives: cell c has the windows that start c * CELL ... c * CELL + CELL - 1 before it.
+        First and last window, then the keys of core and hull."""
         at, low, high = self.at[keep], (self.at - self.last)[keep], (self.at - self.first)[keep]
         found = []
         for c in range((LENGTH - Q) // CELL + 1):
             a, b = c * CELL, min(c * CELL + CELL - 1, LENGTH - Q)
             has = (low <= b) & (high >= a)
             p, lo, hi = at[has], np.maximum(low[has], a), np.minimum(high[has], b)
-            full = (lo == a) & (hi == b)
             core = refined(self.bucket, p - a, LENGTH - (b - a))  # a partly filled cell's windows cover the full cell's core too
-            hull = (np.zeros(len(p), _U), np.zeros(len(p), _U))
-            if full.any():
-                one, two = refined(self.bucket, p[full] - b, LENGTH + b - a)
-                hull[0][full], hull[1][full] = one, two
-            salt = _U(c + 1)
-            found.append((p - hi, p - lo, *(mix(x + salt) for x in core), *(np.where(full, mix(x + salt), _U(0)) for x in hull), full))
-        return [np.concatenate(x) for x in zip(*found, strict=True)] if found else []
+            hull = refined(self.bucket, p - hi, LENGTH + hi - lo)
+            shape = (lo * LENGTH + hi + 1).astype(_U)  # where its windows stand is part of a hull's key
+            found.append((p - hi, p - lo, *(mix(x + _U(c + 1)) for x in core), *(mix(x + shape) for x in hull)))
+        return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
 def _array(x: np.ndarray) -> pa.Array:
@@ -161,6 +159,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     chosen = save(texts.mapInArrow(represent, "k1 long, k2 long, at long, bucket long"), "representatives")
     alive = chosen.join(_repeated(chosen, "bucket"), "bucket", "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("at"))
     alive = save(alive, "survivors")
+    discard(chosen)
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,18 +170,18 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
                     part = _Part(data)
                     keep = np.isin(part.at + start, wanted)
                     if keep.any():
-                        first, last, c1, c2, h1, h2, full = part.cells(keep)
-                        rows.append((k1, k2, {"at": first + start, "last": last + start, "c1": c1, "c2": c2, "h1": h1, "h2": h2, "full": full}))
+                        first, last, c1, c2, h1, h2 = part.cells(keep)
+                        rows.append((k1, k2, {"at": first + start, "last": last + start, "c1": c1, "c2": c2, "h1": h1, "h2": h2}))
             if rows:
                 yield _emit(rows)
 
-    cells = _concerned(texts, alive.select("k1", "k2"), alive).select("k1", "k2", "text", "at").mapInArrow(refine, "k1 long, k2 long, at long, last long, c1 long, c2 long, h1 long, h2 long, full boolean")
+    cells = _concerned(texts, alive.select("k1", "k2"), alive).select("k1", "k2", "text", "at").mapInArrow(refine, "k1 long, k2 long, at long, last long, c1 long, c2 long, h1 long, h2 long")
     cells = save(cells, "cells")
     alive = save(cells.join(_repeated(cells, "c1", "c2"), ["c1", "c2"], "left_semi"), "cells")
-    full = alive.filter("full").join(_repeated(alive.filter("full"), "h1", "h2"), ["h1", "h2"], "left")
-    full = save(full.select("k1", "k2", "at", "last", "c1", "c2", "one"), "hulls")
-    settled = full.filter("one is not null")
-    open_cells = full.filter("one is null").drop("one").union(alive.filter("not full").select("k1", "k2", "at", "last", "c1", "c2"))
+    discard(cells)
+    known = save(alive.join(_repeated(alive, "h1", "h2"), ["h1", "h2"], "left").select("k1", "k2", "at", "last", "c1", "c2", "one"), "hulls")
+    discard(alive)
+    settled, open_cells = known.filter("one is not null"), known.filter("one is null")
     # A settled hull has many members; one of them stands for all where an open cell with the same core may meet it.
     stand_in = settled.filter(F.col("one") == F.expr(OCCURRENCE)).join(open_cells.select("c1", "c2").distinct(), ["c1", "c2"], "left_semi")
     spans = open_cells.select("k1", "k2", "at", "last").union(stand_in.select("k1", "k2", "at", "last"))
