@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import save
+from ._common import bounded_sample, save
 
 #: Labelled rows a model is fitted on, the least by the hash of the row's key.
 MAX_TRAINING_ROWS = 20_000
@@ -28,8 +28,8 @@ class Boosted:
 
 def fit(labelled: DataFrame, features: list[str], label: str, key: str, rows: int = MAX_TRAINING_ROWS) -> Boosted | None:
     """A model, or None where the sample has not both labels."""
-    sample = labelled.select(*features, F.col(label).cast("double").alias("_label"), F.xxhash64(key).alias("_order"))
-    sample = save(sample.orderBy("_order", *features).limit(rows), "training")
+    sample = bounded_sample(labelled.select(F.col(key).alias("_key"), *features, F.col(label).cast("double").alias("_label")), "_key", rows)
+    sample = save(sample, "training")
     if sample.select("_label").distinct().count() < 2:
         return None
     trees = GBTClassifier(labelCol="_label", featuresCol="_features", predictionCol="_prediction", maxIter=TREES, maxDepth=DEPTH, seed=7, maxMemoryInMB=64)

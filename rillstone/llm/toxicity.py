@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import save
+from ._common import bounded_sample, save
 
 WORDS = re.compile(r"\w+")
 MAX_EXAMPLES = 20_000
@@ -194,8 +194,8 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> Model:
     """Learn from the rows of labels (id, label); idf is counted over all of docs."""
     usable = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    known = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_examples)
-    known = save(known, "labels")
+    known = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
+    known = save(bounded_sample(known, "id", max_examples), "labels")
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "id")  # max_examples rows
     examples = save(texts.groupBy(F.sha2("text", 256)).agg(F.first("text").alias("text"), F.max("label").alias("label"), F.min("id").alias("id")).select("id", "text", "label"), "examples")
     terms = chosen_terms(examples.select("text", "label"))

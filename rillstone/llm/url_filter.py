@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from ._common import save
+from ._common import bounded_sample, save
 
 #: Rules up to so many become one expression; more are joined on the host's suffixes.
 COMPILED_RULES = 200
@@ -91,7 +91,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFr
         host, path = host_and_path(F.col("url"))
         known = labelled.select(F.col("url").alias(url_col), host.alias("host"), path.alias("path"), F.col("label").cast("double").alias("_label"))
     # The sample's size is a documented bound; so is that of the suffix tables made from it.
-    sample = save(lexical(known.orderBy(F.xxhash64(url_col), url_col).limit(rows), url_col), "labelled-urls")
+    sample = save(lexical(bounded_sample(known, url_col, rows), url_col), "labelled-urls")
     (s1, p1), (s2, p2) = _suffix_shares(sample, "_s1", "f_suffix"), _suffix_shares(sample, "_s2", "f_suffix2")
     s1, s2 = save(s1, "suffixes"), save(s2, "suffixes")
 
