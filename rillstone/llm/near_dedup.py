@@ -6,9 +6,10 @@ documents need about one arrival for most of their shingles. Two documents agree
 Jaccard similarity J_P, the scale-free Jaccard of weighted sets (plain Jaccard where no shingle repeats).
 
 Texts with the same words are one representative before anything is compared. In every band bucket, members are compared
-with one leader and not with each other; members that stay outside their leader's component are then compared with other
-leaders and at last with every member of another component, so no link of a bucket that would join two components is
-lost, while a group of near copies costs a comparison per member.
+with one leader and not with each other, so a group of near copies costs a comparison per member. Members of buckets that
+still hold several components are banded a second time, with stricter bands, unless the shingles that they alone have
+rule every partner out (an exact bound); there they are compared with leaders of other components, new ones each round,
+until a round links nothing more.
 
 Defined cases: texts of 1 to 4 words have one shingle, all their words; texts without words are alike only when they are
 equal (null as empty); repeated rows share a class; a null id keeps its row; an empty table gives an empty result.
@@ -35,7 +36,10 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Representatives whose 8-byte keys are sent to the executors to choose texts by; beyond it Spark joins.
 SENT_KEYS = 2_000_000
-LEADER_ROUNDS = 3
+#: Members of buckets that hold several components are banded once more: 110 bands of 12 registers find a pair of
+#: similarity 0.8 with probability 0.9996, and few of those below it.
+STRICT_BANDS, STRICT_ROWS = 110, 12
+LEADER_ROUNDS = 6
 CACHE_WORDS = 500_000
 _U = np.uint64
 
@@ -104,11 +108,11 @@ def prob_min_hash(shingles: list[np.ndarray], counts: list[np.ndarray], register
     return holds.reshape(n, registers)
 
 
-def band_keys(holds: np.ndarray) -> np.ndarray:
+def band_keys(holds: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """A 64-bit key for each band, that differs between bands."""
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=_U), (len(holds), BANDS)).copy()
-    for k in range(ROWS):
-        keys = mix(keys * _U(5) + holds[:, k::ROWS][:, :BANDS])
+    keys = np.broadcast_to(np.arange(1, bands + 1, dtype=_U), (len(holds), bands)).copy()
+    for k in range(rows):
+        keys = mix(keys * _U(5) + holds[:, k::rows])
     return keys.view(np.int64)
 
 
@@ -205,41 +209,83 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
+def _strict_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), 200):
+            part = batch.slice(at, 200)
+            sets = [_unpacked(x) for x in part.column(1).to_pylist()]
+            keys = band_keys(prob_min_hash([x[0] for x in sets], [x[1] for x in sets], STRICT_BANDS * STRICT_ROWS), STRICT_BANDS, STRICT_ROWS)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys.tolist(), pa.list_(pa.int64()))], ["rep", "bucket"])
+
+
+def _members(banded: DataFrame) -> DataFrame:
+    """(rep, bucket, n) of buckets with n > 1 members, written."""
+    banded = save(banded, "bands")
+    return save(banded.join(banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "bucket").select("rep", "bucket", "n"), "members")
+
+
+def _with_leaders(members: DataFrame) -> DataFrame:
+    """(a, b): each member with its bucket's leader, the member that shares most buckets with others: of a group of copies
+    the one that they were made from, rather than one of them."""
+    known = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    led = members.join(known, "rep").groupBy("bucket").agg(F.max(F.struct("weight", "rep")).alias("lead"))
+    both = members.join(led, "bucket").filter(F.col("rep") != F.col("lead.rep"))
+    return both.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"))
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    return members.join(found.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+
+def _costs(sets: DataFrame) -> DataFrame:
+    """(rep, cost): cost is 1 / (1 - u) for the mass u of a set's shingles that no other of the sets has. What two sets can
+    share is bounded by that: J_P is at most 1 / (cost + cost - 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hashes, counts = _unpacked(packed)
+                yield pa.RecordBatch.from_arrays([pa.array([rep] * len(hashes), pa.binary()), pa.array(hashes.view("<i8")), pa.array(counts / counts.sum())], ["rep", "shingle", "mass"])
+
+    own = sets.mapInArrow(run, "rep binary, shingle long, mass double").groupBy("shingle").agg(F.count("*").alias("n"), F.first("rep").alias("rep"), F.first("mass").alias("mass"))
+    alone = own.filter("n = 1").groupBy("rep").agg(F.sum("mass").alias("u"))
+    return sets.select("rep").join(alone, "rep", "left").select("rep", F.when(F.col("u") > 0.999, F.lit(1000.0)).otherwise(1 / (1 - F.coalesce("u", F.lit(0.0)))).alias("cost"))
+
+
+def _across(at: DataFrame, k: int, least: float) -> DataFrame:
+    """(a, b): in buckets of several components, the members with a leader of another one, where the bound lets them be
+    alike. The first round's leaders share most, later ones are drawn by hash."""
+    known = at.groupBy("rep").agg(F.sum("n").alias("weight"))
+    order = F.col("weight") if k == 0 else F.xxhash64("rep", F.lit(k), "bucket")
+    led = at.join(known, "rep").groupBy("bucket").agg(F.max(F.struct(order.alias("order"), "rep", "comp", "cost")).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    both = at.join(led.select("bucket", "lead"), "bucket").filter((F.col("comp") != F.col("lead.comp")) & (F.col("cost") + F.col("lead.cost") <= 1 / least + 1))
+    return both.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"))
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataFrame:
     """(id, k1, k2, rep, comp), one row per document; comp is the component that verified links make."""
     rows = save(sketches(docs, id_col, text_col), "sketches")
     reps = rows.filter(F.col("bands").isNotNull()).groupBy("rep").agg(F.first("bands").alias("bands"))
-    banded = save(reps.select("rep", F.explode("bands").alias("bucket")), "bands")
-    shared = banded.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter("n > 1").select("bucket", "leader")
-    members = save(banded.join(shared, "bucket"), "members")
-    pairs = save(members.filter(F.col("rep") != F.col("leader")).select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
+    members = _members(reps.select("rep", F.explode("bands").alias("bucket")))
     sets = save(shingle_sets(docs, text_col, members.select("rep").distinct()), "sets")
+    pairs = save(_with_leaders(members).distinct(), "pairs")
     links = save(verified(pairs, sets, least), "links")
     found = save(components(links), "components")
-    for k in range(1, LEADER_ROUNDS + 1):
-        at = members.select("bucket", "rep").join(found.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        # Where a bucket has several components, one of its members leads and those of the others are compared with it.
-        mixed = save(at.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", F.lit(k)).alias("h"), "rep", "comp")).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket", "lead"), "mixed")
-        if k < LEADER_ROUNDS:
-            some = at.join(mixed, "bucket").filter("comp <> lead.comp").select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"))
-        else:  # what is still apart: the members outside each bucket's largest part meet the members of other components
-            sizes = at.join(mixed.select("bucket"), "bucket", "left_semi").groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-            largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most")).select("bucket", F.col("most.comp").alias("main"))
-            here = at.join(largest, "bucket")
-            x = here.filter("comp <> main").select("bucket", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-            y = at.select("bucket", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-            some = x.join(y, "bucket").filter("ca <> cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = save(some.distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            if k < LEADER_ROUNDS:
-                continue
-            break
+    mixed = _mixed(members, found).groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    apart = sets.join(members.join(mixed, "bucket", "left_semi").select("rep").distinct(), "rep", "left_semi")
+    costs = save(_costs(apart).filter(F.col("cost") <= 1 / least), "costs")
+    again = _members(sets.join(costs, "rep", "left_semi").mapInArrow(_strict_bands, "rep binary, bucket array<long>").select("rep", F.explode("bucket").alias("bucket")))
+    for k in range(LEADER_ROUNDS):
+        at = _mixed(again, found).join(costs, "rep")
+        some = _across(at, k, least).distinct().join(pairs, ["a", "b"], "left_anti")
+        more = save(some, "pairs")
         new = save(verified(more, sets, least), "links")
         pairs = pairs.unionByName(more)
         if not new.isEmpty():
             links = links.unionByName(new)
             found = save(components(links), "components")
+        elif k:
+            break
     comps = found.select(F.col("node").alias("rep"), "comp")
     return save(rows.drop("bands").join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "classes")
 
