@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ END_ID = 0
 RANKED_ROWS = 50_000
 PLAN_ROWS = 200_000
 CACHE_WORDS, CACHED_LENGTH = 400_000, 48
-JOINED_WORDS, OUTPUT_ROWS = 4096, 512
+JOINED_WORDS, OUTPUT_ROWS = 4096, 2048
 _TAIL = ".,;:!?"
 
 
@@ -66,20 +67,19 @@ class WordEncoder:
                 out.update((p, self._single(p)) for p in some)
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+    def _parts(self, distinct: list[str]) -> list[bytes]:
         if len(self.parts) > CACHE_WORDS:
             self.older, self.parts = self.parts, {}
         parts, older = self.parts, self.older
-        missing = set().union(*split).difference(parts)
-        again = {p: older[p] for p in missing if p in older}
-        parts.update(again)
-        missing.difference_update(again)
         of = {}
-        for p in missing:
-            low = p.lower() if p.isascii() else p
-            body = low.rstrip(_TAIL)
-            of[p] = (body, low[len(body) :]) if body and body[-1].isalpha() else (low, "")
+        for p in distinct:
+            if p not in parts:
+                if p in older:
+                    parts[p] = older[p]
+                else:
+                    low = p.lower() if p.isascii() and "<|" not in p else p
+                    body = low.rstrip(_TAIL)
+                    of[p] = (body, low[len(body) :]) if body and body[-1].isalpha() else (low, "")
         pieces = {x for xs in of.values() for x in xs if x}
         known = {x: y for x in pieces if (y := parts.get(x) or older.get(x)) is not None}
         known |= self._encode(list(pieces.difference(known))) | {"": b""}
@@ -87,8 +87,21 @@ class WordEncoder:
         for x, y in (*known.items(), *here.items()):
             if len(x) <= CACHED_LENGTH:
                 parts[x] = y
-        whole = parts if all(len(x) <= CACHED_LENGTH for x in missing) else parts | here
-        return [b"".join(map(whole.__getitem__, ps)) for ps in split]
+        return [parts[p] if p in parts else here[p] for p in distinct]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text; null counts as empty."""
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        values = self._parts(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        ids, start = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size) - size
+        code = coded.indices.to_numpy()
+        n = size[code]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        raw = ids[np.repeat(start[code] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        at = (ends[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 #: One encoder for each vocabulary in a Python worker, which Spark uses for one task after another.
@@ -106,7 +119,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
             for at in range(0, len(batch), OUTPUT_ROWS):
                 part = batch.slice(at, OUTPUT_ROWS)
                 rows = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), _ENCODERS[vocabulary].encode(part.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(part.column(0).to_pylist(), _ENCODERS[vocabulary].encode(part.column(1)), strict=True):
                     whole = ids + end
                     for piece, start in enumerate(range(0, len(whole), 4 * max_tokens)):
                         cut = whole[start : start + 4 * max_tokens]
