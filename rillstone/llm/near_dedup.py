@@ -99,10 +99,11 @@ def prob_min_hash(shingles: list[np.ndarray], counts: list[np.ndarray], register
         draw = mix(item + _U(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64)))
         at = at - np.log(_unit(draw)) / rate
         place = doc * registers + (mix(draw ^ _U(0xD1B54A32D192ED03)) % _U(registers)).astype(np.int64)
-        order = np.argsort(at, kind="stable")[::-1]  # the earliest is assigned last
-        order = order[at[order] < first[place[order]]]
-        first[place[order]] = at[order]
-        holds[place[order]] = item[order]
+        early = at < first[place]
+        where, when = place[early], at[early]
+        np.minimum.at(first, where, when)
+        won = when == first[where]
+        holds[where[won]] = item[early][won]
         going = at < first.reshape(n, registers).max(axis=1)[doc]
         doc, item, rate, at, k = doc[going], item[going], rate[going], at[going], k + 1
     return holds.reshape(n, registers)
@@ -150,9 +151,9 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                part = texts[at : at + 500]
+            ids = batch.column(0)
+            for at in range(0, len(batch), 500):
+                part = batch.column(1).slice(at, 500).to_pylist()
                 words = [shingler.words(t) for t in part]
                 reps = [representative(t, w) for t, w in zip(part, words, strict=True)]
                 new = list({r: i for i, r in enumerate(reps) if len(words[i])}.items())
