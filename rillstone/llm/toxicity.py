@@ -27,8 +27,9 @@ from ._common import bounded_sample, save
 
 WORDS = re.compile(r"\w+")
 MAX_EXAMPLES = 20_000
-#: A chosen term is in so many examples at least, and in one of a thousand of them, so that a family of copies chooses none.
-MAX_TERMS, MIN_TERM_EXAMPLES, TERM_SHARE, MIN_CHI_SQUARE = 1_000, 4, 0.001, 30.0
+#: A chosen term is in so many examples, in a share of them, and bound to label 1 by chi-square and by phi-square (chi-square
+#: over the number of examples), so that a family of copies chooses none.
+MAX_TERMS, MIN_TERM_EXAMPLES, TERM_SHARE, MIN_CHI_SQUARE, MIN_PHI_SQUARE = 1_000, 4, 0.001, 30.0, 0.006
 K, BLOCK, SMOOTH = 15, 64, 0.05
 EVIDENCE = 3
 #: Vectors a task remembers the score of.
@@ -54,7 +55,7 @@ def chosen_terms(examples: DataFrame) -> list[str]:
     has = counts.agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).cast("double").alias("a"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).cast("double").alias("b"))
     has = has.filter((a + b >= max(MIN_TERM_EXAMPLES, TERM_SHARE * all_)) & (a * zeros > b * ones))
     chi = all_ * F.pow(a * (zeros - b) - b * (ones - a), 2) / ((a + b) * (all_ - a - b) * float(ones) * float(zeros))
-    best = has.withColumn("chi", chi).filter(F.col("chi") >= MIN_CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(MAX_TERMS)
+    best = has.withColumn("chi", chi).filter(F.col("chi") >= max(MIN_CHI_SQUARE, MIN_PHI_SQUARE * all_)).orderBy(F.desc("chi"), "term").limit(MAX_TERMS)
     return sorted(r["term"] for r in best.select("term").collect())
 
 
