@@ -135,8 +135,10 @@ def _concerned(texts: DataFrame, keys: DataFrame, what: DataFrame) -> DataFrame:
 
 
 def _repeated(df: DataFrame, *key: str) -> DataFrame:
-    """(key, one): keys with more than one occurrence (text, offset), and the least of them."""
-    return df.groupBy(*key).agg(F.min(F.expr(OCCURRENCE)).alias("one"), F.max(F.expr(OCCURRENCE)).alias("_other")).filter("one <> _other").drop("_other")
+    """(key, one): keys with more than one occurrence (text, offset), and the least of them. They are written, so that the
+    join back to the occurrences shuffles both sides and Spark can split it at hot keys."""
+    found = df.groupBy(*key).agg(F.min(F.expr(OCCURRENCE)).alias("one"), F.max(F.expr(OCCURRENCE)).alias("_other")).filter("one <> _other").drop("_other")
+    return save(found, "repeated")
 
 
 def _emit(rows: list[tuple]) -> pa.RecordBatch:
