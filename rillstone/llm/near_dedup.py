@@ -8,8 +8,10 @@ Jaccard similarity J_P, the scale-free Jaccard of weighted sets (plain Jaccard w
 Texts with the same words are one representative before anything is compared. In every band bucket, members are compared
 with one leader and not with each other, so a group of near copies costs a comparison per member. Members of buckets that
 still hold several components are banded a second time, with stricter bands, unless the shingles that they alone have
-rule every partner out (an exact bound); there they are compared with leaders of other components, new ones each round,
-until a round links nothing more.
+rule every partner out (an exact bound); there they are compared with leaders of other components, a few rounds long.
+Leaders only save comparisons. What still shares a bucket of several components is joined on prefixes: the rarest
+shingles of a set, up to the mass that two alike sets can leave unshared. Every pair of these sets that reaches the
+least similarity meets there and is verified, whatever leaders were drawn.
 
 Defined cases: texts of 1 to 4 words have one shingle, all their words; texts without words are alike only when they are
 equal (null as empty); repeated rows share a class; a null id keeps its row; an empty table gives an empty result.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import save, text_key
@@ -40,6 +42,8 @@ SENT_KEYS = 2_000_000
 #: similarity 0.8 with probability 0.9996, and few of those below it.
 STRICT_BANDS, STRICT_ROWS = 110, 12
 LEADER_ROUNDS = 6
+#: Holders of a shingle that one lane of the prefix join takes, and what rounding may add to a bound.
+LANE_ROWS, ROUNDING = 2_000, 1e-9
 CACHE_WORDS = 500_000
 _U = np.uint64
 
@@ -238,21 +242,57 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(found.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
 
 
-def _costs(sets: DataFrame) -> DataFrame:
-    """(rep, cost): cost is 1 / (1 - u) for the mass u of a set's shingles that no other of the sets has. What two sets can
-    share is bounded by that: J_P is at most 1 / (cost + cost - 1)."""
+def _still_mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(rep) of the members of buckets that hold several components."""
+    mixed = _mixed(members, found).groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    return members.join(mixed, "bucket", "left_semi").select("rep").distinct()
+
+
+def _shingle_rows(sets: DataFrame) -> DataFrame:
+    """(rep, shingle, mass, size): mass is the shingle's share of its set; size is the number of shingles, 0 where counts differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rep, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashes, counts = _unpacked(packed)
-                yield pa.RecordBatch.from_arrays([pa.array([rep] * len(hashes), pa.binary()), pa.array(hashes.view("<i8")), pa.array(counts / counts.sum())], ["rep", "shingle", "mass"])
+                n = len(hashes)
+                size = n if counts.min() == counts.max() else 0
+                yield pa.RecordBatch.from_arrays([pa.array([rep] * n, pa.binary()), pa.array(hashes.view("<i8")), pa.array(counts / counts.sum()), pa.array([size] * n, pa.int32())], ["rep", "shingle", "mass", "size"])
+
+    return sets.select("rep", "packed").mapInArrow(run, "rep binary, shingle long, mass double, size int")
 
-    own = sets.mapInArrow(run, "rep binary, shingle long, mass double").groupBy("shingle").agg(F.count("*").alias("n"), F.first("rep").alias("rep"), F.first("mass").alias("mass"))
+
+def _costs(sets: DataFrame) -> DataFrame:
+    """(rep, cost): cost is 1 / (1 - u) for the mass u of a set's shingles that no other of the sets has. What two sets can
+    share is bounded by that: J_P is at most 1 / (cost + cost - 1)."""
+    own = _shingle_rows(sets).groupBy("shingle").agg(F.count("*").alias("n"), F.first("rep").alias("rep"), F.first("mass").alias("mass"))
     alone = own.filter("n = 1").groupBy("rep").agg(F.sum("mass").alias("u"))
     return sets.select("rep").join(alone, "rep", "left").select("rep", F.when(F.col("u") > 0.999, F.lit(1000.0)).otherwise(1 / (1 - F.coalesce("u", F.lit(0.0)))).alias("cost"))
 
 
+def _prefix_pairs(sets: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """(a, b): a superset of the pairs of sets, of different components, whose similarity is at least least.
+
+    Sets list their shingles in one order, rarest first. At the first shingle that two sets share, the mass that stands
+    before it is unshared in both, so the bound of _costs holds for that mass: cost + cost is at most 1 / least + 1, and the
+    cheaper side pays at most half of it. Sets without repeated shingles also differ in size by at most the factor least."""
+    most, half = 1 / least + 1 + ROUNDING, (1 / least + 1) / 2 + ROUNDING
+    rows = _shingle_rows(sets)
+    rarest = Window.partitionBy("rep").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.join(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle").withColumn("before", F.coalesce(F.sum("mass").over(rarest), F.lit(0.0)))
+    prefix = ranked.filter((F.col("n") > 1) & (F.col("before") <= 1 - least + ROUNDING)).select("rep", "shingle", "size", (1 / (1 - F.col("before"))).alias("cost"))
+    at = save(_mixed(prefix, found), "prefixes")
+    shared = at.groupBy("shingle").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cost").alias("cheapest"))
+    shared = shared.filter((F.col("lo") != F.col("hi")) & (F.col("cheapest") <= half)).select("shingle", F.ceil(F.col("n") / LANE_ROWS).cast("int").alias("lanes"))
+    at = at.join(shared, "shingle")
+    x = at.filter(F.col("cost") <= half).select("shingle", F.pmod(F.xxhash64("rep"), "lanes").cast("int").alias("lane"), *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "cost", "size")])
+    y = at.select("shingle", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), "rep", "comp", "cost", "size")
+    near = (F.col("size") == 0) | (F.col("x_size") == 0) | (F.least("size", "x_size") >= F.greatest("size", "x_size") * least - ROUNDING)
+    once = (F.col("cost") > half) | (F.col("x_rep") < F.col("rep"))
+    both = x.join(y, ["shingle", "lane"]).filter((F.col("comp") != F.col("x_comp")) & (F.col("cost") + F.col("x_cost") <= most) & near & once)
+    return both.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
+
+
 def _across(at: DataFrame, k: int, least: float) -> DataFrame:
     """(a, b): in buckets of several components, the members with a leader of another one, where the bound lets them be
     alike. The first round's leaders share most, later ones are drawn by hash."""
@@ -272,8 +312,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
     pairs = save(_with_leaders(members).distinct(), "pairs")
     links = save(verified(pairs, sets, least), "links")
     found = save(components(links), "components")
-    mixed = _mixed(members, found).groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    apart = sets.join(members.join(mixed, "bucket", "left_semi").select("rep").distinct(), "rep", "left_semi")
+    apart = sets.join(_still_mixed(members, found), "rep", "left_semi")
     costs = save(_costs(apart).filter(F.col("cost") <= 1 / least), "costs")
     again = _members(sets.join(costs, "rep", "left_semi").mapInArrow(_strict_bands, "rep binary, bucket array<long>").select("rep", F.explode("bucket").alias("bucket")))
     for k in range(LEADER_ROUNDS):
@@ -287,6 +326,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
             found = save(components(links), "components")
         elif k:
             break
+    apart = apart.join(_still_mixed(members, found), "rep", "left_semi").join(costs, "rep", "left_semi")
+    rest = save(_prefix_pairs(save(apart, "apart"), found, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    new = save(verified(rest, sets, least), "links")
+    if not new.isEmpty():
+        found = save(components(links.unionByName(new)), "components")
     comps = found.select(F.col("node").alias("rep"), "comp")
     return save(rows.drop("bands").join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "classes")
 

@@ -286,6 +286,14 @@ def test_near_chain_is_one_class(spark):
     assert [r["doc_id"] for r in near_dedup.keep_one(df).collect()] == [0]
 
 
+def test_near_pairs_hidden_in_a_template(spark):
+    """400 pairs of similarity 0.817 among texts that are 0.78 alike: buckets hold many texts, leaders meet few of the pairs."""
+    template = [f"t{i}" for i in range(204)]
+    rows = [(i, " ".join(template + [f"p{i // 2}x{k}" for k in range(5)] + [f"u{i}x{k}" for k in range(23)])) for i in range(800)]
+    got = near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == {i: i - i % 2 for i in range(800)}
+
+
 def test_keep_one(odd):
     kept = near_dedup.keep_one(odd)
     assert kept.columns == odd.columns
