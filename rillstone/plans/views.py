@@ -63,7 +63,7 @@ SELECT doc_id, lang, source, text,
   doc_id % 41 <> 0 AS identity_match
 FROM documents""",
     "r3": r"""
-SELECT doc_id, concat(substr(text, 1, 40), ' doi:10.1016/J.D', cast(doc_id % 300 AS string),
+SELECT doc_id, concat(coalesce(text, ''), ' doi:10.1016/J.D', cast(doc_id % 300 AS string),
   ' and 10.1038/n', cast(doc_id % 7 AS string), '; see 10.1021/es', cast(doc_id % 90 AS string), ' end') AS text
 FROM documents""",
     "r4": r"""

@@ -119,6 +119,13 @@ def test_keys(spark):
     assert [tuple(r) for r in got] == [("10.1016/j.x).", "DEU", "Elsevier", *same), (None, "DEU", "Springer", *same), (None, None, "Unknown", *same)]
 
 
+def test_dois_of_whole_texts(spark, tmp_path):
+    texts = [(1, "word " * 5000 + "10.5555/late.one and more"), (2, None), (3, "10.5555/early")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {(r["doi"], r["first_doc"], r["first_pos"]) for r in queries.QUERIES["q_doi_from_text"](spark, f"file://{tmp_path}").collect()}
+    assert {("10.5555/late.one", 1, 0), ("10.5555/early", 3, 0), ("10.1016/J.D1", 1, 1), ("10.1016/J.D2", 2, 0)} <= got
+
+
 def test_routing_oddities(spark):
     df = spark.createDataFrame([("nature_geoscience",), ("latest",), ("EST run",), ("",)], "label string")
     words = {r["label"]: r["rulebook"] for r in rb.route_by_label(df, F.array("label")).collect()}
