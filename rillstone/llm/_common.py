@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only in local mode, where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -60,3 +68,32 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
 def text_key(text: Column) -> list[Column]:
     """Two 64-bit halves that identify a text; rows with equal texts share them."""
     return [F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2")]
+
+
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 1 << 20, most_rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most most_rows rows and, if they hold more than one, most_bytes bytes in the column."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(batch):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, min(at + most_rows, int(np.searchsorted(ends, before + most_bytes, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+class WordHasher:
+    """64-bit hashes of a text's words, lower-cased runs of word characters; the hashes of some words are remembered."""
+
+    WORDS, REMEMBERED = re.compile(r"\w+"), 100_000
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+
+    def words(self, text: str | None) -> np.ndarray:
+        found = self.WORDS.findall((text or "").lower())
+        known = self.known
+        if len(known) > self.REMEMBERED:
+            known.clear()
+        for w in set(found).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))

@@ -19,32 +19,35 @@ equal (null as empty); repeated rows share a class; a null id keeps its row; an
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import save, text_key
+from ._common import WordHasher, save, slices, small, text_key
 from .components import components
 
-WORDS = re.compile(r"\w+")
 SHINGLE_WORDS, MIN_SIMILARITY = 5, 0.8
 #: 25 bands of 5 registers find a pair of similarity 0.8 with probability 0.99995.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Representatives whose 8-byte keys are sent to the executors to choose texts by; beyond it Spark joins.
-SENT_KEYS = 2_000_000
+#: Text keys that may be broadcast to choose texts by; beyond it Spark shuffles.
+BROADCAST_TEXTS = 300_000
 #: Members of buckets that hold several components are banded once more: 110 bands of 12 registers find a pair of
 #: similarity 0.8 with probability 0.9996, and few of those below it.
 STRICT_BANDS, STRICT_ROWS = 110, 12
-LEADER_ROUNDS = 6
+LEADER_ROUNDS = 2
+#: The strict registers also give a sketch of a bit each, in so many 64-bit words. Two sets agree on a bit with probability
+#: (1 + J_P) / 2; a pair is left out only if it agrees on SIGMAS standard deviations fewer bits than a pair of the least
+#: similarity is expected to (a pair of just that similarity is lost with probability 0.0000034).
+SKETCH_WORDS, SIGMAS = 20, 4.5
 #: Holders of a shingle that one lane of the prefix join takes, and what rounding may add to a bound.
 LANE_ROWS, ROUNDING = 2_000, 1e-9
-CACHE_WORDS = 500_000
 _U = np.uint64
 
 
@@ -59,21 +62,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return ((x >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-class Shingler:
+class Shingler(WordHasher):
     """Words of a text to its distinct shingles, as 64-bit hashes in order, with counts."""
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-
-    def words(self, text: str | None) -> np.ndarray:
-        found = WORDS.findall((text or "").lower())
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for w in set(found).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, found), _U, len(found))
-
     def shingles(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = max(1, len(words) - SHINGLE_WORDS + 1)
         if not len(words):
@@ -155,51 +146,36 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            ids = batch.column(0)
-            for at in range(0, len(batch), 500):
-                part = batch.column(1).slice(at, 500).to_pylist()
-                words = [shingler.words(t) for t in part]
-                reps = [representative(t, w) for t, w in zip(part, words, strict=True)]
+            for part in slices(batch, 1):
+                texts = part.column(1).to_pylist()
+                words = [shingler.words(t) for t in texts]
+                reps = [representative(t, w) for t, w in zip(texts, words, strict=True)]
                 new = list({r: i for i, r in enumerate(reps) if len(words[i])}.items())
                 made = [shingler.shingles(words[i]) for _, i in new]
                 keys = band_keys(prob_min_hash([m[0] for m in made], [m[1] for m in made])) if made else []
                 of = {r: k.tolist() for (r, _), k in zip(new, keys, strict=True)}
-                kept = [batch.column(c).slice(at, len(part)) for c in (2, 3)]
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(part)), *kept, pa.array(reps, pa.binary()), pa.array([of.get(r) for r in reps], pa.list_(pa.int64()))], ["id", "k1", "k2", "rep", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array(reps, pa.binary()), pa.array([of.get(r) for r in reps], pa.list_(pa.int64()))], ["id", "k1", "k2", "rep", "bands"])
 
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long"), text, *text_key(text)).mapInArrow(run, "id long, k1 long, k2 long, rep binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
-    """(rep, packed shingles), one row for each wanted rep."""
-    spark = docs.sparkSession
-    n = wanted.count()
-    sent = None
-    if n <= SENT_KEYS:
-        keys = np.fromiter((int.from_bytes(r["rep"][:8], "little") for r in wanted.toLocalIterator()), _U, n)
-        sent = spark.sparkContext.broadcast(np.sort(keys))
+    """(rep, packed shingles), one row for each row of wanted: (k1, k2, rep), the key of one text of the rep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            found = {}
-            for text in batch.column(0).to_pylist():
-                words = shingler.words(text)
-                rep = representative(text, words)
-                if rep in found or not len(words):
-                    continue
-                if sent is not None:
-                    key = _U(int.from_bytes(rep[:8], "little"))
-                    k = np.searchsorted(sent.value, key)
-                    if k == len(sent.value) or sent.value[k] != key:
-                        continue
-                found[rep] = _packed(*shingler.shingles(words))
-            if found:
+            for part in slices(batch, 1):
+                found = {}
+                for rep, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if rep not in found:
+                        found[rep] = _packed(*shingler.shingles(shingler.words(text)))
                 yield pa.RecordBatch.from_pydict({"rep": pa.array(found, pa.binary()), "packed": pa.array(found.values(), pa.binary())})
 
-    made = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "rep binary, packed binary")
-    return (made if sent is not None else made.join(wanted, "rep", "left_semi")).groupBy("rep").agg(F.first("packed").alias("packed"))
+    text = F.col(text_col).cast("string")
+    chosen = docs.select(text.alias("_t"), *text_key(text)).join(small(wanted, wanted.count(), BROADCAST_TEXTS), ["k1", "k2"]).select("rep", "_t")
+    return chosen.mapInArrow(run, "rep binary, packed binary").groupBy("rep").agg(F.first("packed").alias("packed"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -214,13 +190,28 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def _strict_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch_bits(holds: np.ndarray) -> np.ndarray:
+    """A bit of each of the first 64 * SKETCH_WORDS registers, drawn anew for each register, as 64-bit words."""
+    n = 64 * SKETCH_WORDS
+    drawn = mix(holds[:, :n] ^ mix(np.arange(1, n + 1, dtype=_U))) & _U(1)
+    return np.packbits(drawn.astype(np.uint8), axis=1, bitorder="little").view("<i8")
+
+
+def _strict_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, len(batch), 200):
-            part = batch.slice(at, 200)
+        for part in slices(batch, 1, most_rows=200):
             sets = [_unpacked(x) for x in part.column(1).to_pylist()]
-            keys = band_keys(prob_min_hash([x[0] for x in sets], [x[1] for x in sets], STRICT_BANDS * STRICT_ROWS), STRICT_BANDS, STRICT_ROWS)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys.tolist(), pa.list_(pa.int64()))], ["rep", "bucket"])
+            holds = prob_min_hash([x[0] for x in sets], [x[1] for x in sets], STRICT_BANDS * STRICT_ROWS)
+            keys = band_keys(holds, STRICT_BANDS, STRICT_ROWS)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys.tolist(), pa.list_(pa.int64())), pa.array(sketch_bits(holds).tolist(), pa.list_(pa.int64()))], ["rep", "bucket", "bits"])
+
+
+def _agree(x: str, y: str, least: float) -> Column:
+    """Whether two sketches agree on as many bits as a pair of the least similarity may."""
+    n, p = 64 * SKETCH_WORDS, (1 + least) / 2
+    most = n * (1 - p) + SIGMAS * (n * p * (1 - p)) ** 0.5
+    differ = reduce(add, [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH_WORDS)])
+    return differ <= int(most)
 
 
 def _members(banded: DataFrame) -> DataFrame:
@@ -270,12 +261,13 @@ def _costs(sets: DataFrame) -> DataFrame:
     return sets.select("rep").join(alone, "rep", "left").select("rep", F.when(F.col("u") > 0.999, F.lit(1000.0)).otherwise(1 / (1 - F.coalesce("u", F.lit(0.0)))).alias("cost"))
 
 
-def _prefix_pairs(sets: DataFrame, found: DataFrame, least: float) -> DataFrame:
+def _prefix_pairs(sets: DataFrame, bits: DataFrame, found: DataFrame, least: float) -> DataFrame:
     """(a, b): a superset of the pairs of sets, of different components, whose similarity is at least least.
 
     Sets list their shingles in one order, rarest first. At the first shingle that two sets share, the mass that stands
     before it is unshared in both, so the bound of _costs holds for that mass: cost + cost is at most 1 / least + 1, and the
-    cheaper side pays at most half of it. Sets without repeated shingles also differ in size by at most the factor least."""
+    cheaper side pays at most half of it. Sets without repeated shingles also differ in size by at most the factor least, and
+    sketches (rep, bits) rule most of the rest out."""
     most, half = 1 / least + 1 + ROUNDING, (1 / least + 1) / 2 + ROUNDING
     rows = _shingle_rows(sets)
     rarest = Window.partitionBy("rep").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
@@ -284,12 +276,12 @@ def _prefix_pairs(sets: DataFrame, found: DataFrame, least: float) -> DataFrame:
     at = save(_mixed(prefix, found), "prefixes")
     shared = at.groupBy("shingle").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cost").alias("cheapest"))
     shared = shared.filter((F.col("lo") != F.col("hi")) & (F.col("cheapest") <= half)).select("shingle", F.ceil(F.col("n") / LANE_ROWS).cast("int").alias("lanes"))
-    at = at.join(shared, "shingle")
-    x = at.filter(F.col("cost") <= half).select("shingle", F.pmod(F.xxhash64("rep"), "lanes").cast("int").alias("lane"), *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "cost", "size")])
-    y = at.select("shingle", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), "rep", "comp", "cost", "size")
+    at = at.join(shared, "shingle").join(bits, "rep")
+    x = at.filter(F.col("cost") <= half).select("shingle", F.pmod(F.xxhash64("rep"), "lanes").cast("int").alias("lane"), *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "cost", "size", "bits")])
+    y = at.select("shingle", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), "rep", "comp", "cost", "size", "bits")
     near = (F.col("size") == 0) | (F.col("x_size") == 0) | (F.least("size", "x_size") >= F.greatest("size", "x_size") * least - ROUNDING)
     once = (F.col("cost") > half) | (F.col("x_rep") < F.col("rep"))
-    both = x.join(y, ["shingle", "lane"]).filter((F.col("comp") != F.col("x_comp")) & (F.col("cost") + F.col("x_cost") <= most) & near & once)
+    both = x.join(y, ["shingle", "lane"]).filter((F.col("comp") != F.col("x_comp")) & (F.col("cost") + F.col("x_cost") <= most) & near & once & _agree("x_bits", "bits", least))
     return both.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
 
 
@@ -308,13 +300,15 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
     rows = save(sketches(docs, id_col, text_col), "sketches")
     reps = rows.filter(F.col("bands").isNotNull()).groupBy("rep").agg(F.first("bands").alias("bands"))
     members = _members(reps.select("rep", F.explode("bands").alias("bucket")))
-    sets = save(shingle_sets(docs, text_col, members.select("rep").distinct()), "sets")
+    one = rows.join(members.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    sets = save(shingle_sets(docs, text_col, save(one.select("k.k1", "k.k2", "rep"), "wanted")), "sets")
     pairs = save(_with_leaders(members).distinct(), "pairs")
     links = save(verified(pairs, sets, least), "links")
     found = save(components(links), "components")
     apart = sets.join(_still_mixed(members, found), "rep", "left_semi")
     costs = save(_costs(apart).filter(F.col("cost") <= 1 / least), "costs")
-    again = _members(sets.join(costs, "rep", "left_semi").mapInArrow(_strict_bands, "rep binary, bucket array<long>").select("rep", F.explode("bucket").alias("bucket")))
+    strict = save(sets.join(costs, "rep", "left_semi").mapInArrow(_strict_sketches, "rep binary, bucket array<long>, bits array<long>"), "strict")
+    again = _members(strict.select("rep", F.explode("bucket").alias("bucket")))
     for k in range(LEADER_ROUNDS):
         at = _mixed(again, found).join(costs, "rep")
         some = _across(at, k, least).distinct().join(pairs, ["a", "b"], "left_anti")
@@ -327,7 +321,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
         elif k:
             break
     apart = apart.join(_still_mixed(members, found), "rep", "left_semi").join(costs, "rep", "left_semi")
-    rest = save(_prefix_pairs(save(apart, "apart"), found, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    rest = save(_prefix_pairs(save(apart, "apart"), strict.select("rep", "bits"), found, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
     new = save(verified(rest, sets, least), "links")
     if not new.isEmpty():
         found = save(components(links.unionByName(new)), "components")

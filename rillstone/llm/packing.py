@@ -11,6 +11,7 @@ an empty table gives an empty plan.
 from __future__ import annotations
 
 import bisect
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,16 +20,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import save, small
+from ._common import save, slices, small
 
 MAX_TOKENS = 2048
 END_ID = 0
 #: Rows that one task ranks.
 RANKED_ROWS = 50_000
 PLAN_ROWS = 200_000
-CACHE_WORDS, CACHED_LENGTH = 400_000, 48
-JOINED_WORDS, OUTPUT_ROWS = 4096, 2048
-_TAIL = ".,;:!?"
+#: Words that each of two generations remembers, and the characters of the longest.
+CACHE_WORDS, CACHED_LENGTH = 150_000, 48
+JOINED_WORDS, ENCODED_BYTES = 4096, 8 << 20
+CLOSING = r"(\pL)([.,;:!?]+)([ \n]|$)"
 
 
 class WordEncoder:
@@ -36,11 +38,12 @@ class WordEncoder:
 
     White space never reaches the ids, and no rule of the vocabulary looks across a space or line feed, so a text's ids are
     those of its parts between them. A part that ends in a letter before closing punctuation is two such parts, and ASCII
-    parts are alike in either case, as the vocabulary lower-cases. Parts are remembered; new ones of letters alone are
-    encoded many at a time and told apart by their word-end ids, each of the others by itself.
+    letters are alike in either case, as the vocabulary lower-cases. Parts are remembered; new ones of letters alone are
+    encoded many at a time and told apart by their word-end ids. Texts that may name a special token are encoded whole.
     """
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
@@ -50,48 +53,45 @@ class WordEncoder:
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _single(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+    def _each(self, parts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     def _encode(self, new: list[str]) -> dict[str, bytes]:
-        out = {p: self._single(p) for p in new if not p.isalpha()}
+        others = [p for p in new if not p.isalpha()]
         words = [p for p in new if p.isalpha()]
+        out = {}
+        for at in range(0, len(others), JOINED_WORDS):
+            some = others[at : at + JOINED_WORDS]
+            out.update(zip(some, self._each(some), strict=True))
         for at in range(0, len(words), JOINED_WORDS):
             some = words[at : at + JOINED_WORDS]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            cut = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1)) * 4
-            if len(cut) == len(some) + 1:  # each is one word of the vocabulary's rule
-                raw, cut = ids.tobytes(), cut.tolist()
-                out.update(zip(some, (raw[a:b] for a, b in zip(cut, cut[1:], strict=False)), strict=True))
+            raw = self._each([" ".join(some)])[0]
+            cut = ((np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1) * 4).tolist()
+            if len(cut) == len(some):  # each is one word of the vocabulary's rule
+                out.update(zip(some, (raw[a:b] for a, b in zip([0, *cut], cut, strict=False)), strict=True))
             else:
-                out.update((p, self._single(p)) for p in some)
+                out.update(zip(some, self._each(some), strict=True))
         return out
 
     def _parts(self, distinct: list[str]) -> list[bytes]:
         if len(self.parts) > CACHE_WORDS:
             self.older, self.parts = self.parts, {}
-        parts, older = self.parts, self.older
-        of = {}
-        for p in distinct:
-            if p not in parts:
-                if p in older:
-                    parts[p] = older[p]
-                else:
-                    low = p.lower() if p.isascii() and "<|" not in p else p
-                    body = low.rstrip(_TAIL)
-                    of[p] = (body, low[len(body) :]) if body and body[-1].isalpha() else (low, "")
-        pieces = {x for xs in of.values() for x in xs if x}
-        known = {x: y for x in pieces if (y := parts.get(x) or older.get(x)) is not None}
-        known |= self._encode(list(pieces.difference(known))) | {"": b""}
-        here = {p: known[a] + known[b] for p, (a, b) in of.items()}
-        for x, y in (*known.items(), *here.items()):
-            if len(x) <= CACHED_LENGTH:
-                parts[x] = y
-        return [parts[p] if p in parts else here[p] for p in distinct]
+        found = list(map(self.parts.get, distinct))
+        lacking = [i for i, v in enumerate(found) if v is None]
+        made = dict(zip((distinct[i] for i in lacking), map(self.older.get, (distinct[i] for i in lacking)), strict=True))
+        made.update(self._encode([p for p, v in made.items() if v is None]))
+        for i in lacking:
+            found[i] = made[distinct[i]]
+        self.parts.update((p, v) for p, v in made.items() if len(p) <= CACHED_LENGTH)
+        return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text; null counts as empty."""
-        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        texts = texts.fill_null("")
+        special = pc.match_substring(texts, "<|")
+        low = pc.ascii_lower(pc.if_else(special, "", texts))
+        apart = pc.replace_substring_regex(low, CLOSING, r"\1 \2\3")
+        split = pc.split_pattern(pc.replace_substring(apart, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         values = self._parts(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, values), np.int64, len(values)) // 4
@@ -101,7 +101,10 @@ class WordEncoder:
         ends = np.concatenate(([0], np.cumsum(n)))
         raw = ids[np.repeat(start[code] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
         at = (ends[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
-        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+        out = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._each([texts[i].as_py()])[0]
+        return out
 
 
 #: One encoder for each vocabulary in a Python worker, which Spark uses for one task after another.
@@ -116,8 +119,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
             _ENCODERS[vocabulary] = WordEncoder(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), OUTPUT_ROWS):
-                part = batch.slice(at, OUTPUT_ROWS)
+            for part in slices(batch, 1, ENCODED_BYTES):
                 rows = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), _ENCODERS[vocabulary].encode(part.column(1)), strict=True):
                     whole = ids + end
