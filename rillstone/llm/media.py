@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import save
+from ._common import save, slices
 
 ROW, LANES = 64, 64
 SCHEME = "media:"
@@ -99,8 +99,9 @@ def parse_sequences(df: DataFrame, html_col: str, *keep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("position", pa.int32()), *((n, pa.string()) for n in ("kind", "text", "digest", "caption"))]))
         for batch in batches:
-            made = pa.array([interleaved(h) for h in batch.column(len(keep)).to_pylist()], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], made], [*keep, "sequence"])
+            for part in slices(batch, len(keep), 4 << 20):
+                made = pa.array([interleaved(h) for h in part.column(len(keep)).to_pylist()], kind)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], made], [*keep, "sequence"])
 
     rows = df.select(*keep, F.col(html_col).cast("string").alias("_html"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
@@ -169,21 +170,25 @@ def resolve(sequences: DataFrame, media: DataFrame, *keep: str) -> DataFrame:
     return items.join(media, ["digest", "lane"], "left").drop("lane")
 
 
-def document_html(digest: Column, title: Column, caption: Column) -> Column:
-    """A document's page: its opening words, then its payload as a captioned figure."""
+def document_html(digest: Column, text: Column, caption: Column) -> Column:
+    """A document's page: the first line, its payload as a captioned figure, then its other lines, a paragraph each."""
     clean = lambda c: F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    return F.concat(F.lit("<article><p>"), clean(title), F.lit('</p><figure><img src="' + escape(SCHEME)), digest, F.lit('"><figcaption>'), clean(caption), F.lit("</figcaption></figure></article>"))
+    first = F.substring_index(clean(text), "\n", 1)
+    rest = F.substr(clean(text), F.length(first) + 2)
+    figure = F.concat(F.lit('<figure><img src="' + escape(SCHEME)), digest, F.lit('"><figcaption>'), clean(caption), F.lit("</figcaption></figure>"))
+    return F.concat(F.lit("<article><p>"), first, F.lit("</p>"), figure, F.lit("<p>"), F.replace(rest, F.lit("\n"), F.lit("</p><p>")), F.lit("</p></article>"))
 
 
 def document_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, position, caption, and the columns of described()): every text stored as media and resolved through its
-    page's sequence."""
+    """(id, n_bytes, position, caption, n_texts, texts_sha256, and the columns of described()): every text stored as media and
+    resolved through its page's sequence. n_texts and texts_sha256 are of the sequence's text items, joined by line feeds."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), padded(text.cast("binary")).alias("_payload"))
     lane = F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(LANES)).cast("int")
     rows = rows.select("_id", "_text", "_payload", F.sha2("_payload", 256).alias("_digest"), lane.alias("lane"))
     media = described(store(rows, "_digest", "_payload", "lane"))
-    pages = rows.select("_id", F.octet_length("_text").cast("long").alias("n_bytes"), "lane", document_html(F.col("_digest"), F.substring("_text", 1, 80), F.lit("text as samples")).alias("_html"))
-    sequences = parse_sequences(pages, "_html", "_id", "n_bytes", "lane")
-    found = resolve(sequences, media, "_id", "n_bytes").filter(F.col("kind") == "media")
-    return found.select(F.col("_id").alias(id_col), "n_bytes", "position", "caption", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    pages = rows.select("_id", F.octet_length("_text").cast("long").alias("n_bytes"), "lane", document_html(F.col("_digest"), F.col("_text"), F.lit("text as samples")).alias("_html"))
+    texts = F.transform(F.filter("sequence", lambda i: i["kind"] == "text"), lambda i: i["text"])
+    sequences = parse_sequences(pages, "_html", "_id", "n_bytes", "lane").select("_id", "n_bytes", "lane", F.size(texts).alias("n_texts"), F.sha2(F.array_join(texts, "\n"), 256).alias("texts_sha256"), F.filter("sequence", lambda i: i["kind"] == "media").alias("sequence"))
+    found = resolve(sequences, media, "_id", "n_bytes", "n_texts", "texts_sha256")
+    return found.select(F.col("_id").alias(id_col), "n_bytes", "position", "caption", "n_texts", "texts_sha256", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")

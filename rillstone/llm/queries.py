@@ -27,7 +27,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.document_media(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return media.document_media(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption", "n_texts", "texts_sha256")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,11 +88,14 @@ ORACLES = {
         FROM lines l LEFT JOIN hot h ON l.key = h.key GROUP BY row_id, doc_id""",
     "op6_benchmark_decontamination": r"""
         WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
-        i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
-        ds AS (SELECT DISTINCT row_id, doc_id, array_to_string(w[k : k + 4], ' ') AS s FROM (SELECT row_id, doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d)),
-        its AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS k FROM i)),
-        n AS (SELECT item_id, count(*) AS n FROM its GROUP BY item_id)
-        SELECT doc_id, item_id, count(*) AS n_shared, n AS n_shingles FROM ds JOIN its USING (s) JOIN n USING (item_id)
-        GROUP BY row_id, doc_id, item_id, n HAVING count(*) * 10 >= n * 8""",
+        i AS (SELECT item, item_id, w, least(5, len(w)) AS m
+              FROM (SELECT row_number() OVER () AS item, item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM (SELECT DISTINCT item_id, text FROM benchmark))
+              WHERE len(w) > 0),
+        ds AS (SELECT DISTINCT row_id, doc_id, m, array_to_string(w[k : k + m - 1], ' ') AS s
+               FROM (SELECT row_id, doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM i) WHERE len(w) >= m)),
+        its AS (SELECT DISTINCT item, item_id, m, array_to_string(w[k : k + m - 1], ' ') AS s FROM (SELECT item, item_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM i)),
+        n AS (SELECT item, count(*) AS n FROM its GROUP BY item)
+        SELECT doc_id, item_id, count(*) AS n_shared, n AS n_shingles FROM ds JOIN its USING (m, s) JOIN n USING (item)
+        GROUP BY row_id, doc_id, item, item_id, n HAVING count(*) * 10 >= n * 8""",
     "op10_sharding": "SELECT doc_id, lang, source, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256 FROM documents",
 }

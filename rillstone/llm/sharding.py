@@ -5,20 +5,32 @@ them have gathered, into a run of target-sized files. Each append or merge commi
 aside and renamed to manifest/<version>, which fails if another writer was first, so readers see either version whole.
 Only DataFrame operations touch rows; the manifest (a line per run) is the driver's.
 
-Defined cases: null values in any column are kept; a null arrival is an arrival of its own; empty arrivals add no run;
-repeated rows are all kept; columns of any name are stored, as an arrival's name is kept in the path.
+An append that finds its version taken reads the manifest again and commits after it; a merge does so too if the runs it
+merged are still listed. Compaction ends when no tier holds FANOUT runs that may still grow: runs of at least the target
+size in few files are final, and fewer than FANOUT small runs of a tier wait for further arrivals.
+
+Defined cases: null values in any column are kept; a null arrival is an arrival of its own; empty arrivals add no run, an
+empty table leaves a manifest without runs; repeated rows are all kept; values of any length are stored as they are;
+columns of any name are stored, as an arrival's name is kept in the path under a name that no column has; a later arrival
+may lack columns or have new ones, which are null where a shard has none.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-ARRIVAL = "__arrival"
+
+class VersionTaken(Exception):
+    """Another writer has committed that version; it exists already."""
 
 
 class ShardStore:
@@ -43,7 +55,7 @@ class ShardStore:
         return json.loads(text["value"])
 
     def commit(self, before: dict, runs: list[dict], schema: str | None) -> dict:
-        """Publish runs as the version after before. Raises if that version exists already: reread and retry."""
+        """Publish runs as the version after before. Raises VersionTaken if that version exists."""
         after = {"version": before["version"] + 1, "schema": schema or before["schema"], "runs": runs}
         aside, final = f"{self.root}/aside/{uuid.uuid4().hex}", self._path(f"{self.root}/manifest/{after['version']}")
         out = self._fs.create(self._path(aside), False)
@@ -53,21 +65,40 @@ class ShardStore:
         rename = self._hadoop.Options.Rename
         options = self.spark.sparkContext._gateway.new_array(rename, 1)
         options[0] = rename.NONE  # never over an existing version
-        self._files.rename(self._path(aside), final, options)
+        try:
+            self._files.rename(self._path(aside), final, options)
+        except Py4JJavaError as failed:
+            if "FileAlreadyExistsException" not in str(failed.java_exception.getClass()):
+                raise
+            raise VersionTaken(f"version {after['version']} exists") from failed
         return after
 
+    def _publish(self, change: Callable[[list[dict]], list[dict] | None], schema: StructType | None = None) -> dict | None:
+        """Commit what change makes of the last version's runs, again after each version that another writer commits first;
+        nothing if change gives None. schema adds its new columns to those known."""
+        while True:
+            before = self.manifest()
+            runs = change(before["runs"])
+            if runs is None:
+                return None
+            known = StructType.fromJson(json.loads(before["schema"])) if before["schema"] else StructType()
+            merged = StructType([*known, *(f for f in schema or () if f.name not in known.names)])
+            try:
+                return self.commit(before, runs, merged.json())
+            except VersionTaken:
+                continue
+
     def _run(self, path: str, arrivals: int) -> dict | None:
-        found = self._fs.getContentSummary(self._path(path))
-        return {"path": path, "bytes": int(found.getLength()), "files": int(found.getFileCount()), "arrivals": arrivals} if found.getLength() else None
+        sizes = [s.getLen() for s in self._fs.listStatus(self._path(path)) if s.getPath().getName().startswith("part-")]
+        return {"path": path, "bytes": int(sum(sizes)), "files": len(sizes), "arrivals": arrivals} if sizes else None
 
     def append(self, df: DataFrame, arrival: Column) -> dict:
         """Write df's rows as one run of small immutable shards for each value of arrival, all in one job."""
-        path = f"{self.root}/runs/{uuid.uuid4().hex}"
-        df.withColumn(ARRIVAL, arrival.cast("string")).write.option("compression", "zstd").partitionBy(ARRIVAL).parquet(path)
+        path, label = f"{self.root}/runs/{uuid.uuid4().hex}", f"arrival_{uuid.uuid4().hex}"
+        df.withColumn(label, arrival.cast("string")).write.option("compression", "zstd").partitionBy(label).parquet(path)
         folders = [s.getPath().toString() for s in self._fs.listStatus(self._path(path)) if s.isDirectory()]
-        before = self.manifest()
         new = [r for f in sorted(folders) if (r := self._run(f, 1))]
-        return self.commit(before, before["runs"] + new, df.schema.json())
+        return self._publish(lambda runs: runs + new, df.schema)
 
     def tier(self, run: dict) -> int:
         return max(0, math.floor(math.log(max(run["bytes"], 1) / self.target, self.fanout)) + 20)
@@ -86,7 +117,8 @@ class ShardStore:
                 return done
             merged = [r for runs in full if (r := self._merge(runs, now["schema"]))]
             gone = {r["path"] for runs in full for r in runs}
-            done.append(self.commit(now, [r for r in now["runs"] if r["path"] not in gone] + merged, None))
+            after = self._publish(lambda runs, gone=gone, merged=merged: [r for r in runs if r["path"] not in gone] + merged if gone <= {r["path"] for r in runs} else None)
+            done += [after] if after else []
 
     def _merge(self, runs: list[dict], schema: str) -> dict | None:
         path = f"{self.root}/runs/{uuid.uuid4().hex}"
@@ -96,8 +128,6 @@ class ShardStore:
         return self._run(path, sum(r["arrivals"] for r in runs))
 
     def _read(self, paths: list[str], schema: str) -> DataFrame:
-        from pyspark.sql.types import StructType
-
         kind = StructType.fromJson(json.loads(schema))
         return self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
 
@@ -105,22 +135,26 @@ class ShardStore:
         now = self.manifest(version)
         return self._read([r["path"] for r in now["runs"]], now["schema"])
 
-    def vacuum(self) -> int:
-        """Delete the files of runs that the last manifest no longer lists; the number of folders deleted."""
+    def vacuum(self, grace_s: float = 86_400) -> int:
+        """Delete the files of runs that the last manifest does not list and that are older than grace_s seconds, so that
+        what other writers have not committed yet stays; the number of folders deleted."""
+        before = 1000 * (time.time() - grace_s)
+        tops = self._fs.listStatus(self._path(f"{self.root}/runs"))
         kept = [r["path"] for r in self.manifest()["runs"]]
         gone = 0
-        for top in self._fs.listStatus(self._path(f"{self.root}/runs")):
+        for top in tops:
             inside = [s for s in self._fs.listStatus(top.getPath()) if s.isDirectory()]
             for s in inside or [top]:
-                if s.getPath().toString() not in kept and not any(k.endswith(s.getPath().toUri().getPath()) for k in kept):
+                listed = any(k.endswith(s.getPath().toUri().getPath()) for k in kept)
+                if not listed and s.getModificationTime() <= before:
                     gone += bool(self._fs.delete(s.getPath(), True))
         return gone
 
 
 def shard_arrivals(df: DataFrame, root: str, arrival: Column, target_bytes: int = 128 << 20, fanout: int = 4) -> DataFrame:
-    """Append df by arrival, compact, drop replaced runs; the rows of the last version."""
+    """Append df by arrival, compact, drop replaced runs; the rows of the last version. No other writer may use root."""
     store = ShardStore(df.sparkSession, root, target_bytes, fanout)
     store.append(df, F.coalesce(arrival.cast("string"), F.lit("__none")))
     store.compact()
-    store.vacuum()
+    store.vacuum(0)
     return store.read()

@@ -1,143 +1,168 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
-Examples are a documented bounded sample of labelled texts (MAX_EXAMPLES, by the hash of their text). Terms that go with
-label 1 are chosen on them by chi-square; weights are log tf times the idf of the whole corpus. The index has postings per
-term and each term's largest weight in every block of BLOCK examples. A query adds up those maxima, visits blocks from the
-largest bound on, and stops once the next bound is below the K-th best cosine, so its neighbours are exact. Votes are
-weighted by 1 / (distance + SMOOTH), and a monotone map from leave-one-out votes to label frequency calibrates them.
-
-Defined cases: null and empty texts, and texts without a chosen term, take the label rate of examples without one; ties
-at the K-th place all vote, so ids never decide; equal example texts are one example with the larger label; rows with a
-null id, repeated rows and rows without a label are scored like any other; without any usable label every score is 0;
-an empty table gives an empty result.
+Every word of a text counts: words are hashed to TERMS dimensions, and a dimension's idf is counted over the whole corpus.
+Examples are a documented bounded sample of labelled texts (MAX_EXAMPLES of them, MAX_EXAMPLE_BYTES of text). A dimension's
+weight is log tf times idf times a relevance, LEAST_RELEVANCE for all of them and more for those that go with label 1 beyond
+what chance explains; no dimension is left out. The index has postings per term, in blocks of BLOCK examples, and each
+term's largest weight in every block; terms that many examples have are kept as whole rows and added up at once. A query's
+bound of a block is the largest such sum in it and the maxima of the other terms. The blocks with the largest bounds are
+scored, and then all whose bound reaches the K-th best cosine so far, so its neighbours are exact. Votes are weighted by
+1 / (distance + SMOOTH), and a monotone map from out-of-fold votes to label frequency calibrates them.
+
+Defined cases: null and empty texts have no neighbour and take the label rate of the examples; ties at the K-th place all
+vote, so ids never decide; equal example texts are one example with the larger label; of the rows that share a labelled id
+one text is an example; null ids and null labels are no labels; rows with a null id, repeated rows and rows without a label
+are scored like any other; texts are read whole, of any length; other columns, of any name, stay in row; without any usable
+label every score is 0; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import bounded_sample, save
+from ._common import WordHasher, bounded_sample, save, slices
 
-WORDS = re.compile(r"\w+")
-MAX_EXAMPLES = 20_000
-#: A chosen term is in so many examples, in a share of them, and bound to label 1 by chi-square and by phi-square (chi-square
-#: over the number of examples), so that a family of copies chooses none.
-MAX_TERMS, MIN_TERM_EXAMPLES, TERM_SHARE, MIN_CHI_SQUARE, MIN_PHI_SQUARE = 1_000, 4, 0.001, 30.0, 0.006
+TERMS = 1 << 20
+MAX_EXAMPLES, MAX_EXAMPLE_BYTES = 5_000, 16 << 20
 K, BLOCK, SMOOTH = 15, 64, 0.05
+#: Blocks scored before the others are ruled out.
+FIRST_BLOCKS = 2
+#: A term that one example in so many has is a row of the index. Cosines are of single precision; TIE is what that may cost.
+ROW_SHARE, TIE = 12, 1e-6
+LEAST_RELEVANCE, HALF_RELEVANCE = 0.01, 200.0
 EVIDENCE = 3
-#: Vectors a task remembers the score of.
-CACHED = 100_000
 
+Vector = tuple[np.ndarray, np.ndarray]
 
-def chosen_terms(examples: DataFrame) -> list[str]:
-    """Terms whose presence goes with label 1, by chi-square. examples: (text, label); at most MAX_EXAMPLES rows."""
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: Counter = Counter()
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.update((w, label) for w in set(WORDS.findall(text.lower())))
-            yield pa.RecordBatch.from_pydict({"term": pa.array([k[0] for k in found], pa.string()), "label": pa.array([k[1] for k in found], pa.int32()), "n": pa.array(found.values(), pa.int64())})
-
-    totals = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    ones, zeros = totals.get(1, 0), totals.get(0, 0)
-    if not ones or not zeros:
-        return []
-    counts = examples.select("text", F.col("label").cast("int").alias("label")).mapInArrow(terms, "term string, label int, n long").groupBy("term")
-    a, b, all_ = F.col("a"), F.col("b"), float(ones + zeros)
-    has = counts.agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).cast("double").alias("a"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).cast("double").alias("b"))
-    has = has.filter((a + b >= max(MIN_TERM_EXAMPLES, TERM_SHARE * all_)) & (a * zeros > b * ones))
-    chi = all_ * F.pow(a * (zeros - b) - b * (ones - a), 2) / ((a + b) * (all_ - a - b) * float(ones) * float(zeros))
-    best = has.withColumn("chi", chi).filter(F.col("chi") >= max(MIN_CHI_SQUARE, MIN_PHI_SQUARE * all_)).orderBy(F.desc("chi"), "term").limit(MAX_TERMS)
-    return sorted(r["term"] for r in best.select("term").collect())
-
-
-def document_frequencies(docs: DataFrame, text_col: str, terms: list[str]) -> tuple[dict[str, int], int]:
-    """In how many of all documents each term is, and how many there are."""
-    sent = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
+def term_counts(words: np.ndarray) -> Vector:
+    """Dimensions in order, and how often each occurs, of the hashes of a text's words."""
+    return np.unique((words & np.uint64(TERMS - 1)).astype(np.int32), return_counts=True)
+
+
+def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
+    """In how many of all documents each dimension is, and how many documents there are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        hasher, total = WordHasher(), np.zeros(TERMS, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(sent.value.intersection(WORDS.findall((text or "").lower())))
-        yield pa.RecordBatch.from_pydict({"term": pa.array(found, pa.string()), "n": pa.array(found.values(), pa.int64())})
-
-    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return {r["term"]: r["n"] for r in rows.collect()}, docs.count()
+            for part in slices(batch, 0):
+                found = [term_counts(hasher.words(t))[0] for t in part.column(0).to_pylist()]
+                total += np.bincount(np.concatenate(found), minlength=TERMS)
+        here = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), pa.array(total[here])], ["term", "n"])
+
+    # A row per task and dimension: fewer, longer tasks keep their number to the cluster's cores, whatever the input.
+    lanes = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    rows = docs.select(F.col(text_col).cast("string")).coalesce(lanes).mapInArrow(count, "term int, n long")
+    got = rows.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # TERMS rows at most
+    counts = np.zeros(TERMS, np.int64)
+    counts[got["term"].to_numpy()] = got["n"].to_numpy()
+    return counts, docs.count()
+
+
+def _expand(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [low, high), one range after the other."""
+    n = high - low
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def relevance(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Of every dimension: LEAST_RELEVANCE, and up to 1 more as the likelihood ratio of its going with label 1 exceeds what
+    the largest of so many independent ones reaches by chance."""
+    with_one = np.bincount(np.concatenate([t for t, y in zip(terms, labels, strict=True) if y] or [np.empty(0, int)]), minlength=TERMS).astype(float)
+    having = np.bincount(np.concatenate(terms or [np.empty(0, int)]), minlength=TERMS).astype(float)
+    at = np.flatnonzero(having)
+    a, n, ones, size = with_one[at], having[at], float(labels.sum()), len(labels)
+    table = np.stack([a, n - a, ones - a, size - ones - n + a])
+    expected = np.stack([n * ones, n * (size - ones), (size - n) * ones, (size - n) * (size - ones)]) / max(size, 1)
+    ratio = 2 * np.where(table > 0, table * np.log(np.maximum(table, 1) / np.maximum(expected, 1e-12)), 0).sum(axis=0)
+    beyond = np.where(a * (size - ones) > (n - a) * ones, np.maximum(0, ratio - 2 * np.log(max(len(at), 2))), 0)
+    out = np.full(TERMS, LEAST_RELEVANCE)
+    out[at] += beyond / (beyond + HALF_RELEVANCE)
+    return out
 
 
 class BlockMaxIndex:
-    """Cosine search over examples, given as (id, label, {term: weight})."""
-
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int | None, int, dict[str, int]]]):
-        self.idf = idf
-        self.term = {t: i for i, t in enumerate(idf)}
-        self.weight = np.array(list(idf.values()))
-        empty = [label for _, label, tf in examples if not tf]
-        self.empty = (sum(empty), len(empty))
-        some = [e for e in examples if e[2]]
-        # Examples with the same terms stand together, so that block maxima are sharp.
-        vectors = sorted(((*self.vector(tf), i, y) for i, y, tf in some), key=lambda v: (v[0].tolist(), v[1].tolist(), v[3]))
-        self.ids = [v[2] for v in vectors]
-        self.labels = np.array([v[3] for v in vectors], float)
-        self.blocks = -(-len(vectors) // BLOCK)
-        postings: dict[int, tuple[list[int], list[float]]] = {}
-        for k, (terms, weights, _, _) in enumerate(vectors):
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                at, ws = postings.setdefault(t, ([], []))
-                at.append(k)
-                ws.append(w)
-        self.postings, self.maxima = {}, {}
-        for t, (at, ws) in postings.items():
-            at, ws = np.array(at), np.array(ws)
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, at // BLOCK, ws)
-            starts = np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK)
-            self.postings[t], self.maxima[t] = (at, ws, starts), most
-
-    def vector(self, tf: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers in order and weights of length 1."""
-        terms = np.array(sorted(self.term[t] for t in tf), int)
-        by = {self.term[t]: n for t, n in tf.items()}
-        w = np.array([(1 + np.log(by[t])) * self.weight[t] for t in terms.tolist()])
-        return terms, w / np.sqrt((w * w).sum()) if len(w) else w
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    """Cosine search over examples, given as term counts, labels and ids; weight: of every dimension."""
+
+    def __init__(self, weight: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[int | None]):
+        self.weight = weight
+        vectors = [self.vector(*e) for e in examples]
+        # Examples with the same weightiest terms stand together, so that block maxima are sharp.
+        strongest = [tuple(t[np.argsort(-w, kind="stable")[:2]].tolist()) for t, w in vectors]
+        order = sorted((i for i, v in enumerate(vectors) if len(v[0])), key=lambda i: (strongest[i], vectors[i][1].tolist(), vectors[i][0].tolist(), labels[i]))
+        self.ids, self.labels = [ids[i] for i in order], labels[order].astype(float)
+        self.blocks = -(-len(order) // BLOCK)
+        sizes = [len(vectors[i][0]) for i in order]
+        term = np.concatenate([vectors[i][0] for i in order] or [np.empty(0, np.int32)])
+        at, w = np.repeat(np.arange(len(order), dtype=np.int32), sizes), np.concatenate([vectors[i][1] for i in order] or [np.empty(0)])
+        sort = np.lexsort((at, term))
+        term, at, w = term[sort], at[sort], w[sort]
+        known, start, n = np.unique(term, return_index=True, return_counts=True)
+        often = n * ROW_SHARE > len(order)
+        self.row, self.place = np.full(TERMS, -1, np.int32), np.full(TERMS, -1, np.int32)
+        self.row[known[often]] = np.arange(often.sum())
+        self.rows = np.zeros((int(often.sum()), self.blocks * BLOCK), np.float32)
+        p = _expand(start[often], start[often] + n[often])
+        self.rows[np.repeat(np.arange(often.sum()), n[often]), at[p]] = w[p]
+        p = _expand(start[~often], start[~often] + n[~often])
+        term, self.at, self.w = term[p], at[p], w[p]
+        # An entry is a term in a block: its range of postings, its block, its largest weight.
+        block = self.at // BLOCK
+        new = np.concatenate(([True], (np.diff(term) != 0) | (np.diff(block) != 0))) if len(term) else np.empty(0, bool)
+        starts = np.flatnonzero(new)
+        self.post = np.concatenate((starts, [len(term)]))
+        self.block = block[starts]
+        self.most = np.maximum.reduceat(self.w, starts) if len(starts) else np.empty(0)
+        known, first = np.unique(term[starts], return_index=True)
+        self.entry = np.concatenate((first, [len(starts)]))
+        self.place[known] = np.arange(len(known))
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> Vector:
+        """Dimensions and weights of length 1."""
+        w = (1 + np.log(counts)) * self.weight[terms]
+        return terms, w / np.sqrt((w * w).sum()) if len(w) else w.astype(float)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples, and of all that tie with the last, nearest first."""
-        here = [(t, w) for t, w in zip(terms.tolist(), weights.tolist(), strict=True) if t in self.postings]
-        if not here:
-            return np.empty(0, int), np.empty(0)
-        bound = sum(w * self.maxima[t] for t, w in here)
-        best_at, best = np.empty(0, int), np.empty(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) >= k and bound[b] < np.partition(best, -k)[-k] - 1e-9):
-                break
-            score = np.zeros(BLOCK)
-            for t, w in here:
-                at, ws, starts = self.postings[t]
-                part = slice(starts[b], starts[b + 1])
-                score[at[part] - b * BLOCK] += w * ws[part]
-            if 0 <= without - b * BLOCK < BLOCK:
-                score[without - b * BLOCK] = 0
-            hit = np.flatnonzero(score > 0)
-            best_at, best = np.concatenate((best_at, hit + b * BLOCK)), np.concatenate((best, score[hit]))
-        order = np.lexsort((best_at, -best))
-        best_at, best = best_at[order], best[order]
-        n = int((best >= best[min(k, len(best)) - 1] - 1e-9).sum()) if len(best) else 0
-        return best_at[:n], best[:n]
+        n = len(self.labels)
+        row, place = self.row[terms], self.place[terms]
+        score = np.einsum("i,ij->j", weights[row >= 0].astype(np.float32), self.rows[row[row >= 0]]).astype(np.float64)
+        weights = weights[place >= 0]
+        place = place[place >= 0]
+        low, high = self.entry[place], self.entry[place + 1]
+        entry, weight = _expand(low, high), np.repeat(weights, high - low)
+        of = self.block[entry]
+        bound = score.reshape(-1, BLOCK).max(axis=1, initial=0) + np.bincount(of, weight * self.most[entry], self.blocks)
+
+        def add(wanted: np.ndarray) -> None:
+            here = wanted[of]
+            e = entry[here]
+            low, high = self.post[e], self.post[e + 1]
+            p = _expand(low, high)
+            score[:] += np.bincount(self.at[p], np.repeat(weight[here], high - low) * self.w[p], len(score))
+
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
+        add(first)
+        least = np.partition(score[:n], -k)[-k] if n >= k else 0.0
+        add(~first & (bound >= least - TIE))
+        hit = np.flatnonzero(score > 0)
+        if len(hit) > k:
+            hit = hit[score[hit] >= np.partition(score[hit], -k)[-k] - TIE]
+        hit = hit[np.lexsort((hit, -score[hit]))]
+        return hit, score[hit]
 
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
-        """Distance-weighted share of label 1, or the share among examples without a term where there is no neighbour."""
+        """Distance-weighted share of label 1, or the share among all examples where there is no neighbour."""
         if not len(at):
-            return self.empty[0] / (self.empty[1] + 1)
+            return float(self.labels.sum() / (len(self.labels) + 1))
         w = 1 / (np.maximum(0, 1 - cosine) + SMOOTH)
         return float((w * self.labels[at]).sum() / w.sum())
 
@@ -160,58 +185,56 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.array(x), np.maximum.accumulate(np.array(y))
 
 
-def _counts(text: str | None, terms) -> dict[str, int]:
-    return Counter(w for w in WORDS.findall((text or "").lower()) if w in terms)
-
-
 class Model:
     """What a task needs to score texts: the index, of a documented bound, and the calibration."""
 
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int | None, int, dict[str, int]]]):
-        self.index = BlockMaxIndex(idf, examples)
-        self.known: dict[tuple, tuple[float, list]] = {}
-        ix = self.index
-        votes = []
-        vectors = sorted(((*ix.vector(tf), y) for _, y, tf in examples if tf), key=lambda v: (v[0].tolist(), v[1].tolist(), v[2]))
-        for k, (terms, weights, _) in enumerate(vectors):
-            votes.append(ix.vote(*ix.nearest(terms, weights, without=k)))
-        ones, n = ix.empty
-        votes = np.array(votes + [ix.vote(np.empty(0, int), np.empty(0))] * n)
-        labels = np.array([v[2] for v in vectors] + [1] * ones + [0] * (n - ones), float)
-        self.map = isotonic(votes, labels) if len(votes) else (np.zeros(1), np.zeros(1))
-
-    def score(self, text: str | None) -> tuple[float, list[tuple[int | None, int, float]]]:
+    def __init__(self, idf: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[int | None]):
+        make = lambda of: BlockMaxIndex(idf * relevance([examples[i][0] for i in of], labels[of]), [examples[i] for i in of], labels[of], [ids[i] for i in of])
+        everyone = np.arange(len(examples))
+        self.index = make(everyone)
+        votes = np.zeros(len(examples))
+        for half in (0, 1):  # an example's own label takes no part in its vote
+            other = make(everyone[everyone % 2 != half])
+            for i in everyone[everyone % 2 == half]:
+                votes[i] = other.vote(*other.nearest(*other.vector(*examples[i])))
+        self.map = isotonic(votes, labels) if len(examples) else (np.zeros(1), np.zeros(1))
+
+    def score(self, words: np.ndarray) -> tuple[float, list[dict]]:
         """Score and evidence: the nearest examples' ids, labels and cosines."""
-        tf = _counts(text, self.index.term)
-        key = tuple(sorted(tf.items()))
-        if key not in self.known:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            at, cosine = self.index.nearest(*self.index.vector(tf))
-            score = float(np.interp(self.index.vote(at, cosine), *self.map))
-            self.known[key] = score, [(self.index.ids[i], int(self.index.labels[i]), round(float(c), 6)) for i, c in zip(at[:EVIDENCE], cosine[:EVIDENCE], strict=False)]
-        return self.known[key]
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> Model:
-    """Learn from the rows of labels (id, label); idf is counted over all of docs."""
+        ix = self.index
+        at, cosine = ix.nearest(*ix.vector(*term_counts(words)))
+        evidence = [{"example": ix.ids[i], "label": int(ix.labels[i]), "cosine": round(float(c), 6)} for i, c in zip(at[:EVIDENCE], cosine[:EVIDENCE], strict=False)]
+        return float(np.interp(ix.vote(at, cosine), *self.map)), evidence
+
+
+def examples_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int, most_bytes: int) -> DataFrame:
+    """(id, text, label): at most most distinct labelled texts of at most most_bytes bytes together, in order of a hash."""
     usable = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-    known = save(bounded_sample(known, "id", max_examples), "labels")
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "id")  # max_examples rows
-    examples = save(texts.groupBy(F.sha2("text", 256)).agg(F.first("text").alias("text"), F.max("label").alias("label"), F.min("id").alias("id")).select("id", "text", "label"), "examples")
-    terms = chosen_terms(examples.select("text", "label"))
-    counts, n = document_frequencies(docs, text_col, terms)
-    idf = {t: float(np.log((n + 1) / (counts.get(t, 0) + 0.5))) for t in terms}
-    sent = docs.sparkSession.sparkContext.broadcast(frozenset(idf))
+    known = save(bounded_sample(known, "id", most), "labels")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "id")  # most rows
+    one = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    distinct = save(one.groupBy("text").agg(F.max("label").alias("label"), F.min("id").alias("id")), "examples")  # most rows
+    order = Window.orderBy(F.xxhash64("text"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = distinct.select("id", F.sum(F.octet_length("text")).over(order).alias("bytes")).filter(F.col("bytes") <= most_bytes)
+    return distinct.join(F.broadcast(fits.select("id")), "id", "left_semi")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES, max_bytes: int = MAX_EXAMPLE_BYTES) -> Model:
+    """Learn from the rows of labels (id, label); idf is counted over all of docs."""
+    examples = examples_of(docs, labels, id_col, text_col, label_col, max_examples, max_bytes)
+    counts, n = document_frequencies(docs, text_col)
+    idf = np.log((n + 1) / (counts + 0.5)).clip(0.001)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
         for batch in batches:
-            tf = [_counts(t, sent.value) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([list(c) for c in tf], pa.list_(pa.string())), pa.array([list(c.values()) for c in tf], pa.list_(pa.int32()))], ["id", "label", "terms", "tf"])
+            found = [term_counts(hasher.words(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([f[i].astype("<i4").tobytes() for f in found], pa.binary()) for i in (0, 1))], ["id", "label", "terms", "counts"])
 
-    rows = examples.select(F.col("id").cast("long"), "text", F.col("label").cast("int")).mapInArrow(vectors, "id long, label int, terms array<string>, tf array<int>").collect()
-    return Model(idf, [(r["id"], r["label"], dict(zip(r["terms"], r["tf"], strict=True))) for r in rows])
+    rows = examples.select(F.col("id").cast("long"), "text", F.col("label").cast("int")).mapInArrow(vectors, "id long, label int, terms binary, counts binary").collect()  # max_bytes bytes of text
+    rows.sort(key=lambda r: (bytes(r["terms"])[::-1], bytes(r["counts"])))
+    return Model(idf, [(np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["counts"], "<i4")) for r in rows], np.array([r["label"] for r in rows], int), [r["id"] for r in rows])
 
 
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
@@ -220,10 +243,11 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
+        hasher = WordHasher()
         for batch in batches:
-            found = [sent.value.score(t) for t in batch.column(1).to_pylist()]
-            evidence = [[{"example": i, "label": y, "cosine": c} for i, y, c in e] for _, e in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(evidence, kind)], ["row", "score", "evidence"])
+            for part in slices(batch, 1):
+                found = [sent.value.score(hasher.words(t)) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], kind)], ["row", "score", "evidence"])
 
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, evidence array<struct<example: long, label: int, cosine: double>>")
 

@@ -54,12 +54,29 @@ def test_line_dedup_keeps_the_first(spark):
 
 def test_line_dedup_full_filter_is_exact(docs, monkeypatch):
     monkeypatch.setattr(line_dedup, "MIN_FILTER_BITS", 1 << 10)
-    monkeypatch.setattr(line_dedup, "MAX_FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(line_dedup, "LINES_PER_DOCUMENT", 0)
     monkeypatch.setattr(line_dedup, "CHUNK_BYTES", 1 << 7)
     got = Counter(tuple(r) for r in line_dedup.drop_repeated_lines(docs, min_docs=3).collect())
     assert got == _lines_by_hand([(r["doc_id"], r["text"]) for r in docs.collect()], 3)
 
 
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 20])
+def test_line_dedup_by_ranges_of_hashes(docs, monkeypatch, bits):
+    """Beyond the largest filter: each range of hashes has its own, full ones included."""
+    monkeypatch.setattr(line_dedup, "MAX_FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(line_dedup, "RANGE_BITS", bits)
+    got = Counter(tuple(r) for r in line_dedup.drop_repeated_lines(docs, min_docs=3).collect())
+    assert got == _lines_by_hand([(r["doc_id"], r["text"]) for r in docs.collect()], 3)
+
+
+def test_line_dedup_keeps_other_columns(odd, docs):
+    got = line_dedup.without_repeated_lines(odd.withColumns({"n_lines": F.lit(1), "row": F.lit("r")}), min_docs=3)
+    assert got.columns == [*odd.columns, "n_lines", "row"]
+    assert Counter(r["text"] for r in got.collect()) == Counter(t for (_, t, _, _), n in _lines_by_hand([(r["doc_id"], r["text"]) for r in odd.collect()], 3).items() for _ in range(n))
+    texts = line_dedup.drop_repeated_lines(docs.withColumn("doc_id", F.col("doc_id").cast("string")), min_docs=3)
+    assert texts.schema["doc_id"].dataType.simpleString() == "string" and texts.count() == docs.count()
+
+
 # Packing
 
 
@@ -147,7 +164,9 @@ def test_document_media(request, which):
         b = _utf8(r["text"])
         p = b + bytes(max(64, -(-len(b) // 64) * 64) - len(b))
         image = b"P5\n64 %d\n255\n" % (len(p) // 64) + p
-        want[r["doc_id"], len(b), 1 if b.split() else 0, "text as samples", len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(image), hashlib.sha256(image).hexdigest(), media.feature(p)] += 1
+        first, _, rest = (r["text"] or "").partition("\n")
+        texts = [" ".join(t.split()) for t in (first, rest) if t.split()]
+        want[r["doc_id"], len(b), 1 if first.split() else 0, "text as samples", len(texts), hashlib.sha256("\n".join(texts).encode()).hexdigest(), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(image), hashlib.sha256(image).hexdigest(), media.feature(p)] += 1
     assert Counter(tuple(r) for r in media.document_media(df).collect()) == want
 
 
@@ -197,24 +216,26 @@ def test_added_spans_and_redaction(spark):
 
 def test_nearest_is_exact():
     rng = np.random.default_rng(2)
-    idf = {f"t{i}": float(x) for i, x in enumerate(rng.uniform(0.5, 5, 40))}
-    examples = [(i, int(rng.integers(2)), {f"t{k}": int(rng.integers(1, 4)) for k in rng.choice(40, rng.integers(0, 6), replace=False)}) for i in range(700)]
-    index = toxicity.BlockMaxIndex(idf, examples)
-    by_id = {i: tf for i, _, tf in examples}
-
-    def dense(tf):
-        x = np.zeros(40)
-        for t, n in tf.items():
-            x[int(t[1:])] = (1 + np.log(n)) * idf[t]
+    weight = np.zeros(toxicity.TERMS)
+    weight[:60] = rng.uniform(0.5, 5, 60)
+    share = 1 / np.arange(1, 61)  # some terms are rows of the index, some are postings
+    examples = [(np.sort(rng.choice(60, n, replace=False, p=share / share.sum())).astype(np.int32), rng.integers(1, 4, n)) for n in rng.integers(0, 9, 900)]
+    index = toxicity.BlockMaxIndex(weight, examples, rng.integers(0, 2, 900), list(range(900)))
+    assert len(index.rows) and len(index.at)
+
+    def dense(terms, counts):
+        x = np.zeros(60)
+        x[terms] = (1 + np.log(counts)) * weight[terms]
         return x / (np.linalg.norm(x) or 1)
 
-    all_ = {i: dense(tf) for i, tf in by_id.items()}
-    for _, _, tf in examples[:80]:
-        at, cosine = index.nearest(*index.vector(tf))
-        scores = sorted((x for x in (float(all_[i] @ dense(tf)) for i in all_) if x > 1e-12), reverse=True)
-        want = [x for x in scores if scores and x >= scores[min(toxicity.K, len(scores)) - 1] - 1e-9]
-        assert np.allclose(cosine, want)
-        assert all(abs(all_[index.ids[k]] @ dense(tf) - c) < 1e-9 for k, c in zip(at, cosine, strict=True))
+    all_ = np.array([dense(*e) for e in examples])
+    for e in examples[:80]:
+        at, cosine = index.nearest(*index.vector(*e))
+        scores = np.sort(all_ @ dense(*e))[::-1]
+        scores = scores[scores > 1e-12]
+        want = scores[scores >= scores[min(toxicity.K, len(scores)) - 1] - toxicity.TIE] if len(scores) else scores
+        assert np.allclose(cosine, want, atol=1e-6)
+        assert all(abs(all_[index.ids[k]] @ dense(*e) - c) < 1e-6 for k, c in zip(at, cosine, strict=True))
 
 
 def test_isotonic_rises():
@@ -234,11 +255,64 @@ def test_toxicity_separates(spark, odd, none):
     assert {r["score"] for r in toxicity.score(odd, without).collect()} == {0.0}
 
 
+def test_toxicity_scores_by_hand(spark):
+    """Frequencies, relevance, cosines, votes and calibration of a small table, worked out word by word."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join([f"w{k}" for k in rng.integers(0, 50, 12)] + ["awful"] * int(i % 4 == 0)), int(i % 4 == 0) if i < 60 else None) for i in range(90)] + [(90, "", None), (91, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    counts = {i: Counter((t or "").split()) for i, t, _ in rows}
+    df_of = Counter(w for c in counts.values() for w in c)
+    known = [i for i in model.index.ids]
+    assert sorted(known) == list(range(60))
+    label = {i: int(y) for i, _, y in rows if y is not None}
+
+    def weights(of):
+        out = {}
+        ones = sum(label[i] for i in of)
+        vocabulary = {w for i in of for w in counts[i]}
+        for w in df_of:
+            a = sum(label[i] for i in of if w in counts[i])
+            n = sum(w in counts[i] for i in of)
+            table = [(a, n * ones), (n - a, n * (len(of) - ones)), (ones - a, (len(of) - n) * ones), (len(of) - ones - n + a, (len(of) - n) * (len(of) - ones))]
+            g = 2 * sum(x * np.log(x * len(of) / e) for x, e in table if x)
+            g = max(0, g - 2 * np.log(len(vocabulary))) if a * (len(of) - ones) > (n - a) * ones else 0
+            out[w] = np.log((len(rows) + 1) / (df_of[w] + 0.5)) * (0.01 + g / (g + toxicity.HALF_RELEVANCE))
+        return out
+
+    def vote(of, i):
+        weight = weights(of)
+
+        def vector(c):
+            x = {w: (1 + np.log(n)) * weight[w] for w, n in c.items()}
+            return {w: v / np.sqrt(sum(u * u for u in x.values())) for w, v in x.items()}
+
+        cosines = sorted(((sum(v * vector(counts[j]).get(w, 0) for w, v in vector(counts[i]).items()), j) for j in of), reverse=True)
+        cosines = [(c, j) for c, j in cosines if c > 0]
+        if not cosines:
+            return sum(label[j] for j in of) / (len(of) + 1)
+        cosines = [(c, j) for c, j in cosines if c >= cosines[min(toxicity.K, len(cosines)) - 1][0] - toxicity.TIE]
+        return sum(label[j] / (1 - c + toxicity.SMOOTH) for c, j in cosines) / sum(1 / (1 - c + toxicity.SMOOTH) for c, _ in cosines)
+
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    for i in (0, 1, 61, 64, 90, 91):
+        assert got[i] == pytest.approx(float(np.interp(vote(known, i), *model.map)), abs=1e-4)
+
+
+def test_toxicity_labels_with_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "bad one"), (1, "bad two"), (2, "good"), (3, "good"), (None, "good"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1), (4, None), (9, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert sorted(model.index.ids) == [1, 2] and model.index.labels.tolist() == [1, 1]  # equal texts: the larger label
+    clash = docs.withColumns({"score": F.lit(7), "row": F.lit("x"), "evidence": F.lit(1)})
+    assert Counter(r["doc_id"] for r in toxicity.score_rows(clash, model).select("row.*").collect()) == Counter([1, 1, 2, 3, None, 4])
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
-    got = QUERIES["op7_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out")
-    right = got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
-    assert right > 0.97
+    got = QUERIES["op7_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").select("predicted", "toxic").collect()
+    both = sum(r["predicted"] and r["toxic"] for r in got)
+    assert both > 0.9 * sum(r["toxic"] for r in got) and both > 0.85 * sum(r["predicted"] for r in got)
 
 
 # Near-duplicates
@@ -343,12 +417,12 @@ def test_long_documents_are_cut_into_blocks(monkeypatch):
 
 
 def test_contaminated(spark, docs, odd):
-    items = spark.createDataFrame([(1, "The quick brown fox jumps over the lazy dog, while seven wise owls look!"), (2, "too short"), (3, None), (None, "words that no document has in this very order at all")], "item_id long, text string")
+    items = spark.createDataFrame([(1, "The quick brown fox jumps over the lazy dog, while seven wise owls look!"), (2, "Too short"), (3, None), (None, "words that no document has in this very order at all"), (None, "count the stars of the northern sky"), (5, "quick brown fox"), (5, "alone"), (5, "alone"), (6, "fox quick"), (7, "?!"), (8, "")], "item_id long, text string")
     got = Counter(tuple(r)[:2] for r in decontam.contaminated(odd, items).collect())
-    assert got == Counter({(5, 1): 3, (6, 1): 1})
+    assert got == Counter({(5, 1): 3, (6, 1): 1, (5, None): 3, (6, None): 1, (5, 5): 3, (6, 5): 1, (None, 5): 1})
     left = decontam.drop_contaminated(odd, items)
-    assert left.columns == odd.columns and left.count() == odd.count() - 4
-    assert decontam.contaminated(docs, items.limit(0)).count() == 0
+    assert left.columns == odd.columns and left.count() == odd.count() - 5
+    assert decontam.contaminated(docs, items.limit(0)).count() == 0 and decontam.contaminated(docs.limit(0), items).count() == 0
 
 
 @pytest.mark.parametrize("which", ["docs", "odd"])
@@ -362,12 +436,33 @@ def test_shards_hold_every_row(request, spark, which):
     merged = store.compact()
     assert merged and store.versions()[-1] > version
     assert Counter(tuple(r) for r in store.read().collect()) == rows == Counter(tuple(r) for r in store.read(version).collect())
-    with pytest.raises(Exception, match="exist"):  # another writer was first
+    with pytest.raises(sharding.VersionTaken, match="exist"):  # another writer was first
         store.commit({"version": version, "schema": None}, [], None)
-    store.vacuum()
+    assert store.vacuum() == 0  # all is younger than the time of grace
+    assert store.vacuum(0) > 0
     assert Counter(tuple(r) for r in store.read().collect()) == rows
 
 
+def test_shards_of_two_writers_and_odd_columns(spark, none):
+    root = f"{scratch_dir(spark)}/two-writers"
+    one, two = sharding.ShardStore(spark, root), sharding.ShardStore(spark, root)
+    rows = spark.createDataFrame([(1, "x", "a"), (2, None, "b"), (2, None, "b")], "doc_id long, __arrival string, `part-0` string")
+    publish, done = one.commit, []
+
+    def late(before, runs, schema):
+        if not done:
+            done.append(two.append(rows.limit(1), F.lit("other")))  # between the other writer's reading and its commit
+        return publish(before, runs, schema)
+
+    one.commit = late
+    one.append(rows, F.col("doc_id"))
+    one.append(none.select("doc_id", "text"), F.lit("empty"))
+    assert one.versions() == [1, 2, 3]
+    assert Counter(tuple(r) for r in one.read().select("doc_id", "__arrival", "part-0").collect()) == Counter([(1, "x", "a")] * 2 + [(2, None, "b")] * 2)
+    assert one.read().columns == ["doc_id", "__arrival", "part-0", "text"]
+    assert sharding.shard_arrivals(none, f"{root}-none", F.col("source")).count() == 0
+
+
 # All of them
 
 
