@@ -14,36 +14,40 @@ TOXIC_FROM = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score stays below TOXIC_FROM, learnt from all labels. Texts are judged, so null and repeated ids
-    are kept or rejected row by row."""
+    """Documents whose score stays below TOXIC_FROM, learnt from all labels. Texts are judged, so null and repeated ids are
+    kept or rejected row by row; null and empty texts take the label rate and stay; all columns are kept."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_rows(docs, model)
     return scored.filter(F.col("score") < TOXIC_FROM).select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many of them repeat; texts that become empty stay as empty documents."""
-    done = line_dedup.drop_repeated_lines(docs, min_docs=MIN_LINE_DOCS, min_length=MIN_LINE_LENGTH, carry=("lang", "source"))
-    return done.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+    """Documents without the lines that many of them repeat; null texts and texts that become empty stay as empty ones.
+    All columns are kept, of any name; n_chars, where there is one, follows the text."""
+    done = line_dedup.without_repeated_lines(docs, min_docs=MIN_LINE_DOCS, min_length=MIN_LINE_LENGTH)
+    return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else done
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
+    """One document of each near-duplicate class, the one with the smallest id (null last; ties: the smallest text key).
+    Rows that repeat leave one; texts without words are alike only when they are equal; all columns are kept."""
     return near_dedup.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item, items of one word to any length; null texts contain none. Texts decide, so
+    null and repeated ids are treated row by row; all columns are kept."""
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all remaining documents with their sequence and offset."""
+    """Token pieces of all remaining documents with their sequence and offset, whatever other columns there are; null and
+    empty texts are a piece of the end id alone, repeated rows are packed each."""
     return packing.pack_documents(docs, VOCABULARY)
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_lines), ("minhash_near_dedup", drop_near_copies), ("benchmark_decontamination", drop_benchmark), ("best_fit_packing", pack)]
-#: No SQL here fits a classifier, bands signatures or tokenises; tests hold each stage against brute force.
+#: No SQL here fits a classifier, bands signatures or tokenises; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
