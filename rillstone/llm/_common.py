@@ -81,19 +81,22 @@ def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 1 << 20, most_r
         at = end
 
 
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class WordHasher:
     """64-bit hashes of a text's words, lower-cased runs of word characters; the hashes of some words are remembered."""
 
     WORDS, REMEMBERED = re.compile(r"\w+"), 100_000
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Hashes()
 
     def words(self, text: str | None) -> np.ndarray:
         found = self.WORDS.findall((text or "").lower())
-        known = self.known
-        if len(known) > self.REMEMBERED:
-            known.clear()
-        for w in set(found).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+        if len(self.known) > self.REMEMBERED:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))

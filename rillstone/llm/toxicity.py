@@ -33,7 +33,9 @@ K, BLOCK, SMOOTH = 15, 64, 0.05
 #: Blocks scored before the others are ruled out.
 FIRST_BLOCKS = 2
 #: A term that one example in so many has is a row of the index. Cosines are of single precision; TIE is what that may cost.
-ROW_SHARE, TIE = 12, 1e-6
+ROW_SHARE, TIE = 24, 1e-6
+#: Queries whose sums over rows are one product of matrices.
+TOGETHER = 64
 LEAST_RELEVANCE, HALF_RELEVANCE = 0.01, 200.0
 EVIDENCE = 3
 
@@ -129,11 +131,25 @@ class BlockMaxIndex:
         w = (1 + np.log(counts)) * self.weight[terms]
         return terms, w / np.sqrt((w * w).sum()) if len(w) else w.astype(float)
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    def row_sums(self, vectors: list[Vector]) -> np.ndarray:
+        """For each query the sums over the terms that are rows, for every example."""
+        wanted = np.zeros((len(vectors), len(self.rows)), np.float32)
+        for k, (terms, weights) in enumerate(vectors):
+            row = self.row[terms]
+            wanted[k, row[row >= 0]] = weights[row >= 0]
+        return wanted @ self.rows
+
+    def nearest_of(self, queries: list[Vector], k: int = K) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """nearest() of each query, given as term counts."""
+        for at in range(0, len(queries), TOGETHER):
+            vectors = [self.vector(*q) for q in queries[at : at + TOGETHER]]
+            for (terms, weights), sums in zip(vectors, self.row_sums(vectors), strict=True):
+                yield self.nearest(terms, weights, sums, k)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples, and of all that tie with the last, nearest first."""
-        n = len(self.labels)
-        row, place = self.row[terms], self.place[terms]
-        score = np.einsum("i,ij->j", weights[row >= 0].astype(np.float32), self.rows[row[row >= 0]]).astype(np.float64)
+        n, score = len(self.labels), sums.astype(np.float64)
+        place = self.place[terms]
         weights = weights[place >= 0]
         place = place[place >= 0]
         low, high = self.entry[place], self.entry[place + 1]
@@ -195,16 +211,17 @@ class Model:
         votes = np.zeros(len(examples))
         for half in (0, 1):  # an example's own label takes no part in its vote
             other = make(everyone[everyone % 2 != half])
-            for i in everyone[everyone % 2 == half]:
-                votes[i] = other.vote(*other.nearest(*other.vector(*examples[i])))
+            mine = everyone[everyone % 2 == half]
+            votes[mine] = [other.vote(*found) for found in other.nearest_of([examples[i] for i in mine])]
         self.map = isotonic(votes, labels) if len(examples) else (np.zeros(1), np.zeros(1))
 
-    def score(self, words: np.ndarray) -> tuple[float, list[dict]]:
-        """Score and evidence: the nearest examples' ids, labels and cosines."""
-        ix = self.index
-        at, cosine = ix.nearest(*ix.vector(*term_counts(words)))
-        evidence = [{"example": ix.ids[i], "label": int(ix.labels[i]), "cosine": round(float(c), 6)} for i, c in zip(at[:EVIDENCE], cosine[:EVIDENCE], strict=False)]
-        return float(np.interp(ix.vote(at, cosine), *self.map)), evidence
+    def scores(self, queries: list[Vector]) -> tuple[np.ndarray, list[list[dict]]]:
+        """Scores and evidence of texts, given as term counts: the nearest examples' ids, labels and cosines."""
+        ix, votes, evidence = self.index, [], []
+        for at, cosine in ix.nearest_of(queries):
+            votes.append(ix.vote(at, cosine))
+            evidence.append([{"example": ix.ids[i], "label": y, "cosine": c} for i, y, c in zip(at[:EVIDENCE].tolist(), ix.labels[at[:EVIDENCE]].astype(int).tolist(), cosine[:EVIDENCE].round(6).tolist(), strict=True)])
+        return np.interp(votes, *self.map), evidence
 
 
 def examples_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int, most_bytes: int) -> DataFrame:
@@ -246,8 +263,8 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             for part in slices(batch, 1):
-                found = [sent.value.score(hasher.words(t)) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], kind)], ["row", "score", "evidence"])
+                scores, evidence = sent.value.scores([term_counts(hasher.words(t)) for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["row", "score", "evidence"])
 
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, evidence array<struct<example: long, label: int, cosine: double>>")
 

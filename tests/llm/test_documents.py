@@ -230,7 +230,7 @@ def test_nearest_is_exact():
 
     all_ = np.array([dense(*e) for e in examples])
     for e in examples[:80]:
-        at, cosine = index.nearest(*index.vector(*e))
+        at, cosine = next(index.nearest_of([e]))
         scores = np.sort(all_ @ dense(*e))[::-1]
         scores = scores[scores > 1e-12]
         want = scores[scores >= scores[min(toxicity.K, len(scores)) - 1] - toxicity.TIE] if len(scores) else scores
