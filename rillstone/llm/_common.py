@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,17 @@ def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 1 << 20, most_r
         at = end
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow; when its task ends, what Arrow has freed goes back to the system, as Python workers are used again."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         self[word] = found = xxhash.xxh3_64_intdigest(word)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import WordHasher, save, slices, small, text_key
+from ._common import WordHasher, save, slices, small, text_key, tidy
 from .components import components
 
 SHINGLE_WORDS, MIN_SIMILARITY = 5, 0.8
@@ -143,6 +143,7 @@ def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, k1, k2, rep, bands): the text's key and the band keys of every document; none for texts without words."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
@@ -163,6 +164,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def shingle_sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
     """(rep, packed shingles), one row for each row of wanted: (k1, k2, rep), the key of one text of the rep."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
@@ -181,6 +183,7 @@ def shingle_sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """(a, b) of the pairs whose exact similarity is at least least. Hot partners are split by Spark's skew join."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = [similarity(_unpacked(x), _unpacked(y)) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
@@ -197,6 +200,7 @@ def sketch_bits(holds: np.ndarray) -> np.ndarray:
     return np.packbits(drawn.astype(np.uint8), axis=1, bitorder="little").view("<i8")
 
 
+@tidy
 def _strict_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, 1, most_rows=200):

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import save, slices, small
+from ._common import save, slices, small, tidy
 
 MAX_TOKENS = 2048
 END_ID = 0
@@ -28,8 +28,8 @@ END_ID = 0
 RANKED_ROWS = 50_000
 PLAN_ROWS = 200_000
 #: Words that each of two generations remembers, and the characters of the longest.
-CACHE_WORDS, CACHED_LENGTH = 150_000, 48
-JOINED_WORDS, ENCODED_BYTES = 4096, 8 << 20
+CACHE_WORDS, CACHED_LENGTH = 60_000, 48
+JOINED_WORDS, ENCODED_BYTES = 4096, 6 << 20
 CLOSING = r"(\pL)([.,;:!?]+)([ \n]|$)"
 
 
@@ -114,6 +114,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(doc_id, piece, start, length, ids): ids are little-endian unsigned 32-bit, the document's last one is END_ID."""
 
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary not in _ENCODERS:
             _ENCODERS[vocabulary] = WordEncoder(vocabulary)

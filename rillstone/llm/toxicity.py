@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import WordHasher, bounded_sample, save, slices
+from ._common import WordHasher, bounded_sample, save, slices, tidy
 
 TERMS = 1 << 20
 MAX_EXAMPLES, MAX_EXAMPLE_BYTES = 5_000, 16 << 20
@@ -50,6 +50,7 @@ def term_counts(words: np.ndarray) -> Vector:
 def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     """In how many of all documents each dimension is, and how many documents there are."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, total = WordHasher(), np.zeros(TERMS, np.int64)
         for batch in batches:
@@ -94,7 +95,7 @@ class BlockMaxIndex:
     """Cosine search over examples, given as term counts, labels and ids; weight: of every dimension."""
 
     def __init__(self, weight: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[int | None]):
-        self.weight = weight
+        self.weight = weight.astype(np.float32)
         vectors = [self.vector(*e) for e in examples]
         # Examples with the same weightiest terms stand together, so that block maxima are sharp.
         strongest = [tuple(t[np.argsort(-w, kind="stable")[:2]].tolist()) for t, w in vectors]
@@ -108,13 +109,14 @@ class BlockMaxIndex:
         term, at, w = term[sort], at[sort], w[sort]
         known, start, n = np.unique(term, return_index=True, return_counts=True)
         often = n * ROW_SHARE > len(order)
-        self.row, self.place = np.full(TERMS, -1, np.int32), np.full(TERMS, -1, np.int32)
-        self.row[known[often]] = np.arange(often.sum())
+        # Of every dimension: its row, or -2 minus its place among those that have postings; -1 for neither.
+        self.place = np.full(TERMS, -1, np.int32)
+        self.place[known[often]] = np.arange(often.sum())
         self.rows = np.zeros((int(often.sum()), self.blocks * BLOCK), np.float32)
         p = _expand(start[often], start[often] + n[often])
         self.rows[np.repeat(np.arange(often.sum()), n[often]), at[p]] = w[p]
         p = _expand(start[~often], start[~often] + n[~often])
-        term, self.at, self.w = term[p], at[p], w[p]
+        term, self.at, self.w = term[p], at[p], w[p].astype(np.float32)
         # An entry is a term in a block: its range of postings, its block, its largest weight.
         block = self.at // BLOCK
         new = np.concatenate(([True], (np.diff(term) != 0) | (np.diff(block) != 0))) if len(term) else np.empty(0, bool)
@@ -124,7 +126,7 @@ class BlockMaxIndex:
         self.most = np.maximum.reduceat(self.w, starts) if len(starts) else np.empty(0)
         known, first = np.unique(term[starts], return_index=True)
         self.entry = np.concatenate((first, [len(starts)]))
-        self.place[known] = np.arange(len(known))
+        self.place[known] = -2 - np.arange(len(known))
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> Vector:
         """Dimensions and weights of length 1."""
@@ -135,7 +137,7 @@ class BlockMaxIndex:
         """For each query the sums over the terms that are rows, for every example."""
         wanted = np.zeros((len(vectors), len(self.rows)), np.float32)
         for k, (terms, weights) in enumerate(vectors):
-            row = self.row[terms]
+            row = self.place[terms]
             wanted[k, row[row >= 0]] = weights[row >= 0]
         return wanted @ self.rows
 
@@ -149,7 +151,7 @@ class BlockMaxIndex:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples, and of all that tie with the last, nearest first."""
         n, score = len(self.labels), sums.astype(np.float64)
-        place = self.place[terms]
+        place = -2 - self.place[terms]
         weights = weights[place >= 0]
         place = place[place >= 0]
         low, high = self.entry[place], self.entry[place + 1]
@@ -255,25 +257,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
-    """(row, score, evidence) of (row, text)."""
+    """(row, text, score, evidence) of (row, text)."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
         hasher = WordHasher()
         for batch in batches:
             for part in slices(batch, 1):
                 scores, evidence = sent.value.scores([term_counts(hasher.words(t)) for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["row", "score", "evidence"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["row", "text", "score", "evidence"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, evidence array<struct<example: long, label: int, cosine: double>>")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, score double, evidence array<struct<example: long, label: int, cosine: double>>")
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """(row, score, evidence): row is the whole input row; evidence an array of the nearest examples (id, label, cosine)."""
-    return _scored(docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string")), model)
+    """(row, score, evidence): row is the whole input row, its text as a string; evidence an array of the nearest examples
+    (id, label, cosine)."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    done = _scored(docs.select(F.struct(*others).alias("row"), F.col(text_col).cast("string").alias("text")), model)
+    return done.select(F.struct(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]).alias("row"), "score", "evidence")
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, evidence)."""
-    return _scored(docs.select(F.col(id_col).alias("row"), F.col(text_col).cast("string")), model).withColumnRenamed("row", id_col)
+    done = _scored(docs.select(F.col(id_col).alias("row"), F.col(text_col).cast("string").alias("text")), model)
+    return done.select(F.col("row").alias(id_col), "score", "evidence")
