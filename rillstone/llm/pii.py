@@ -1,25 +1,29 @@
 """Personal data: base spans by pattern and check, further spans by boosted trees over high-recall candidates.
 
 Base spans (email, ip, card, phone) are leftmost matches that do not overlap within their kind, kept where their check
-passes. Looser generators propose spans that may overlap; those that cover a base span are the trees' positive examples,
-the others their negative ones, told by format and context features. For each kind the least score at which the share of
-confirmed candidates is MIN_PRECISION over the whole table becomes its threshold; unconfirmed candidates above it, which
-overlap no base span and no better candidate, are added.
+passes. Looser generators propose spans that may overlap: other separators, missing prefixes, written-out signs. A
+candidate's label is a check of its content that no base pattern makes and no feature shows: the Luhn sum of 13 to 19
+digits, four octets, a domain that ends in letters, a number of dialled digits. The trees see only how it is written and
+what stands around it, with trees for each kind. Each kind's threshold is the least score at which MIN_PRECISION of the candidates held out from the
+trees pass their check; candidates above it that overlap no base span are added, of overlapping ones the best.
 
 Start and end are code points, end exclusive. Positions come from the lengths of what lies between matches; sums run in
-blocks, so texts with very many matches stay cheap. Patterns are possessive and start at the start of a run, or where the
-last match ended, which finds the plain patterns' matches in linear time and constant stack.
-
-Defined cases: null texts are empty and have no spans; rows with a null or repeated id are treated each; without both
-kinds of examples nothing is added; an empty table gives an empty result. Only DataFrame functions and Spark's own
-learner are used.
+blocks, overlaps by running maxima, so texts with very many matches stay cheap. Patterns are possessive and start at the
+start of a run, or where the last match ended, which finds the plain patterns' matches in linear time and constant stack.
+
+Defined cases: null texts are empty and have no spans; texts are read whole, of any length; rows with a null or repeated
+id are treated each; ties between overlapping candidates go to the later start, then kind; only id and text are read, so
+other columns may have any name; of a kind without candidates of both labels nothing is added, nor of one with fewer than
+MIN_HELD_OUT of them held out; an empty table gives an empty result. Only DataFrame functions and Spark's own learner are
+used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import boosting
@@ -33,13 +37,13 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 CANDIDATES = {
-    "email": r"(?<![^\s@])[^\s@]++@[^\s@]++",
-    "ip": r"(?<![0-9.])[0-9]++(?:\.[0-9]++){2}+(?:\.[0-9]++)*+",
-    "card": r"(?<![0-9+])[0-9](?:[\x20./-]{0,2}[0-9]){8,40}+",
-    "phone": r"\+[0-9](?:[\x20()./-]{0,3}[0-9]){5,40}+",
+    "email": r"(?<![^\s@])[^\s@]++@[^\s@]++|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9()\[\].-]++",
+    "ip": r"(?<![0-9.])[0-9]++(?:(?:\.|\[\.\]|\(\.\))[0-9]++){2,8}+",
+    "card": r"(?<![0-9+])[0-9](?:[\x20./_-]{0,2}[0-9]){8,40}+",
+    "phone": r"(?<![0-9+])(?:\+|\(|00)?[0-9](?:[\x20()./-]{0,3}[0-9]){6,40}+",
 }
-MIN_PRECISION, BINS = 0.995, 50
-FEATURES = ["f_kind", "f_length", "f_digits", "f_letters", "f_separators", "f_dots", "f_groups", "f_plus", "f_luhn", "f_octets", "f_domain", "f_before_space", "f_before_digit", "f_before_word", "f_after_space", "f_after_digit", "f_cue"]
+MIN_PRECISION, BINS, MIN_HELD_OUT, FOLDS = 0.95, 50, 20, 5
+FEATURES = ["f_length", "f_digits", "f_letters", "f_separators", "f_dots", "f_brackets", "f_groups", "f_longest", "f_plus", "f_first", "f_before_space", "f_before_digit", "f_before_word", "f_after_space", "f_after_digit", "f_after_word", "f_cue"]
 #: Words of four languages that stand before personal data; a context feature, not a rule.
 CUES = r"(?i)(mail|tel|phone|fon|call|card|karte|carte|tarjeta|kont|ip|addr|adres|server|host)[^\n]{0,8}$"
 BLOCK, ADDED_ROWS = 64, 1_000_000
@@ -117,42 +121,82 @@ def n_of(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def _features(c: DataFrame) -> DataFrame:
+def _checked(c: DataFrame) -> DataFrame:
+    """Candidates with label: whether the content passes the check of its kind, however it is written."""
     hit, number = F.col("hit"), digits(F.col("hit"))
+    plain = F.regexp_replace(F.regexp_replace(hit, r" ?[(\[]at[)\]] ?", "@"), r"[(\[](?:dot|\.)[)\]]", ".")
+    n = F.length(number)
+    octets = plain.rlike(r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$")
+    passes = (
+        F.when(F.col("kind") == KINDS.index("email"), F.regexp_replace(plain, "[^A-Za-z0-9]++$", "").rlike(r"^[^@]*[A-Za-z0-9][^@]*@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}$"))
+        .when(F.col("kind") == KINDS.index("ip"), octets)
+        .when(F.col("kind") == KINDS.index("card"), F.when(n.between(13, 19), luhn(number)).otherwise(False))
+        .otherwise(n.between(10, 15) & hit.rlike(r"^(?:\+|00|\()") & ~octets)
+    )
+    return c.withColumn("label", F.coalesce(passes, F.lit(False)).cast("double"))
+
+
+def _features(c: DataFrame) -> DataFrame:
+    hit = F.col("hit")
     count = lambda pattern: F.length(hit) - F.length(F.regexp_replace(hit, pattern, ""))
+    groups = F.split(hit, "[^0-9]+")
     made = {
-        "f_kind": F.col("kind"), "f_length": F.least(F.length(hit), F.lit(200)), "f_digits": F.length(number), "f_letters": count("[A-Za-z]"), "f_separators": count(r"[\x20()/-]"), "f_dots": count("[.]"),
-        "f_groups": F.size(F.split(hit, "[^0-9]+")), "f_plus": hit.startswith("+"), "f_luhn": F.when(F.length(number).between(8, 24), luhn(number)).otherwise(False), "f_octets": hit.rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$"), "f_domain": hit.rlike(r"@[A-Za-z0-9-]++\.[A-Za-z0-9-]"),
-        "f_before_space": F.col("before").rlike(r"(^|\s)$"), "f_before_digit": F.col("before").rlike("[0-9]$"), "f_before_word": F.col("before").rlike(r"\p{L}$"), "f_after_space": F.col("after").rlike(r"^(\s|$)"), "f_after_digit": F.col("after").rlike("^[0-9]"), "f_cue": F.col("before").rlike(CUES),
+        "f_length": F.least(F.length(hit), F.lit(200)), "f_digits": F.length(digits(hit)), "f_letters": count("[A-Za-z]"), "f_separators": count(r"[\x20/_-]"), "f_dots": count("[.]"), "f_brackets": count(r"[()\[\]]"),
+        "f_groups": F.size(groups), "f_longest": F.array_max(F.transform(groups, F.length)), "f_plus": hit.startswith("+"), "f_first": F.coalesce(F.try_to_number(F.left(digits(hit), F.lit(1)), F.lit("9")), F.lit(-1)),
+        "f_before_space": F.col("before").rlike(r"(^|\s)$"), "f_before_digit": F.col("before").rlike("[0-9]$"), "f_before_word": F.col("before").rlike(r"\p{L}$"), "f_after_space": F.col("after").rlike(r"^(\s|$)"), "f_after_digit": F.col("after").rlike("^[0-9]"), "f_after_word": F.col("after").rlike(r"^\p{L}"), "f_cue": F.col("before").rlike(CUES),
     }
     return c.withColumns({k: v.cast("double") for k, v in made.items()})
 
 
-def _added(found: DataFrame, rows: int) -> DataFrame | None:
-    """(k1, k2, added): spans beside the base ones, from (k1, k2, base, candidates)."""
-    each = found.select("k1", "k2", "base", F.explode("candidates").alias("c")).select("k1", "k2", "base", "c.*")
-    covers = F.exists("base", lambda b: (b["kind"] == F.col("kind")) & (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    meets = F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    each = save(_features(each.withColumns({"label": covers.cast("double"), "meets": meets})).drop("base", "before", "after"), "pii-candidates")
-    model = boosting.fit(each, FEATURES, "label", "hit", rows)
-    if model is None:
-        return None
-    scored = save(model.score(each, "p").select("k1", "k2", "kind", "start", "end", "label", "meets", "p"), "pii-scores")
+def _free(each: DataFrame, base: DataFrame) -> DataFrame:
+    """each (k1, k2, kind, start, end, ...) with free: no base span of the text overlaps it. A span overlaps one that starts
+    no later if any of those ends after its start, and one that starts no earlier if the first of those starts before its end."""
+    both = each.withColumn("_base", F.lit(False)).unionByName(base.withColumn("_base", F.lit(True)), allowMissingColumns=True)
+    order = Window.partitionBy("k1", "k2").orderBy("start")
+    earlier = F.max(F.when(F.col("_base"), F.col("end"))).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    later = F.min(F.when(F.col("_base"), F.col("start"))).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    free = F.coalesce(earlier <= F.col("start"), F.lit(True)) & F.coalesce(later >= F.col("end"), F.lit(True))
+    return both.withColumn("free", free).filter("not _base").drop("_base")
+
+
+def thresholds(scored: DataFrame, precision: float = MIN_PRECISION) -> dict[int, float]:
+    """Of each kind the least score, in steps of 1 / BINS, at and above which so many of the candidates pass their check."""
     bins = scored.groupBy("kind", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()  # 4 kinds of BINS bins
     least: dict[int, float] = {}
     for kind in range(len(KINDS)):
         n = good = 0
         for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
             n, good = n + r["n"], good + r["good"]
-            if good >= MIN_PRECISION * n:
+            if n >= MIN_HELD_OUT and good >= precision * n:
                 least[kind] = r["bin"] / BINS
+    return least
+
+
+def _added(found: DataFrame, rows: int) -> DataFrame | None:
+    """(k1, k2, added): spans beside the base ones, from (k1, k2, base, candidates). Texts that repeat count once."""
+    each = found.select("k1", "k2", F.explode("candidates").alias("c")).select("k1", "k2", "c.*").distinct()
+    base = found.select("k1", "k2", F.explode("base").alias("b")).select("k1", "k2", F.col("b.start").alias("start"), F.col("b.end").alias("end")).distinct()
+    each = save(_free(_checked(each), base), "pii-candidates")
+    held_out = F.pmod(F.xxhash64("hit", "before"), F.lit(FOLDS)) == 0
+    parts = []
+    for kind in range(len(KINDS)):  # trees of its own
+        own = each.filter(F.col("kind") == kind)
+        model = boosting.fit(_features(own.filter(~held_out)), FEATURES, "label", "hit", rows)
+        if model is not None:
+            parts.append(model.score(_features(own), "p").select("k1", "k2", "kind", "start", "end", "label", "free", "p", held_out.alias("held_out")))
+    if not parts:
+        return None
+    scored = save(reduce(DataFrame.unionByName, parts), "pii-scores")
     threshold = F.lit(2.0)
-    for kind, t in least.items():
+    for kind, t in thresholds(scored.filter("held_out")).items():
         threshold = F.when(F.col("kind") == kind, t).otherwise(threshold)
-    chosen = scored.filter(~F.col("meets") & (F.col("p") >= threshold)).select("k1", "k2", F.struct("p", "start", "kind", "end").alias("s")).distinct()
-    best = chosen.groupBy("k1", "k2").agg(F.collect_list("s").alias("all"))  # of one text
-    beaten = lambda x: F.exists("all", lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"]) & (y > x))
-    return best.select("k1", "k2", F.transform(F.filter("all", lambda x: ~beaten(x)), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))).alias("added"))
+    chosen = scored.filter(F.col("free") & (F.col("p") >= threshold))
+    order = Window.partitionBy("k1", "k2").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    group = F.sum(F.when(F.col("start") < F.col("_reach"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = chosen.withColumn("_reach", reach).withColumn("_group", group)
+    best = runs.groupBy("k1", "k2", "_group").agg(F.max(F.struct("p", "start", "kind", "end")).alias("s"))
+    return best.groupBy("k1", "k2").agg(F.collect_list(F.struct("s.start", "s.kind", "s.end")).alias("added"))  # of one text
 
 
 def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = boosting.MAX_TRAINING_ROWS) -> DataFrame:

@@ -19,7 +19,8 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, URL_RULES, url_filter.page_labels(pages)).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +34,8 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(table(spark, sf_dir, "documents"))
     counts = [pii.n_of(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
-    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.array_sort(F.concat("base", "added"))).alias("spans"))
+    spans = F.array_sort(F.concat("base", "added"))
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(spans).alias("spans"), F.size(spans).cast("long").alias("n_spans"), F.size("added").cast("long").alias("n_added"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

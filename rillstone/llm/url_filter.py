@@ -1,13 +1,17 @@
 """URL filter: longest-match rules by host and path, and boosted trees on lexical features for URLs no rule decides.
 
-Labelled URLs train the trees; a rule list labels the URLs it decides, so filter_urls() can learn from its own rules where
-no other labels are given. Features: lengths, depth, digit and punctuation ratios, character entropy, parameter counts,
-and the smoothed share of label 1 under the host's last and last two labels (suffix statistics, kept for suffixes with
-MIN_SUFFIX_ROWS labelled URLs of the sample, so their number is bounded by it).
-
-Defined cases: null URLs and those without :// have an empty host and path and fall to the trees; repeated rows are
-judged each; among rules of one length the alphabetically first wins; without both labels every undecided URL is
-allowed; an empty table gives an empty result. Only DataFrame functions and Spark's own learner are used.
+Labelled URLs train the trees. No table labels URLs, so pages do: page_labels() calls a page poor (label 1) if its visible
+text has fewer than MIN_PAGE_WORDS words or more than MAX_PAGE_SYMBOLS of its characters are neither letters, digits, space
+nor common punctuation. Rules take no part in it. Features: lengths, depth, digit and punctuation ratios, character
+entropy, parameter counts, and the smoothed share of label 1 under the host's last one, two and three labels (suffix
+statistics, kept for suffixes with MIN_SUFFIX_ROWS labelled URLs of the sample, so their number is bounded by it). A
+training row's suffix shares come from the other folds, so its own label takes no part in them.
+
+Defined cases: null URLs and those without :// have an empty host and path and fall to the trees; URLs of any length are
+read whole; repeated rows are judged each, a URL with both labels is a row of either; among rules of one length the
+alphabetically first wins; with fewer than MIN_LABELLED labelled URLs, or of one label only, every undecided URL is
+allowed; null labels are none; only id and URL are read, so other columns may have any name; an empty table gives an
+empty result. Only DataFrame functions and Spark's own learner are used.
 """
 
 from __future__ import annotations
@@ -20,9 +24,11 @@ from ._common import bounded_sample, save
 
 #: Rules up to so many become one expression; more are joined on the host's suffixes.
 COMPILED_RULES = 200
-MIN_SUFFIX_ROWS, PRIOR_ROWS = 10, 10
+MIN_SUFFIX_ROWS, PRIOR_ROWS, FOLDS = 10, 10, 5
+MIN_LABELLED, MIN_PAGE_WORDS, MAX_PAGE_SYMBOLS = 200, 60, 0.03
 BLOCK_FROM = 0.5
-FEATURES = ["f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_punctuation", "f_entropy", "f_parameters", "f_query_length", "f_fragment", "f_secure", "f_suffix", "f_suffix2"]
+FEATURES = ["f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_punctuation", "f_entropy", "f_parameters", "f_query_length", "f_fragment", "f_secure", "f_suffix1", "f_suffix2", "f_suffix3"]
+SUFFIXES = (1, 2, 3)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -71,37 +77,65 @@ def lexical(urls: DataFrame, url_col: str) -> DataFrame:
         "f_digits": 1 - share("[0-9]"), "f_punctuation": 1 - share(r"[^a-zA-Z0-9]"), "f_entropy": entropy,
         "f_parameters": F.when(query == "", 0).otherwise(F.size(F.split(query, "&"))).cast("double"), "f_query_length": F.length(query).cast("double"),
         "f_fragment": F.contains(url, F.lit("#")).cast("double"), "f_secure": url.startswith("https").cast("double"),
-        "_s1": F.substring_index("host", ".", -1), "_s2": F.substring_index("host", ".", -2),
+        **{f"_s{n}": F.substring_index("host", ".", -n) for n in SUFFIXES},
     })
 
 
-def _suffix_shares(sample: DataFrame, column: str, to: str) -> tuple[DataFrame, float]:
-    base = sample.agg(F.coalesce(F.avg("_label"), F.lit(0.0)).alias("p")).first()["p"]
-    rows = sample.groupBy(column).agg(F.sum("_label").alias("ones"), F.count("*").alias("n")).filter(F.col("n") >= MIN_SUFFIX_ROWS)
-    return rows.select(column, ((F.col("ones") + PRIOR_ROWS * base) / (F.col("n") + PRIOR_ROWS)).alias(to)), base
+def page_labels(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(url, label): 1 for the URLs of poor pages. Pages without HTML give no label."""
+    text = F.regexp_replace(F.col(html_col).cast("string"), r"(?is)<(script|style)\b[^>]*+>.*?</\1>|<[^>]*+>", " ")
+    words = F.size(F.array_remove(F.split(text, r"\s+"), ""))
+    symbols = F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s.,;:!?'\x22()&-]", "")) / F.greatest(F.length(text), F.lit(1))
+    return pages.filter(F.col(html_col).isNotNull()).select(F.col(url_col).alias("url"), ((words < MIN_PAGE_WORDS) | (symbols > MAX_PAGE_SYMBOLS)).cast("double").alias("label"))
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", rows: int = boosting.MAX_TRAINING_ROWS) -> DataFrame:
-    """(id, url, host, path, rule, verdict, block_score). labelled: (url, label), label 1 to block; by default what the rules decide."""
+def _suffix_shares(sample: DataFrame, base: float, n: int) -> tuple[DataFrame, DataFrame]:
+    """(suffix, share) of the whole sample, and (suffix, fold, share) of the folds but that one."""
+    key = f"_s{n}"
+    folds = sample.groupBy(key, "_fold").agg(F.sum("_label").alias("ones"), F.count("*").alias("n"))
+    whole = folds.groupBy(key).agg(F.sum("ones").alias("all_ones"), F.sum("n").alias("all_n")).filter(F.col("all_n") >= MIN_SUFFIX_ROWS)
+    share = lambda ones, rows: ((ones + PRIOR_ROWS * base) / (rows + PRIOR_ROWS)).alias(f"f_suffix{n}")
+    rest = folds.join(whole, key).select(key, "_fold", share(F.col("all_ones") - F.col("ones"), F.col("all_n") - F.col("n")))
+    return whole.select(key, share(F.col("all_ones"), F.col("all_n"))), rest
+
+
+class UrlModel:
+    """Trees and suffix shares learnt from a bounded sample of labelled URLs (url, label)."""
+
+    def __init__(self, labelled: DataFrame, rows: int = boosting.MAX_TRAINING_ROWS):
+        host, path = host_and_path(F.col("url"))
+        known = labelled.filter(F.col("label").isNotNull()).select("url", host.alias("host"), path.alias("path"), F.col("label").cast("double").alias("_label"))
+        # The sample's size is a documented bound; so is that of the suffix tables made from it.
+        sample = lexical(bounded_sample(known, "url", rows), "url").withColumn("_fold", F.pmod(F.xxhash64("url", F.lit(5)), F.lit(FOLDS)))
+        sample = save(sample, "labelled-urls")
+        n, self.base = sample.agg(F.count("*"), F.coalesce(F.avg("_label"), F.lit(0.0))).first()
+        self.model, self.shares = None, []
+        if n < MIN_LABELLED:
+            return
+        training = sample
+        for k in SUFFIXES:
+            whole, rest = _suffix_shares(sample, self.base, k)
+            self.shares.append((f"_s{k}", save(whole, "suffixes")))
+            training = training.join(F.broadcast(save(rest, "suffixes")), [f"_s{k}", "_fold"], "left")
+        self.model = boosting.fit(self._filled(training), FEATURES, "_label", "url", rows)
+
+    def _filled(self, df: DataFrame) -> DataFrame:
+        return df.fillna({f"f_suffix{k}": self.base for k in SUFFIXES})
+
+    def score(self, urls: DataFrame, url_col: str) -> DataFrame:
+        """urls (with host, path) and block_score."""
+        if self.model is None:
+            return urls.withColumn("block_score", F.lit(0.0))
+        known = lexical(urls, url_col)
+        for key, whole in self.shares:
+            known = known.join(F.broadcast(whole), key, "left")
+        return self.model.score(self._filled(known), "block_score")
+
+
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame, id_col: str = "page_id", url_col: str = "url", rows: int = boosting.MAX_TRAINING_ROWS) -> DataFrame:
+    """(id, url, host, path, rule, verdict, block_score). labelled: (url, label), label 1 to block."""
     host, path = host_and_path(F.col(url_col).cast("string"))
     judged = match_rules(pages.select(F.col(id_col), F.col(url_col).cast("string").alias(url_col), host.alias("host"), path.alias("path")), rules)
-    if labelled is None:
-        known = judged.filter("rule is not null").select(F.col(url_col), "host", "path", (F.col("rule_verdict") == "block").cast("double").alias("_label"))
-    else:
-        host, path = host_and_path(F.col("url"))
-        known = labelled.select(F.col("url").alias(url_col), host.alias("host"), path.alias("path"), F.col("label").cast("double").alias("_label"))
-    # The sample's size is a documented bound; so is that of the suffix tables made from it.
-    sample = save(lexical(bounded_sample(known, url_col, rows), url_col), "labelled-urls")
-    (s1, p1), (s2, p2) = _suffix_shares(sample, "_s1", "f_suffix"), _suffix_shares(sample, "_s2", "f_suffix2")
-    s1, s2 = save(s1, "suffixes"), save(s2, "suffixes")
-
-    def with_shares(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(s1), "_s1", "left").join(F.broadcast(s2), "_s2", "left").fillna({"f_suffix": p1, "f_suffix2": p2})
-
-    model = boosting.fit(with_shares(sample), FEATURES, "_label", url_col, rows)
-    if model is None:
-        scored = judged.withColumn("block_score", F.lit(0.0))
-    else:
-        scored = model.score(with_shares(lexical(judged, url_col)), "block_score")
+    scored = UrlModel(labelled, rows).score(judged, url_col)
     verdict = F.coalesce("rule_verdict", F.when(F.col("block_score") >= BLOCK_FROM, "block").otherwise("allow"))
     return scored.select(id_col, url_col, "host", "path", "rule", verdict.alias("verdict"), "block_score")
