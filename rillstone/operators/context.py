@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions import keys
 from rillstone.functions.fields import first_present, present
+from rillstone.operators.summarize import counts, top
+from rillstone.sources.records import write_json
 
 # The default indicators.
 INDICATORS = ["SP.POP.TOTL", "EN.POP.DNST", "NY.GDP.PCAP.CD"]
@@ -14,10 +18,12 @@ COUNTRY_FIELDS = ["country", "geographic_scope", "location"]
 
 
 def doi_inventory(df: DataFrame) -> DataFrame:
+    """The distinct DOIs; orderBy("doi") lists them sorted."""
     return df.select(keys.doi(present(df, "doi")).alias("doi")).filter("doi is not null").distinct()
 
 
 def country_inventory(df: DataFrame, columns: list[str] = COUNTRY_FIELDS) -> DataFrame:
+    """The distinct countries; orderBy("country_iso3") lists them sorted."""
     return df.select(keys.iso3(first_present(df, columns)).alias("country_iso3")).filter("country_iso3 is not null").distinct()
 
 
@@ -32,10 +38,17 @@ def request_manifest(df: DataFrame, indicators: list[str] = INDICATORS) -> DataF
     return of_works.unionByName(both.select(F.lit("indicators").alias("service"), F.concat_ws("/", "country_iso3", "indicator").alias("request_key"), keys.indicator_url(F.col("country_iso3"), F.col("indicator")).alias("url")))
 
 
-def fetch_results(manifest: DataFrame, landed: DataFrame) -> DataFrame:
-    """Each request with ok where its payload has landed, else error. landed: (service, request_key)."""
-    got = landed.select("service", "request_key").distinct().withColumn("_ok", F.lit(True))
-    return manifest.join(got, ["service", "request_key"], "left").withColumn("status", F.when(F.col("_ok"), "ok").otherwise("error")).drop("_ok")
+def fetch_results(manifest: DataFrame, landed: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """Each request with status ok where its payload has landed, else error with a message: that of failures (service,
+    request_key, message), or that no payload has landed. landed: (service, request_key)."""
+    by = ["service", "request_key"]
+    done = manifest.join(landed.select(*by).distinct().withColumn("_ok", F.lit(True)), by, "left")
+    if failures is None:
+        done = done.withColumn("_why", F.lit(None).cast("string"))
+    else:
+        done = done.join(failures.groupBy(*by).agg(F.max("message").alias("_why")), by, "left")
+    message = F.when(F.col("_ok").isNull(), F.coalesce("_why", F.lit("no payload has landed")))
+    return done.withColumns({"status": F.when(F.col("_ok"), "ok").otherwise("error"), "message": message}).drop("_ok", "_why")
 
 
 def last_row(dim: DataFrame, key: str, order: str) -> DataFrame:
@@ -84,3 +97,27 @@ def context_sizes(a: DataFrame, b: DataFrame, series: DataFrame) -> DataFrame:
 def context_overview(df: DataFrame, fetched: bool = False) -> DataFrame:
     doi, iso = keys.doi(present(df, "doi")), keys.iso3(first_present(df, COUNTRY_FIELDS))
     return df.agg(F.count_distinct(doi).alias("doi_count"), F.count_distinct(iso).alias("country_count"), F.lit(fetched).alias("fetched"))
+
+
+#: Names of the normalised tables; fixed values.
+TABLES = ["crossref_works", "openalex_works", "world_bank_records", "world_bank_latest"]
+
+
+def write_context_tables(root: str, a: DataFrame, b: DataFrame, series: DataFrame) -> dict[str, str]:
+    """The four normalised tables as JSON lines under root; their paths by name."""
+    paths = {}
+    for name, df in zip(TABLES, (a, b, series, latest_indicators(series)), strict=True):
+        paths[name] = f"{root}/{name}"
+        write_json(df, paths[name])
+    return paths
+
+
+def dimension_summary(a: DataFrame, b: DataFrame, series: DataFrame, order: str = "load_order") -> DataFrame:
+    """(kind, key, n) over the dimensions' own rows: how many rows each has, the ten most frequent publishers and journals,
+    and how many countries have a latest value of each indicator."""
+    latest = latest_indicators(series)
+    rows = [df.agg(F.lit("rows").alias("kind"), F.lit(name).alias("key"), F.count("*").alias("n")) for name, df in zip(TABLES, (a, b, series, latest), strict=True)]
+    of = lambda df, kind: df.select(F.lit(kind).alias("kind"), "key", "n")
+    rows += [of(top(counts(a, F.col("publisher"), order)), "publisher"), of(top(counts(b, F.col("journal"), order)), "journal")]
+    rows.append(of(latest.groupBy(F.col("indicator").alias("key")).agg(F.count("*").alias("n")), "indicator"))
+    return reduce(DataFrame.unionByName, rows)

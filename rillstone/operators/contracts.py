@@ -18,8 +18,9 @@ SERVICE_KEYS = {"Elsevier": "ELSEVIER_API_KEY", "Springer": "SPRINGER_API_KEY",
 PROVENANCE_GROUPS = [["doi", "paper_title"], ["evidence_location", "evidence_page", "table_figure_id"], ["extraction_confidence"]]
 
 
-def integrity_status(pages: Column, text: Column) -> Column:
-    return F.when(pages.isNull(), "pdf_corrupted").when(pages <= 1, "pdf_one_page_only").when(~keys.is_extractable(text), "abstract_only").otherwise("fulltext_ready")
+def integrity_status(pages: Column, usable: Column) -> Column:
+    """usable: whether the text is extractable (keys.is_extractable)."""
+    return F.when(pages.isNull(), "pdf_corrupted").when(pages <= 1, "pdf_one_page_only").when(~usable, "abstract_only").otherwise("fulltext_ready")
 
 
 def doi_routes(dois: DataFrame, supported: list[str] = tuple(SERVICE_KEYS)) -> DataFrame:
@@ -48,10 +49,11 @@ def first_success(attempts: DataFrame, target: str, rung: str, ok: Column) -> Da
 
 def source_gate(docs: DataFrame, has_html: Column) -> DataFrame:
     """docs (pages, text, identity_match) with integrity_status, passed and reasons."""
-    rows = docs.withColumn("integrity_status", integrity_status(F.col("pages"), F.col("text")))
+    rows = docs.withColumn("_usable", keys.is_extractable(F.col("text")))
+    rows = rows.withColumn("integrity_status", integrity_status(F.col("pages"), F.col("_usable")))
     junk = F.col("integrity_status").isin("pdf_one_page_only", "abstract_only")
-    reasons = F.array_compact(F.array(F.when(~F.col("identity_match"), F.lit("wrong_article")), F.when(junk, F.col("integrity_status")), F.when(~keys.is_extractable(F.col("text")) & ~has_html, F.lit("no usable text"))))
-    return rows.withColumn("reasons", reasons).withColumn("passed", F.size("reasons") == 0)
+    reasons = F.array_compact(F.array(F.when(~F.col("identity_match"), F.lit("wrong_article")), F.when(junk, F.col("integrity_status")), F.when(~F.col("_usable") & ~has_html, F.lit("no usable text"))))
+    return rows.withColumn("reasons", reasons).withColumn("passed", F.size("reasons") == 0).drop("_usable")
 
 
 def outside_vocabulary(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
@@ -109,7 +111,13 @@ REBUILD_COLUMNS = {"source_title_matched": "paper_title", "source_literature_doi
 
 
 def mapped_columns(df: DataFrame, mapping: dict[str, str] = REBUILD_COLUMNS) -> DataFrame:
-    return df.withColumnsRenamed({a: b for a, b in mapping.items() if a in df.columns})
+    """Source columns under their record names. Where a record has both, its own value goes first and the source's fills in."""
+    for a, b in mapping.items():
+        if a in df.columns and b in df.columns:
+            df = df.withColumn(b, first_present(df, [b, a])).drop(a)
+        elif a in df.columns:
+            df = df.withColumnRenamed(a, b)
+    return df
 
 
 def resolve_references(rows: DataFrame, mapping: DataFrame, citations: DataFrame | None = None) -> DataFrame:

@@ -48,9 +48,14 @@ def nonconforming(rows: DataFrame) -> DataFrame:
 
 
 def provenance_hash(df: DataFrame) -> DataFrame:
-    """One row: n_rows and a hash that the order of rows doesn't change."""
-    hashed = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"}))
-    return df.select(hashed.cast("decimal(38,0)").alias("h")).agg(F.count("*").alias("n_rows"), F.coalesce(F.sum("h"), F.lit(0)).cast("string").alias("hash"))
+    """One row: n_rows, and a hash of all rows that their order doesn't change: four sums, each of 15 hexadecimal digits of
+    the rows' SHA-256. A row's text is its values in order of column names, nulls as \\N, divided by the unit separator."""
+    nested = {f.name for f in df.schema if f.dataType.typeName() in ("array", "map", "struct", "variant")}
+    text = lambda c: F.to_json(F.col(f"`{c}`")) if c in nested else F.col(f"`{c}`").cast("string")
+    digest = F.sha2(F.concat_ws("\x1f", *[F.coalesce(text(c), F.lit("\\N")) for c in sorted(df.columns)]), 256)
+    pieces = [F.conv(F.substring("d", 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)") for i in range(4)]
+    sums = [F.coalesce(F.sum(p), F.lit(0)).cast("decimal(38,0)").cast("string") for p in pieces]
+    return df.select(digest.alias("d")).agg(F.count("*").alias("n_rows"), F.concat_ws("-", *sums).alias("hash"))
 
 
 def publish(root: str, tag: str, tables: dict[str, DataFrame | None]) -> DataFrame:

@@ -44,8 +44,11 @@ def numeric_summary(values: DataFrame, *by: str) -> DataFrame:
 
 
 def threshold_summary(df: DataFrame) -> DataFrame:
+    """count, min and max of the finite thresholds, and how many were not finite."""
     v = number(present(df, "risk_threshold"))
-    return df.agg(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"))
+    finite = ~F.isnan(v) & (F.abs(v) != float("inf"))
+    kept = F.when(finite, v)
+    return df.agg(F.count(kept).alias("n"), F.min(kept).alias("min"), F.max(kept).alias("max"), F.count_if(~finite).alias("not_finite"))
 
 
 def group_table(df: DataFrame, key: Column) -> DataFrame:

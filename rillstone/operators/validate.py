@@ -1,18 +1,20 @@
 """Record audit: rules to severity and notes, duplicate identities, status counts.
 
-All rules of a record are one projection; the only shuffle counts identities, and it carries the identity alone. Repeated
-identities are joined back, so an identity that very many records share (all blank) is a join Spark can split, not a group.
+All rules of a record are one projection. Counting identities shuffles identities alone. Repeated ones are joined back: where
+they are few they are broadcast, and records stay where they are; else records are shuffled once, in a join that Spark can
+split at an identity that very many records share (all blank).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillstone.functions.fields import alias, first_present, identity_text, present
 from rillstone.plans.rulebook import Rulebook
+from rillstone.sources.scratch import written
 
 REPEATED = "possible duplicate row"
 
@@ -70,19 +72,24 @@ def audit_many(df: DataFrame, book_col: str, books: list[Rulebook]) -> DataFrame
     """Audit of a table whose records name their rulebook. Identities are counted within a rulebook; records of a
     rulebook that is not among books are not judged and have null columns."""
     chosen = lambda of: reduce(lambda rest, b: F.when(F.col(book_col) == b.name, of(b)).otherwise(rest), books, F.lit(None))
-    keyed = df.withColumn("_identity", F.concat_ws("\x1e", F.col(book_col), chosen(lambda b: identity(df, b))))
+    mask = lambda b: reduce(lambda m, r: m + F.when(r[1][0], F.lit(1 << r[0])).otherwise(0), enumerate(_rules(df, b)), F.lit(0).cast("long"))
+    # Every rule is judged once, as a bit; statuses and notes are read from the bits.
+    keyed = df.withColumns({"_identity": F.concat_ws("\x1e", F.col(book_col), chosen(lambda b: identity(df, b))), "_mask": chosen(mask)})
     many = repeated_identities(keyed, F.col("_identity"))
     flagged = keyed.join(many, "_identity", "left")
     again = F.col("_n").isNotNull()
 
+    def told(b: Rulebook) -> list[tuple[Column, str, str]]:
+        return [(F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0, s, n) for i, (_, s, n) in enumerate(_rules(df, b))] + [(again, "needs_review", REPEATED)]
+
     def status(b: Rulebook) -> Column:
-        return merged_status(b, [(c, s) for c, s, _ in _rules(df, b)] + [(again, "needs_review")])
+        return merged_status(b, [(c, s) for c, s, _ in told(b)])
 
     def notes(b: Rulebook) -> Column:
-        return F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, _, n in _rules(df, b)], F.when(again, F.lit(REPEATED))))
+        return F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, _, n in told(b)]))
 
     made = flagged.withColumns({"validation_status": chosen(status), "validation_notes": chosen(notes), "applied_rulebook": F.col(book_col)})
-    return made.drop("_identity", "_n")
+    return made.drop("_identity", "_n", "_mask")
 
 
 def status_counts(audited: DataFrame) -> DataFrame:
@@ -97,10 +104,16 @@ def note_counts(audited: DataFrame) -> DataFrame:
 
 def numbered(df: DataFrame, *order: str, to: str = "row_number") -> DataFrame:
     """Rows numbered from 1 in the given order, without one task for all: ranges are sorted, counted, and each range's rows
-    number on from the rows of the ranges before it."""
-    from pyspark.sql import Window
-
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id() % (1 << 33))
+    number on from the rows of the ranges before it. The ranges are written first, as drawing them again may cut them elsewhere."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = written(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id() % (1 << 33)))
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_size"))  # a row for each partition
     before = sizes.select("_part", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     return parts.join(F.broadcast(before), "_part").withColumn(to, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
+
+
+def summary_document(audited: DataFrame, **facts: str) -> DataFrame:
+    """One row, the summary document of a run: the status counts, the notes with their counts, and the facts given."""
+    notes = audited.select(F.explode("validation_notes").alias("note")).groupBy("note").agg(F.count("*").alias("n"))
+    listed = notes.agg(F.array_sort(F.collect_list(F.struct("note", "n"))).alias("notes"))  # a row for each rule
+    return status_counts(audited).crossJoin(F.broadcast(listed)).withColumns({k: F.lit(v) for k, v in facts.items()})

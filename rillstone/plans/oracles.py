@@ -117,7 +117,7 @@ ORACLES = {
     "q_numeric_summary": f"{R1} SELECT {STATS} FROM ({VALUES})",
     "q_numeric_by_column": f"{R1} SELECT \"column\", {STATS} FROM ({VALUES}) GROUP BY 1",
     "q_numeric_lineitem": f"SELECT \"column\", {STATS} FROM (SELECT 'value_numeric' AS \"column\", l_quantity AS value FROM lineitem UNION ALL SELECT 'value_max', l_extendedprice FROM lineitem UNION ALL SELECT 'value_min', l_discount FROM lineitem) GROUP BY 1",
-    "q_threshold_summary": f"{R1} SELECT count(risk_threshold) AS n, CAST(min(risk_threshold) AS DOUBLE) AS min, CAST(max(risk_threshold) AS DOUBLE) AS max FROM r1",
+    "q_threshold_summary": f"{R1} SELECT count(risk_threshold) AS n, CAST(min(risk_threshold) AS DOUBLE) AS min, CAST(max(risk_threshold) AS DOUBLE) AS max, CAST(0 AS BIGINT) AS not_finite FROM r1",
     "q_top_pollutants": f"{R1} {counts(alias(rb.POLLUTANT))}",
     "q_top_matrices": f"{R1} {counts('matrix')}",
     "q_top_geographies": f"{R1} {counts(alias(rb.GEOGRAPHY))}",
@@ -139,7 +139,7 @@ ORACLES = {
     "q_context_overview": f"{R1} SELECT count(DISTINCT {doi('doi')}) AS doi_count, count(DISTINCT {COUNTRY}) AS country_count, false AS fetched FROM r1",
     "q_latest_indicator": f"{with_views('d3')} SELECT country_iso3, indicator, s.year AS year, s.value AS value FROM ({I_LATEST})",
     "q_request_manifest": f"{R1} SELECT 'works_a' AS service, doi AS request_key, '{keys.WORKS_A}' || {encoded('doi')} AS url FROM ({DOIS}) UNION ALL SELECT 'works_b', doi, '{keys.WORKS_B}' || {encoded('doi')} FROM ({DOIS}) UNION ALL SELECT 'indicators', c || '/' || i, '{keys.INDICATORS_URL}' || c || '/indicator/' || i || '?format=json&date=2010%3A2024&per_page=20000' FROM (SELECT DISTINCT {COUNTRY} AS c FROM r1 WHERE {COUNTRY} IS NOT NULL), (SELECT unnest({context.INDICATORS}) AS i)",
-    "q_fetch_results": f"{D}, q AS (SELECT 'works_a' AS service, doi, doi IN (SELECT doi FROM d1) AS ok FROM ({DOIS}) UNION ALL SELECT 'works_b', doi, doi IN (SELECT doi FROM d2) FROM ({DOIS}) UNION ALL SELECT 'indicators', c || i, false FROM (SELECT DISTINCT {COUNTRY} AS c FROM r1 WHERE {COUNTRY} IS NOT NULL), (SELECT unnest({context.INDICATORS}) AS i)) SELECT service, CASE WHEN ok THEN 'ok' ELSE 'error' END AS status, count(*) AS n FROM q GROUP BY 1, 2",
+    "q_fetch_results": f"{D}, q AS (SELECT 'works_a' AS service, doi, doi IN (SELECT doi FROM d1) AS ok FROM ({DOIS}) UNION ALL SELECT 'works_b', doi, doi IN (SELECT doi FROM d2) FROM ({DOIS}) UNION ALL SELECT 'indicators', c || i, false FROM (SELECT DISTINCT {COUNTRY} AS c FROM r1 WHERE {COUNTRY} IS NOT NULL), (SELECT unnest({context.INDICATORS}) AS i)) SELECT service, CASE WHEN ok THEN 'ok' ELSE 'error' END AS status, CASE WHEN NOT ok THEN CASE WHEN service = 'works_b' AND doi LIKE '%7' THEN 'HTTP Error 404: Not Found' ELSE 'no payload has landed' END END AS message, count(*) AS n FROM q GROUP BY 1, 2, 3",
     "q_flatten_a": f"{with_views('d1')} SELECT concat('/p/', load_order, '.json') AS file_path, doi, concat('T', load_order) AS title, publisher, journal, CAST(CASE WHEN load_order % 4 = 0 THEN year ELSE year + 1 END AS INT) AS year, citation_count, CAST(0 AS BIGINT) AS author_count FROM d1 WHERE load_order % 50 <> 2",
     "q_flatten_b": f"{with_views('d2')} SELECT concat('W', load_order) AS openalex_id, doi, cited_by_count, journal, is_oa, coalesce(concepts_text, '') AS concepts, journal || ';Lab' AS institutions FROM d2",
     "q_flatten_indicators": f"{with_views('d3')} SELECT country_iso3, indicator, CAST(pos AS BIGINT) AS pos, year, value FROM d3",
@@ -167,7 +167,19 @@ ORACLES = {
     "q_published_conformance": f"{R1} SELECT 'paper_title' AS field, count(*) FILTER (WHERE nullif(paper_title, '') IS NULL) AS n FROM r1 UNION ALL SELECT 'doi', count(*) FILTER (WHERE doi IS NULL) FROM r1 UNION ALL SELECT 'validation_status', CAST(0 AS BIGINT)",
     "q_roundtrip_csv": f"{AUDIT} SELECT row_number, validation_status, '[' || list_aggregate(list_transform(list_filter(string_split(notes, '; '), lambda x: x <> ''), lambda x: '\"' || x || '\"'), 'string_agg', ',') || ']' AS validation_notes, doi, nullif(country, '') AS country FROM a WHERE notes <> '' UNION ALL SELECT row_number, validation_status, '[]', doi, nullif(country, '') FROM a WHERE notes = ''",
     "q_roundtrip_json": f"{AUDIT} SELECT row_number, validation_status, notes, doi FROM a",
-    "q_roundtrip_split": f"{AUDIT} SELECT row_number, doi FROM a WHERE validation_status = 'rejected'",
+    "q_roundtrip_split": f"{AUDIT} SELECT row_number, doi, validation_status FROM a",
+    "q_dimension_journals": f"{with_views('d2')} {counts('journal', 'd2', 'load_order')}",
+    "q_dimension_summary": f"{with_views('d1', 'd2', 'd3')}, l AS ({I_LATEST}) SELECT 'rows' AS kind, 'crossref_works' AS key, count(*) AS n FROM d1 UNION ALL SELECT 'rows', 'openalex_works', count(*) FROM d2 UNION ALL SELECT 'rows', 'world_bank_records', count(*) FROM d3 UNION ALL SELECT 'rows', 'world_bank_latest', count(*) FROM l UNION ALL SELECT 'publisher', key, n FROM ({counts('publisher', 'd1', 'load_order')}) UNION ALL SELECT 'journal', key, n FROM ({counts('journal', 'd2', 'load_order')}) UNION ALL SELECT 'indicator', indicator, count(*) FROM l GROUP BY indicator",
+    "q_context_tables": f"{with_views('d1', 'd2', 'd3')}, l AS ({I_LATEST}) SELECT 'crossref_works' AS name, count(*) AS n, count(DISTINCT doi) AS n_keys, count(publisher) AS n_values FROM d1 UNION ALL SELECT 'openalex_works', count(*), count(DISTINCT doi), count(journal) FROM d2 UNION ALL SELECT 'world_bank_records', count(*), count(DISTINCT country_iso3), count(value) FROM d3 UNION ALL SELECT 'world_bank_latest', count(*), count(DISTINCT country_iso3), count(s.value) FROM l",
+    "q_payload_order": "SELECT doi, CAST(arg_max(n, k) AS INT) AS citation_count FROM (SELECT concat('10.1016/n', c_nationkey % 10) AS doi, c_nationkey AS k, count(*) AS n FROM customer GROUP BY ALL) GROUP BY doi",
+    "q_release_hash": f"""{AUDIT}, h AS (SELECT sha256(concat_ws(chr(31), 'generic', notes, CAST(row_number AS VARCHAR), validation_status)) AS d FROM a)
+        SELECT count(*) AS n_rows, concat_ws('-', {', '.join(f"CAST(coalesce(sum(CAST(('0x' || substr(d, {1 + 15 * i}, 15)) AS BIGINT)), 0) AS VARCHAR)" for i in range(4))}) AS hash FROM h""",
+    "q_release_inventory": f"{AUDIT} SELECT 'api/validated_rows' AS name, true AS present, (SELECT count(*) FROM a WHERE validation_status = 'approved') AS n_rows UNION ALL SELECT 'reports/pollutant_summary', true, (SELECT count(DISTINCT {alias(rb.POLLUTANT)}) FROM r1) UNION ALL SELECT 'reports/site_index', false, NULL",
+    "q_summary_document": f"{AUDIT}, x AS (SELECT unnest(string_split(notes, '; ')) AS note FROM a WHERE notes <> '') SELECT count(*) AS total, count(*) FILTER (WHERE validation_status = 'approved') AS approved, count(*) FILTER (WHERE validation_status = 'needs_review') AS needs_review, count(*) FILTER (WHERE validation_status = 'rejected') AS rejected, (SELECT count(DISTINCT note) FROM x) AS n_notes, (SELECT count(*) FROM x) AS n_noted, 'generic' AS rulebook_name FROM a",
+    "q_roundtrip_twin": f"{with_views('r4')}, h AS (SELECT *, {house('doi')} AS publisher FROM r4), g AS (SELECT target_id, publisher, CASE WHEN publisher = 'Unknown' THEN 'unsupported publisher' WHEN coalesce(http_status = 200 AND starts_with(body_head, '%PDF'), false) THEN NULL ELSE 'http ' || coalesce(CAST(http_status AS VARCHAR), 'none') END AS failure_reason FROM h) SELECT form, publisher, CASE WHEN failure_reason IS NULL THEN 'ok' ELSE 'failed' END AS status, failure_reason, count(*) AS n, CAST(sum(target_id) AS BIGINT) AS targets FROM g, (SELECT unnest(['json', 'csv']) AS form) GROUP BY ALL",
+    "q_roundtrip_enriched": f"{ENRICHED} SELECT row_number, publisher, b_journal AS journal, n_indicators, population FROM f",
+    "q_schema_union": f"{with_views('r1', 'r5', 'r4')} SELECT * , count(*) AS n FROM (SELECT true AS has_row_number, false AS has_row_id, false AS has_rung, doi IS NOT NULL AS has_doi, false AS has_medium FROM r1 UNION ALL SELECT false, row_id IS NOT NULL, false, false, medium IS NOT NULL FROM r5 UNION ALL SELECT false, false, true, doi IS NOT NULL, false FROM r4) GROUP BY ALL",
+    "q_optional_scan": f"{R1} SELECT 'there' AS kind, count(*) AS n, count(doi) AS n_doi FROM r1 UNION ALL SELECT unnest(['absent', 'none', 'objects']), 0, 0",
     "q_array_scan": f"{R1} SELECT row_number, doi, matrix FROM r1",
     "q_rule_table": f"""{R1}, n AS (SELECT 'doi' AS field, count(doi) AS n_present FROM r1 UNION ALL SELECT 'matrix', count(nullif(matrix, '')) FROM r1 UNION ALL SELECT 'unit_original', count(unit_original) FROM r1 UNION ALL SELECT 'unit_standardized', count(unit_standardized) FROM r1 UNION ALL SELECT 'paper_title', count(nullif(paper_title, '')) FROM r1 UNION ALL SELECT 'evidence_page', count(evidence_page) FROM r1),
         r(rule_kind, ordinal, field) AS (VALUES ('required_fields', 0, 'paper_title'), ('required_fields', 1, 'doi'), ('required_fields', 2, 'matrix'), ('review_if_missing', 0, 'unit_original'), ('review_if_missing', 1, 'unit_standardized'), ('required_any_groups', 1, 'matrix'), ('required_any_groups', 2, 'evidence_page'), ('duplicate_identity_fields', 0, 'doi'), ('duplicate_identity_fields', 2, 'matrix'), ('reject_if_missing', 0, 'paper_title'), ('reject_if_missing', 1, 'doi'))

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.functions import keys
-from rillstone.functions.fields import alias, identity_text, present
+from rillstone.functions.fields import alias, as_rows, identity_text, present
 from rillstone.operators import context, contracts, release, summarize, validate
 from rillstone.plans import rulebook as rb
 from rillstone.plans.views import view
 from rillstone.sources import payloads, records
+from rillstone.sources.scratch import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 C = F.col
@@ -114,7 +115,7 @@ def row_numbers(spark, sf):
 
 @query
 def doi_inventory(spark, sf):
-    return context.doi_inventory(view(spark, sf, "r1"))
+    return context.doi_inventory(view(spark, sf, "r1")).orderBy("doi")
 
 
 @query
@@ -141,7 +142,7 @@ def iso3(spark, sf):
 
 @query
 def country_inventory(spark, sf):
-    return context.country_inventory(view(spark, sf, "r1"))
+    return context.country_inventory(view(spark, sf, "r1")).orderBy("country_iso3")
 
 
 @query
@@ -282,6 +283,26 @@ def dimension_publishers(spark, sf):
     return summarize.top(summarize.counts(view(spark, sf, "d1"), C("publisher"), "load_order"))
 
 
+@query
+def dimension_journals(spark, sf):
+    return summarize.top(summarize.counts(view(spark, sf, "d2"), C("journal"), "load_order"))
+
+
+@query
+def dimension_summary(spark, sf):
+    return context.dimension_summary(view(spark, sf, "d1"), view(spark, sf, "d2"), view(spark, sf, "d3"))
+
+
+@query
+def context_tables(spark, sf):
+    """The four normalised tables, written and read again."""
+    paths = context.write_context_tables(shared_path(spark), view(spark, sf, "d1"), view(spark, sf, "d2"), view(spark, sf, "d3"))
+    kinds = {"crossref_works": "doi string, publisher string", "openalex_works": "doi string, journal string", "world_bank_records": "country_iso3 string, value double", "world_bank_latest": "country_iso3 string, value double"}
+    rows = [spark.read.schema(kinds[n]).json(p).select(F.lit(n).alias("name"), C(kinds[n].split()[0]).alias("key"), C(kinds[n].split()[2]).alias("value")) for n, p in paths.items()]
+    read = reduce(DataFrame.unionByName, [r.withColumn("value", C("value").cast("string")) for r in rows])
+    return read.groupBy("name").agg(F.count("*").alias("n"), F.count_distinct("key").alias("n_keys"), F.count("value").alias("n_values"))
+
+
 @query
 def concepts(spark, sf):
     return context.exploded_counts(_enriched(spark, sf), C("context.openalex.top_concepts")).orderBy(F.desc("n"), "first_row")
@@ -316,7 +337,8 @@ def request_manifest(spark, sf):
 def fetch_results(spark, sf):
     manifest = context.request_manifest(view(spark, sf, "r1"))
     landed = view(spark, sf, "d1").select(F.lit("works_a").alias("service"), C("doi").alias("request_key")).unionByName(view(spark, sf, "d2").select(F.lit("works_b").alias("service"), C("doi").alias("request_key")))
-    return context.fetch_results(manifest, landed).groupBy("service", "status").agg(F.count("*").alias("n"))
+    failures = manifest.filter("service = 'works_b' and request_key like '%7'").select("service", "request_key", F.lit("HTTP Error 404: Not Found").alias("message"))
+    return context.fetch_results(manifest, landed, failures).groupBy("service", "status", "message").agg(F.count("*").alias("n"))
 
 
 # Payloads, made from the dimensions
@@ -333,6 +355,18 @@ def flatten_a(spark, sf):
     return payloads.flatten_works_a(docs).select("file_path", "doi", "title", "publisher", "journal", "year", "citation_count", C("author_count").cast("long"))
 
 
+@query
+def payload_order(spark, sf):
+    """Payload files, a document each: of those with one DOI the last by path gives the row."""
+    per_nation = spark.read.parquet(f"{sf}/customer.parquet").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    message = F.struct(F.concat(F.lit("10.1016/N"), (C("c_nationkey") % 10).cast("string")).alias("DOI"), C("n").alias("is-referenced-by-count"))
+    path = shared_path(spark)
+    docs = per_nation.select(F.format_string("%03d", C("c_nationkey").cast("int")).alias("nation"), F.to_json(F.struct(message.alias("message"))).alias("value"))
+    docs.repartition("nation").write.partitionBy("nation").text(path)
+    rows = payloads.flatten_works_a(payloads.payloads(spark, path))
+    return context.last_row(rows, "doi", "file_path").select("doi", "citation_count")
+
+
 @query
 def flatten_b(spark, sf):
     d = view(spark, sf, "d2")
@@ -357,7 +391,7 @@ def flatten_indicators(spark, sf):
 
 @query
 def integrity(spark, sf):
-    return view(spark, sf, "r2").select("doc_id", contracts.integrity_status(C("pages"), C("text")).alias("integrity_status"))
+    return view(spark, sf, "r2").select("doc_id", contracts.integrity_status(C("pages"), keys.is_extractable(C("text"))).alias("integrity_status"))
 
 
 @query
@@ -381,7 +415,7 @@ def harvest_outcome(spark, sf):
 
 @query
 def status_vocabulary(spark, sf):
-    rows = view(spark, sf, "r2").withColumn("status", F.when(C("doc_id") % 9 == 0, F.concat(F.lit("odd_"), C("lang"))).otherwise(contracts.integrity_status(C("pages"), C("text"))))
+    rows = view(spark, sf, "r2").withColumn("status", F.when(C("doc_id") % 9 == 0, F.concat(F.lit("odd_"), C("lang"))).otherwise(contracts.integrity_status(C("pages"), keys.is_extractable(C("text")))))
     return contracts.outside_vocabulary(rows, "status", contracts.INTEGRITY_STATUSES)
 
 
@@ -449,7 +483,8 @@ def reference_resolution(spark, sf):
 
 @query
 def mapped_audit(spark, sf):
-    rows = contracts.mapped_columns(_resolved(spark, sf)).withColumns({"paper_title": C("short_ref"), "evidence_page": F.lit("S1"), "row_number": C("row_id")})
+    found = _resolved(spark, sf).withColumn("source_literature_doi", C("doi")).withColumn("doi", F.when(C("row_id") % 2 == 0, C("doi")))
+    rows = contracts.mapped_columns(found).withColumns({"paper_title": C("short_ref"), "evidence_page": F.lit("S1"), "row_number": C("row_id")})
     return validate.status_counts(validate.audit(rows, rb.REBUILD))
 
 
@@ -498,28 +533,39 @@ def published_conformance(spark, sf):
 
 @query
 def release_hash(spark, sf):
-    return release.provenance_hash(out(release.release_rows(audited(spark, sf))))
+    return release.provenance_hash(out(audited(spark, sf)))
 
 
-# Round trips
+@query
+def release_inventory(spark, sf):
+    """The tables of a release as they are written, and one that there is none of."""
+    rows = audited(spark, sf)
+    tables = {"api/validated_rows": release.release_rows(rows), "reports/pollutant_summary": summarize.group_table(rows, alias(rows, rb.POLLUTANT)), "reports/site_index": None}
+    return release.publish(shared_path(spark), "v1", tables).select("name", "present", "n_rows")
 
 
-def _scratch(spark) -> str:
-    import tempfile
+@query
+def summary_document(spark, sf):
+    """The run's summary as one JSON document, read again."""
+    path = shared_path(spark)
+    records.write_document(validate.summary_document(audited(spark, sf), rulebook_name="generic"), path)
+    read = spark.read.schema("total long, approved long, needs_review long, rejected long, notes array<struct<note: string, n: long>>, rulebook_name string").json(path)
+    return read.select("total", "approved", "needs_review", "rejected", F.size("notes").cast("long").alias("n_notes"), F.aggregate("notes", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n_noted"), "rulebook_name")
+
 
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='spark-', dir='/tmp')).rstrip('/')}/{uuid.uuid4().hex}"
+# Round trips
 
 
 @query
 def roundtrip_csv(spark, sf):
-    path = _scratch(spark)
+    path = shared_path(spark)
     records.write_csv(audited(spark, sf).select(*STATUS, "doi", "country"), path)
     return spark.read.option("header", True).option("escape", '"').option("lineSep", "\r\n").schema("row_number long, validation_status string, validation_notes string, doi string, country string").csv(path)
 
 
 @query
 def roundtrip_json(spark, sf):
-    path = _scratch(spark)
+    path = shared_path(spark)
     df = audited(spark, sf).select(*STATUS, "doi")
     records.write_json(df, path)
     return spark.read.schema(df.schema).json(path).select("row_number", "validation_status", joined("validation_notes").alias("notes"), "doi")
@@ -527,17 +573,61 @@ def roundtrip_json(spark, sf):
 
 @query
 def roundtrip_split(spark, sf):
-    path = _scratch(spark)
+    path = shared_path(spark)
     records.write_by_status(audited(spark, sf).select("row_number", "doi", "validation_status"), path)
-    return spark.read.parquet(path).filter("validation_status = 'rejected'").select("row_number", "doi")
+    return spark.read.parquet(path).select("row_number", "doi", "validation_status")
+
+
+@query
+def roundtrip_twin(spark, sf):
+    """The harvest manifest as JSON and as CSV, both read again."""
+    attempts = view(spark, sf, "r4").withColumn("body", C("body_head").cast("binary"))
+    done = contracts.harvest_outcome(attempts).select("target_id", "rung", "publisher", "status", "failure_reason")
+    path = shared_path(spark)
+    records.write_twin(done, path)
+    of_json = spark.read.schema(done.schema).json(f"{path}/json").withColumn("form", F.lit("json"))
+    of_csv = spark.read.option("header", True).option("escape", '"').option("lineSep", "\r\n").schema(done.schema).csv(f"{path}/csv").withColumn("form", F.lit("csv"))
+    return of_json.unionByName(of_csv).groupBy("form", "publisher", "status", "failure_reason").agg(F.count("*").alias("n"), F.sum("target_id").alias("targets"))
+
+
+@query
+def roundtrip_enriched(spark, sf):
+    """Enriched records, nested, as JSON and read again."""
+    path = shared_path(spark)
+    rows = _enriched(spark, sf).select("row_number", "context")
+    records.write_json(rows, path)
+    i = C("context.world_bank.indicators")
+    return spark.read.schema(rows.schema).json(path).select("row_number", C("context.crossref.publisher").alias("publisher"), C("context.openalex.journal").alias("journal"), F.size(i).cast("long").alias("n_indicators"), i["SP.POP.TOTL"].alias("population"))
+
+
+@query
+def schema_union(spark, sf):
+    """Tables of different columns as one: records, references, attempts."""
+    r1, r5, r4 = view(spark, sf, "r1").select("row_number", "doi", "matrix"), view(spark, sf, "r5"), view(spark, sf, "r4").select("doi", "rung", "http_status")
+    rows = as_rows([r1, r5, r4])
+    has = [C(c).isNotNull().alias(f"has_{c}") for c in ("row_number", "row_id", "rung", "doi", "medium")]
+    return rows.groupBy(*has).agg(F.count("*").alias("n"))
+
+
+def _array_documents(spark, sf) -> str:
+    """Records in JSON array documents of at most a thousand, a file each, with numbers and arrays among the objects."""
+    path = shared_path(spark)
+    rows = view(spark, sf, "r1").select(F.floor((C("row_number") - 1) / 1000).alias("part"), F.to_json(F.struct("row_number", "doi", "matrix")).alias("j"))
+    docs = rows.groupBy("part").agg(F.concat(F.lit("[1,"), F.concat_ws(",", F.collect_list("j")), F.lit(",[2]]")).alias("value"))
+    docs.write.partitionBy("part").text(path)
+    return path
 
 
 @query
 def array_scan(spark, sf):
-    """Records gathered into JSON array documents of a few hundred, with numbers among the objects, and scanned again."""
-    path = _scratch(spark)
-    rows = view(spark, sf, "r1").select((C("row_number") % 97).alias("g"), F.to_json(F.struct("row_number", "doi", "matrix")).alias("j"))
-    docs = rows.groupBy("g").agg(F.concat(F.lit("[1,"), F.concat_ws(",", F.collect_list("j")), F.lit(",[2]]")).alias("value"))
-    docs.select("value").repartition(8).write.text(path)
-    lines = spark.read.text(path).select(F.lit("f").alias("file_path"), "value")
-    return records._elements(lines, "row_number long, doi string, matrix string", True).select("row_number", "doi", "matrix")
+    return records.record_array(spark, _array_documents(spark, sf), "row_number long, doi string, matrix string").select("row_number", "doi", "matrix")
+
+
+@query
+def optional_scan(spark, sf):
+    """The same documents, a path that does not exist, no path, and documents that are no arrays."""
+    path, schema = _array_documents(spark, sf), "row_number long, doi string"
+    view(spark, sf, "d1").groupBy("year").agg(F.count("*").alias("n")).select("year", F.to_json(F.struct("n")).alias("value")).write.partitionBy("year").text(f"{path}-objects")
+    found = {"there": path, "absent": f"{path}-absent", "none": None, "objects": f"{path}-objects"}
+    rows = [records.record_array_or_empty(spark, p, schema).agg(F.lit(k).alias("kind"), F.count("*").alias("n"), F.count("doi").alias("n_doi")) for k, p in found.items()]
+    return reduce(DataFrame.unionByName, rows)

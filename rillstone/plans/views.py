@@ -51,11 +51,11 @@ SELECT concat('10.1007/s', cast(c_custkey AS string)) AS doi, c_custkey AS load_
   CASE c_custkey % 4 WHEN 1 THEN 'chemistry;water' WHEN 3 THEN 'water;soil;risk' END AS concepts_text
 FROM customer""",
     "d3": r"""
-SELECT CASE n_nationkey WHEN 0 THEN 'CHN' WHEN 1 THEN 'DEU' WHEN 2 THEN 'USA' WHEN 3 THEN 'JPN' WHEN 4 THEN 'KOR'
-       ELSE concat('N', cast(n_nationkey AS string)) END AS country_iso3,
-  i.indicator, cast(2020 + r_regionkey AS string) AS year, 4 - r_regionkey AS pos,
-  CASE WHEN (n_nationkey + r_regionkey) % 3 <> 0 THEN cast(n_nationkey * 100 + r_regionkey AS double) END AS value
-FROM nation CROSS JOIN region
+SELECT CASE c_custkey WHEN 1 THEN 'CHN' WHEN 2 THEN 'DEU' WHEN 3 THEN 'USA' WHEN 4 THEN 'JPN' WHEN 5 THEN 'KOR'
+       ELSE concat('N', cast(c_custkey AS string)) END AS country_iso3,
+  i.indicator, cast(2020 + y.k AS string) AS year, 4 - y.k AS pos,
+  CASE WHEN (c_custkey + y.k) % 3 <> 0 THEN cast(c_custkey * 100 + y.k AS double) END AS value
+FROM customer CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS y(k)
 CROSS JOIN (VALUES ('SP.POP.TOTL'), ('EN.POP.DNST'), ('NY.GDP.PCAP.CD')) AS i(indicator)""",
     "r2": r"""
 SELECT doc_id, lang, source, text,
@@ -63,7 +63,7 @@ SELECT doc_id, lang, source, text,
   doc_id % 41 <> 0 AS identity_match
 FROM documents""",
     "r3": r"""
-SELECT doc_id, concat(coalesce(text, ''), ' doi:10.1016/J.D', cast(doc_id % 300 AS string),
+SELECT doc_id, concat(coalesce(text, ''), ' doi:10.1016/J.D', cast(doc_id AS string),
   ' and 10.1038/n', cast(doc_id % 7 AS string), '; see 10.1021/es', cast(doc_id % 90 AS string), ' end') AS text
 FROM documents""",
     "r4": r"""

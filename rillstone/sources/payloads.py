@@ -15,7 +15,8 @@ MAX_CONCEPTS, MAX_INSTITUTIONS = 5, 10
 
 
 def payloads(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, value): a document per file."""
+    """(file_path, value): a document per file. The files' order is that of file_path: where the last one wins, it is the
+    load order given to context.last_row(); nothing needs all of them sorted."""
     return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 

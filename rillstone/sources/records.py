@@ -68,3 +68,8 @@ def write_twin(df: DataFrame, path: str) -> None:
     """The same rows as JSON lines and as CSV."""
     write_json(df, f"{path}/json")
     write_csv(df, f"{path}/csv")
+
+
+def write_document(row: DataFrame, path: str) -> None:
+    """A table of one row as one JSON document that keeps nulls."""
+    write_json(row.coalesce(1), path)

@@ -184,6 +184,39 @@ def test_stream_audits_files(spark, tmp_path):
     assert Counter(r["validation_status"] for r in spark.read.parquet(f"file://{tmp_path}/out").collect()) == {"approved": 3}
 
 
+@pytest.mark.parametrize("parts", [1, 8, 64])
+def test_row_numbers_of_many_ranges(spark, parts):
+    """A million rows in shuffled order, ties included, with adaptive execution on."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        rows = spark.range(1_000_000).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("h"), (F.col("id") % 1000).alias("k"))
+        got = validate.numbered(rows, "k", "h").selectExpr("row_number AS n", "k", "h").cache()
+        assert tuple(got.selectExpr("count(*)", "count(DISTINCT n)", "min(n)", "max(n)").first()) == (1_000_000, 1_000_000, 1, 1_000_000)
+        assert got.filter("floor((n - 1) / 1000) <> k").isEmpty()  # each k has a thousand rows
+        assert validate.numbered(rows.limit(0), "k").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_mapped_columns_where_both_are_there(spark):
+    rows = spark.createDataFrame([("10.1/a", "10.1/b", "x"), ("", "10.1/c", "y"), (None, None, "z")], "doi string, source_literature_doi string, medium string")
+    got = contracts.mapped_columns(rows)
+    assert got.columns == ["doi", "matrix"] and [tuple(r) for r in got.collect()] == [("10.1/a", "x"), ("10.1/c", "y"), (None, "z")]
+
+
+def test_thresholds_that_are_not_finite(spark):
+    rows = spark.createDataFrame([("0.5",), ("nan",), ("inf",), ("2",), (None,)], "risk_threshold string")
+    assert tuple(summarize.threshold_summary(rows).first()) == (2, 0.5, 2.0, 2)
+
+
+def test_provenance_hash_ignores_order_alone(spark):
+    rows = [(1, "a", [1, 2]), (2, None, None), (2, None, None)]
+    of = lambda r: tuple(release.provenance_hash(spark.createDataFrame(r, "k long, t string, a array<int>")).first())
+    assert of(rows) == of(rows[::-1]) != of(rows[:2]) and of([]) == (0, "0-0-0-0")
+    assert of(rows) != of([(1, "a", [1, 2]), (2, "", None), (2, None, None)])
+
+
 def test_plans_have_no_single_partition(spark):
     for name in ("q_audit_rows", "q_multi_rulebook", "q_duplicates", "q_pollutant_table", "q_enrich_a", "q_conflicts", "q_row_numbers"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
