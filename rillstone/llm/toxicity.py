@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ._common import WordHasher, bounded_sample, save, slices, tidy
 
 TERMS = 1 << 20
-MAX_EXAMPLES, MAX_EXAMPLE_BYTES = 5_000, 16 << 20
+MAX_EXAMPLES, MAX_EXAMPLE_BYTES = 3_000, 8 << 20
 K, BLOCK, SMOOTH = 15, 64, 0.05
 #: Blocks scored before the others are ruled out.
 FIRST_BLOCKS = 2
@@ -104,7 +104,8 @@ class BlockMaxIndex:
         self.blocks = -(-len(order) // BLOCK)
         sizes = [len(vectors[i][0]) for i in order]
         term = np.concatenate([vectors[i][0] for i in order] or [np.empty(0, np.int32)])
-        at, w = np.repeat(np.arange(len(order), dtype=np.int32), sizes), np.concatenate([vectors[i][1] for i in order] or [np.empty(0)])
+        at, w = np.repeat(np.arange(len(order), dtype=np.int32), sizes), np.concatenate([vectors[i][1] for i in order] or [np.empty(0, np.float32)])
+        del vectors
         sort = np.lexsort((at, term))
         term, at, w = term[sort], at[sort], w[sort]
         known, start, n = np.unique(term, return_index=True, return_counts=True)
@@ -116,14 +117,14 @@ class BlockMaxIndex:
         p = _expand(start[often], start[often] + n[often])
         self.rows[np.repeat(np.arange(often.sum()), n[often]), at[p]] = w[p]
         p = _expand(start[~often], start[~often] + n[~often])
-        term, self.at, self.w = term[p], at[p], w[p].astype(np.float32)
+        term, self.at, self.w = term[p], at[p], w[p]
         # An entry is a term in a block: its range of postings, its block, its largest weight.
         block = self.at // BLOCK
         new = np.concatenate(([True], (np.diff(term) != 0) | (np.diff(block) != 0))) if len(term) else np.empty(0, bool)
         starts = np.flatnonzero(new)
-        self.post = np.concatenate((starts, [len(term)]))
+        self.post = np.concatenate((starts, [len(term)])).astype(np.int32)
         self.block = block[starts]
-        self.most = np.maximum.reduceat(self.w, starts) if len(starts) else np.empty(0)
+        self.most = np.maximum.reduceat(self.w, starts) if len(starts) else np.empty(0, np.float32)
         known, first = np.unique(term[starts], return_index=True)
         self.entry = np.concatenate((first, [len(starts)]))
         self.place[known] = -2 - np.arange(len(known))
@@ -131,7 +132,7 @@ class BlockMaxIndex:
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> Vector:
         """Dimensions and weights of length 1."""
         w = (1 + np.log(counts)) * self.weight[terms]
-        return terms, w / np.sqrt((w * w).sum()) if len(w) else w.astype(float)
+        return terms, (w / np.sqrt((w * w).sum()) if len(w) else w).astype(np.float32)
 
     def row_sums(self, vectors: list[Vector]) -> np.ndarray:
         """For each query the sums over the terms that are rows, for every example."""
@@ -209,12 +210,13 @@ class Model:
     def __init__(self, idf: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[int | None]):
         make = lambda of: BlockMaxIndex(idf * relevance([examples[i][0] for i in of], labels[of]), [examples[i] for i in of], labels[of], [ids[i] for i in of])
         everyone = np.arange(len(examples))
-        self.index = make(everyone)
         votes = np.zeros(len(examples))
         for half in (0, 1):  # an example's own label takes no part in its vote
             other = make(everyone[everyone % 2 != half])
             mine = everyone[everyone % 2 == half]
             votes[mine] = [other.vote(*found) for found in other.nearest_of([examples[i] for i in mine])]
+            del other
+        self.index = make(everyone)
         self.map = isotonic(votes, labels) if len(examples) else (np.zeros(1), np.zeros(1))
 
     def scores(self, queries: list[Vector]) -> tuple[np.ndarray, list[list[dict]]]:
