@@ -36,12 +36,16 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATES = {
-    "email": r"(?<![^\s@])[^\s@]++@[^\s@]++|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9()\[\].-]++",
-    "ip": r"(?<![0-9.])[0-9]++(?:(?:\.|\[\.\]|\(\.\))[0-9]++){2,8}+",
-    "card": r"(?<![0-9+])[0-9](?:[\x20./_-]{0,2}[0-9]){8,40}+",
-    "phone": r"(?<![0-9+])(?:\+|\(|00)?[0-9](?:[\x20()./-]{0,3}[0-9]){6,40}+",
-}
+#: What a text must have for a base pattern to match it anywhere: one quick scan spares two others.
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
+#: (kind, pattern, what a text must have for it).
+CANDIDATES = [
+    ("email", r"(?<![^\s@])[^\s@]++@[^\s@]++", "@"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9()\[\].-]++", r"[(\[]at[)\]]"),
+    ("ip", r"(?<![0-9.])[0-9]++(?:(?:\.|\[\.\]|\(\.\))[0-9]++){2,8}+", r"[0-9][.)(\[]"),
+    ("card", r"(?<![0-9+])[0-9](?:[\x20./_-]{0,2}[0-9]){8,40}+", "[0-9]"),
+    ("phone", r"(?<![0-9+])(?:\+|\(|00)?[0-9](?:[\x20()./-]{0,3}[0-9]){6,40}+", "[0-9]"),
+]
 MIN_PRECISION, BINS, MIN_HELD_OUT, FOLDS = 0.95, 50, 20, 5
 FEATURES = ["f_length", "f_digits", "f_letters", "f_separators", "f_dots", "f_brackets", "f_groups", "f_longest", "f_plus", "f_first", "f_before_space", "f_before_digit", "f_before_word", "f_after_space", "f_after_digit", "f_after_word", "f_cue"]
 #: Words of four languages that stand before personal data; a context feature, not a rule.
@@ -67,8 +71,9 @@ def _running(lengths: Column) -> Column:
     return let(blocks, lambda bs: let(before(bs), lambda at: F.flatten(F.zip_with(bs, F.slice(at, 1, F.size(bs)), within))))
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Array of matches (start, end, hit, before, after); before and after are up to 16 and 8 characters around it."""
+def located(text: Column, pattern: str, needs: str) -> Column:
+    """Array of matches (start, end, hit, before, after); before and after are up to 16 and 8 characters around it. Only a
+    text that has a match of needs can have any."""
     kind = "array<struct<start:int,end:int,hit:string,before:string,after:string>>"
 
     def place(v: Column) -> Column:
@@ -77,7 +82,8 @@ def located(text: Column, pattern: str) -> Column:
         made = lambda ends: F.transform(hits, lambda h, i: F.struct((F.get(ends, i) - F.length(h)).alias("start"), F.get(ends, i).alias("end"), h.alias("hit"), F.right(F.get(gaps, i), F.lit(16)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(8)).alias("after")))
         return F.when(F.size(hits) == 0, F.array().cast(kind)).otherwise(let(let(lengths, _running), made).cast(kind))
 
-    return let(F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits")), place)
+    found = let(F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits")), place)
+    return F.when(text.rlike(needs), found).otherwise(F.array().cast(kind))
 
 
 def digits(hit: Column) -> Column:
@@ -100,7 +106,7 @@ def _passes(kind: str, hit: Column) -> Column:
 
 
 def _base_of(i: int, kind: str, text: Column) -> Column:
-    good = F.filter(located(text, BASE[kind]), lambda m: _passes(kind, m["hit"]))
+    good = F.filter(located(text, BASE[kind], NEEDS[kind]), lambda m: _passes(kind, m["hit"]))
     return F.transform(good, lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end")))
 
 
@@ -109,12 +115,13 @@ def _base(text: Column) -> Column:
     return F.array_sort(F.concat(*[_base_of(i, k, text) for i, k in enumerate(KINDS)]))
 
 
-def _candidates_of(i: int, kind: str, text: Column) -> Column:
-    return F.transform(located(text, CANDIDATES[kind]), lambda m: F.struct(F.lit(i).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), m["before"].alias("before"), m["after"].alias("after")))
+def _candidates_of(kind: str, pattern: str, needs: str, text: Column) -> Column:
+    i = KINDS.index(kind)
+    return F.transform(located(text, pattern, needs), lambda m: F.struct(F.lit(i).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), m["before"].alias("before"), m["after"].alias("after")))
 
 
 def _candidates(text: Column) -> Column:
-    return F.concat(*[_candidates_of(i, k, text) for i, k in enumerate(KINDS)])
+    return F.concat(*[_candidates_of(*c, text) for c in CANDIDATES])
 
 
 def n_of(spans: Column, kind: int) -> Column:

@@ -25,6 +25,8 @@ from ._common import bounded_sample, save
 #: Rules up to so many become one expression; more are joined on the host's suffixes.
 COMPILED_RULES = 200
 MIN_SUFFIX_ROWS, PRIOR_ROWS, FOLDS = 10, 10, 5
+#: Labelled URLs the trees are fitted on, a documented bound.
+TRAINING_ROWS = 5_000
 MIN_LABELLED, MIN_PAGE_WORDS, MAX_PAGE_SYMBOLS = 200, 60, 0.03
 BLOCK_FROM = 0.5
 FEATURES = ["f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_punctuation", "f_entropy", "f_parameters", "f_query_length", "f_fragment", "f_secure", "f_suffix1", "f_suffix2", "f_suffix3"]
@@ -81,8 +83,12 @@ def lexical(urls: DataFrame, url_col: str) -> DataFrame:
     })
 
 
-def page_labels(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(url, label): 1 for the URLs of poor pages. Pages without HTML give no label."""
+def page_labels(pages: DataFrame, url_col: str = "url", html_col: str = "html", rows: int = TRAINING_ROWS) -> DataFrame:
+    """(url, label): 1 for the URLs of poor pages, of about twice rows of them by the hash of the URL, as the trees take rows.
+    Pages without HTML give no label."""
+    n, space = pages.count(), 1 << 30
+    if n > 2 * rows:
+        pages = pages.filter(F.pmod(F.xxhash64(url_col), F.lit(space)) < int(2 * rows / n * space) + 1)
     text = F.regexp_replace(F.col(html_col).cast("string"), r"(?is)<(script|style)\b[^>]*+>.*?</\1>|<[^>]*+>", " ")
     words = F.size(F.array_remove(F.split(text, r"\s+"), ""))
     symbols = F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s.,;:!?'\x22()&-]", "")) / F.greatest(F.length(text), F.lit(1))
@@ -102,9 +108,10 @@ def _suffix_shares(sample: DataFrame, base: float, n: int) -> tuple[DataFrame, D
 class UrlModel:
     """Trees and suffix shares learnt from a bounded sample of labelled URLs (url, label)."""
 
-    def __init__(self, labelled: DataFrame, rows: int = boosting.MAX_TRAINING_ROWS):
+    def __init__(self, labelled: DataFrame, rows: int = TRAINING_ROWS):
         host, path = host_and_path(F.col("url"))
-        known = labelled.filter(F.col("label").isNotNull()).select("url", host.alias("host"), path.alias("path"), F.col("label").cast("double").alias("_label"))
+        labelled = save(labelled.filter(F.col("label").isNotNull()), "url-labels")
+        known = labelled.select("url", host.alias("host"), path.alias("path"), F.col("label").cast("double").alias("_label"))
         # The sample's size is a documented bound; so is that of the suffix tables made from it.
         sample = lexical(bounded_sample(known, "url", rows), "url").withColumn("_fold", F.pmod(F.xxhash64("url", F.lit(5)), F.lit(FOLDS)))
         sample = save(sample, "labelled-urls")
@@ -132,7 +139,7 @@ class UrlModel:
         return self.model.score(self._filled(known), "block_score")
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame, id_col: str = "page_id", url_col: str = "url", rows: int = boosting.MAX_TRAINING_ROWS) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame, id_col: str = "page_id", url_col: str = "url", rows: int = TRAINING_ROWS) -> DataFrame:
     """(id, url, host, path, rule, verdict, block_score). labelled: (url, label), label 1 to block."""
     host, path = host_and_path(F.col(url_col).cast("string"))
     judged = match_rules(pages.select(F.col(id_col), F.col(url_col).cast("string").alias(url_col), host.alias("host"), path.alias("path")), rules)
