@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
@@ -448,7 +449,7 @@ def test_contaminated(spark, docs, odd):
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_shards_hold_every_row(request, spark, which):
     df = request.getfixturevalue(which)
-    store = sharding.ShardStore(spark, f"{scratch_dir(spark)}/store-{which}", target_bytes=40_000, fanout=3)
+    store = sharding.ShardStore(spark, f"{scratch_dir(spark)}/store-{uuid.uuid4().hex}", target_bytes=40_000, fanout=3)
     for k in range(7):
         store.append(df.withColumn("lane", F.lit(k)), F.coalesce(F.col("source"), F.lit("none")))
     rows = Counter(tuple(r) for k in range(7) for r in df.withColumn("lane", F.lit(k)).collect())
@@ -464,7 +465,7 @@ def test_shards_hold_every_row(request, spark, which):
 
 
 def test_shards_of_two_writers_and_odd_columns(spark, none):
-    root = f"{scratch_dir(spark)}/two-writers"
+    root = f"{scratch_dir(spark)}/two-writers-{uuid.uuid4().hex}"
     one, two = sharding.ShardStore(spark, root), sharding.ShardStore(spark, root)
     rows = spark.createDataFrame([(1, "x", "a"), (2, None, "b"), (2, None, "b")], "doc_id long, __arrival string, `part-0` string")
     publish, done = one.commit, []
