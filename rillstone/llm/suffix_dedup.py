@@ -22,7 +22,6 @@ LENGTH bytes lose all, repeated rows included; windows never cross documents; ov
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +39,6 @@ BLOCK = 1 << 20
 BROADCAST_TEXTS = 1_000_000
 _U = np.uint64
 OCCURRENCE = "xxhash64(k1, k2, at)"
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTES = mix(np.arange(1, 257, dtype=_U))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -51,18 +47,25 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = _powers(_BASE, BLOCK + LENGTH), _powers(_INVERSE, BLOCK + LENGTH)
+class Rolling:
+    """A rolling hash: the bucket identifier of each position at which Q bytes start."""
 
+    def __init__(self, base: int, seed: int):
+        self.bytes = mix(np.arange(seed, seed + 256, dtype=_U))
+        self.up, self.down = _powers(base, BLOCK + LENGTH), _powers(pow(base, -1, 1 << 64), BLOCK + LENGTH)
 
-def buckets(data: np.ndarray) -> np.ndarray:
-    """The bucket identifier of each position at which Q bytes start."""
-    n = len(data)
-    if n < Q:
-        return np.empty(0, _U)
-    total = np.empty(n + 1, _U)
-    total[0] = 0
-    np.cumsum(_BYTES[data] * _DOWN[:n], out=total[1:])
-    return mix((total[Q:] - total[:-Q]) * _UP[: n - Q + 1])
+    def __call__(self, data: np.ndarray) -> np.ndarray:
+        n = len(data)
+        if n < Q:
+            return np.empty(0, _U)
+        total = np.empty(n + 1, _U)
+        total[0] = 0
+        np.cumsum(self.bytes[data] * self.down[:n], out=total[1:])
+        return mix((total[Q:] - total[:-Q]) * self.up[: n - Q + 1])
+
+
+#: Two hashes that share neither base nor byte values: what one of them confuses, the other tells apart.
+FIRST, SECOND = Rolling(0x9E3779B97F4A7C15, 1), Rolling(0xD1342543DE82EF95, 1 << 32)
 
 
 def _window_argmin(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -84,21 +87,23 @@ def _blocks(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
         yield start, np.frombuffer(text, np.uint8, min(len(text) - start, BLOCK + LENGTH - 1), start)
 
 
-def refined(bucket: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+def refined(buckets: tuple[np.ndarray, np.ndarray], start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
     """The refined bucket, in two halves, of spans of Q to 3 * Q bytes: from the identifiers at the start and at two later
-    offsets, so that the three cover the span."""
-    one, two = bucket[start], mix(bucket[start])
-    for k in (np.minimum(Q, length - Q), length - Q):
-        later = bucket[start + k]
-        one, two = mix(one * _U(3) + later), mix(two * _U(5) ^ later)
-    return one, two
+    offsets, so that the three cover the span. Each half is made by a hash of its own, of all the span's bytes."""
+    halves = []
+    for bucket in buckets:
+        made = bucket[start]
+        for k in (np.minimum(Q, length - Q), length - Q):
+            made = mix(made * _U(3) + bucket[start + k])
+        halves.append(made)
+    return halves[0], halves[1]
 
 
 class _Part:
     """Buckets of one part of a document, and for each window its representative."""
 
     def __init__(self, data: np.ndarray):
-        self.bucket = buckets(data)
+        self.data, self.bucket = data, FIRST(data)
         self.chosen = _window_argmin(self.bucket, LENGTH - Q + 1)  # one for each window
         self.windows = len(self.chosen)
         cut = np.flatnonzero(np.diff(self.chosen)) + 1
@@ -110,13 +115,13 @@ class _Part:
         """Cells of the kept representatives: cell c has the windows that start c * CELL ... c * CELL + CELL - 1 before it.
         First and last window, then the keys of core and hull."""
         at, low, high = self.at[keep], (self.at - self.last)[keep], (self.at - self.first)[keep]
-        found = []
+        buckets, found = (self.bucket, SECOND(self.data)), []
         for c in range((LENGTH - Q) // CELL + 1):
             a, b = c * CELL, min(c * CELL + CELL - 1, LENGTH - Q)
             has = (low <= b) & (high >= a)
             p, lo, hi = at[has], np.maximum(low[has], a), np.minimum(high[has], b)
-            core = refined(self.bucket, p - a, LENGTH - (b - a))  # a partly filled cell's windows cover the full cell's core too
-            hull = refined(self.bucket, p - hi, LENGTH + hi - lo)
+            core = refined(buckets, p - a, LENGTH - (b - a))  # a partly filled cell's windows cover the full cell's core too
+            hull = refined(buckets, p - hi, LENGTH + hi - lo)
             shape = (lo * LENGTH + hi + 1).astype(_U)  # where its windows stand is part of a hull's key
             found.append((p - hi, p - lo, *(mix(x + _U(c + 1)) for x in core), *(mix(x + shape) for x in hull)))
         return [np.concatenate(x) for x in zip(*found, strict=True)]
@@ -197,7 +202,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
                     mine = [np.arange(s["at"] - start, s["last"] - start + 1) for s in spans if start <= s["at"] < start + len(data) - LENGTH + 1]
                     if mine:
                         at = np.concatenate(mine)
-                        one, two = refined(buckets(data), at, LENGTH)
+                        one, two = refined((FIRST(data), SECOND(data)), at, LENGTH)
                         rows.append((k1, k2, {"at": at + start, "w1": one, "w2": two}))
             if rows:
                 yield _emit(rows)
@@ -249,21 +254,3 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = copied.join(rows.select("k1", "k2", "n_bytes"), ["k1", "k2"]).groupBy("k1", "k2").agg(F.max("n_bytes").alias("n_removed")).select("k1", "k2", "n_removed", F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
     changed = save(changed.union(whole), "changed")
     return rows.join(changed, ["k1", "k2"], "left").select(F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), "kept", F.coalesce(F.sha2("kept", 256), F.col("sha")).alias("kept_sha256"))
-
-
-def brute_force(texts: list[bytes | None]) -> list[tuple[int, int, int, str]]:
-    """(n_bytes, n_removed, n_spans, kept_sha256) of each text, for tests."""
-    seen: dict[bytes, int] = {}
-    for t in texts:
-        for p in range(len(t or b"") - LENGTH + 1):
-            seen[t[p : p + LENGTH]] = seen.get(t[p : p + LENGTH], 0) + 1
-    out = []
-    for t in texts:
-        t = t or b""
-        gone = np.zeros(len(t) + 1, bool)
-        for p in range(len(t) - LENGTH + 1):
-            if seen[t[p : p + LENGTH]] > 1:
-                gone[p : p + LENGTH] = True
-        kept = bytes(b for b, g in zip(t, gone, strict=False) if not g)
-        out.append((len(t), int(gone.sum()), int((np.diff(np.concatenate(([False], gone)).astype(int)) == 1).sum()), hashlib.sha256(kept).hexdigest()))
-    return out
