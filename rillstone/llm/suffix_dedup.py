@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import discard, save, small, text_key
+from ._common import discard, save, slices, small, text_key, tidy
 from .near_dedup import mix
 
 LENGTH, Q, CELL = 200, 100, 25
 #: Bytes handled at once; longer documents overlap by LENGTH - 1.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Keys of texts that may be broadcast to filter documents before they are shuffled.
 BROADCAST_TEXTS = 1_000_000
 _U = np.uint64
@@ -156,8 +156,9 @@ def _emit(rows: list[tuple]) -> pa.RecordBatch:
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """(k1, k2, first, last): runs of windows of each text that start anywhere else too. texts: (k1, k2, text binary)."""
 
+    @tidy
     def represent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
             rows = [(k1, k2, {"at": part.at + start, "bucket": part.bucket[part.at]}) for k1, k2, text in keys for start, data in _blocks(text) for part in [_Part(data)]]
             if rows:
@@ -168,8 +169,9 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     alive = save(alive, "survivors")
     discard(chosen)
 
+    @tidy
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             rows = []
             for k1, k2, text, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 wanted = np.array(at, np.int64)
@@ -194,8 +196,9 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     spans = open_cells.select("k1", "k2", "at", "last").union(stand_in.select("k1", "k2", "at", "last"))
     spans = save(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "last")).alias("spans")), "spans")
 
+    @tidy
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             rows = []
             for k1, k2, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for start, data in _blocks(text):
@@ -240,8 +243,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = repeated_windows(texts).join(copied, ["k1", "k2"], "left_anti")
     runs = save(runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("runs")), "runs")
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             out = []
             for text, runs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 spans = _covered(len(text), [(r["first"], r["last"]) for r in runs])
