@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from rillstone.functions import keys
 from rillstone.functions.fields import first_present, present
-from rillstone.operators.summarize import counts, top
+from rillstone.operators.summarize import beside, counts, listed, top
 from rillstone.sources.records import write_json
+from rillstone.sources.stored import Merge, StoredTable
 
 # The default indicators.
 INDICATORS = ["SP.POP.TOTL", "EN.POP.DNST", "NY.GDP.PCAP.CD"]
@@ -121,3 +122,23 @@ def dimension_summary(a: DataFrame, b: DataFrame, series: DataFrame, order: str
     rows += [of(top(counts(a, F.col("publisher"), order)), "publisher"), of(top(counts(b, F.col("journal"), order)), "journal")]
     rows.append(of(latest.groupBy(F.col("indicator").alias("key")).agg(F.count("*").alias("n")), "indicator"))
     return reduce(DataFrame.unionByName, rows)
+
+
+def context_document(a: DataFrame, b: DataFrame, series: DataFrame, order: str = "load_order") -> DataFrame:
+    """One row, the summary document of the normalised tables: their rows, the ten most frequent publishers and journals, and
+    the indicators that have latest values, all of them."""
+    latest = latest_indicators(series)
+    sizes = [df.agg(F.count("*").alias(name)) for name, df in zip(("crossref_rows", "openalex_rows", "world_bank_rows", "world_bank_latest_rows"), (a, b, series, latest), strict=True)]
+    indicators = latest.groupBy(F.col("indicator").alias("key")).agg(F.count("*").alias("n"), F.min("country_iso3").alias("first_row"))
+    return beside(*sizes, listed(counts(a, F.col("publisher"), order), "crossref_publishers"), listed(counts(b, F.col("journal"), order), "openalex_journals"), listed(indicators, "world_bank_indicators", None))
+
+
+def later(order: str) -> Merge:
+    """For stored dimensions: of two rows of a key the one later in load order, whichever batch came first."""
+    return lambda old, new: F.when(old.isNull() | (new[order] >= old[order]), new).when(new.isNull(), old).otherwise(old)
+
+
+def keep_dimension(store: StoredTable, rows: DataFrame, order: str, mark: str | None = None) -> DataFrame:
+    """Merge a batch of dimension rows into its stored table, the last row per key in load order; the table."""
+    store.merge(last_row(rows, store.key, order), later(order), mark)
+    return store.read()

@@ -56,3 +56,28 @@ def group_table(df: DataFrame, key: Column) -> DataFrame:
     rows = df.select(key.cast("string").alias("key"), present(df, "trend_direction").alias("_trend"))
     made = rows.filter(F.col("key").isNotNull() & (F.col("key") != "")).groupBy("key").agg(F.count("*").alias("row_count"), F.array_join(F.array_sort(F.collect_set("_trend")), "; ").alias("trend_notes"))
     return made.orderBy(F.desc("row_count"), "key")
+
+
+def listed(counted: DataFrame, name: str, k: int | None = 10) -> DataFrame:
+    """One row: the k most frequent (all for None) as one array of (key, n), most frequent first, ties by first appearance."""
+    rows = top(counted, k) if k is not None else counted
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("_n"), "first_row", "key", "n")))
+    return rows.agg(F.transform(ordered, lambda x: F.struct(x["key"], x["n"])).alias(name))
+
+
+def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Tables of one row side by side."""
+    for other in others:
+        first = first.crossJoin(F.broadcast(other))
+    return first
+
+
+def analytics_document(df: DataFrame, pollutant: Column, geography: Column, overview: DataFrame, external: DataFrame, order: str = "row_number") -> DataFrame:
+    """One row, the analytics summary of a run: how many rows, the most frequent pollutants, matrices and places, trends, numeric
+    and threshold summaries, the context's overview and what external context was joined (tables of one row each)."""
+    numeric = numeric_summary(numeric_values(df)).select(F.struct(F.col("n").alias("count"), "mean", "min", "max").alias("numeric_summary"))
+    threshold = threshold_summary(df).select(F.struct(F.col("n").alias("count"), "min", "max").alias("risk_threshold_summary"))
+    whole = lambda one, name: one.select(F.struct(*one.columns).alias(name))
+    trends = listed(counts(df, present(df, "trend_direction"), order), "trend_direction_counts", None)  # a row for each trend there is
+    tops = [listed(counts(df, key, order), name) for key, name in ((pollutant, "top_pollutants"), (present(df, "matrix"), "top_matrices"), (geography, "top_geographies"))]
+    return beside(df.agg(F.count("*").alias("total_rows")), *tops, trends, numeric, threshold, whole(overview, "context_overview"), whole(external, "external_context_summary"))

@@ -7,7 +7,7 @@ import re
 from rillstone.functions import keys
 from rillstone.operators import context, contracts, release
 from rillstone.plans import rulebook as rb
-from rillstone.plans.queries import LABELS
+from rillstone.plans.queries import DOCUMENTS, LABELS
 from rillstone.plans.views import VIEWS, with_views
 
 
@@ -37,10 +37,10 @@ def audit_sql(books: list[rb.Rulebook], book: str) -> str:
     ids = " ".join(f"WHEN '{b.name}' THEN {identity(b)}" for b in books)
     levels, notes = [], []
     for b in books:
-        rules = [(f"{present(f)} IS NULL", "rejected" if f in b.reject_if_missing else "needs_review", f"missing {f}") for f in b.required_fields]
+        rules = [(f"{alias(f)} IS NULL", "rejected" if f in b.reject_if_missing else "needs_review", f"missing {f}") for f in b.required_fields]
         rules += [(f"{alias('|'.join(g))} IS NULL", "rejected" if set(g) & set(b.reject_if_missing) else "needs_review", f"missing one of {'/'.join(g)}") for g in b.required_any_groups]
         rules += [(f"{alias(g)} IS NULL", "needs_review", f"review required for missing {g}") for g in b.review_if_missing]
-        rules += [(f"{present(f)} IS NOT NULL", "rejected", f"forbidden field present: {f}") for f in b.forbidden_fields]
+        rules += [(f"{alias(f)} IS NOT NULL", "rejected", f"forbidden field present: {f}") for f in b.forbidden_fields]
         rules += [("n > 1", "needs_review", "possible duplicate row")]
         levels.append(f"WHEN '{b.name}' THEN greatest(0, " + ", ".join(f"CASE WHEN {c} THEN {rank[s]} ELSE 0 END" for c, s, _ in rules) + ")")
         notes.append(f"WHEN '{b.name}' THEN concat_ws('; ', " + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for c, _, n in rules) + ")")
@@ -86,6 +86,21 @@ def table(key: str) -> str:
     return f"{R1} SELECT {key} AS key, count(*) AS row_count, coalesce(string_agg(DISTINCT trend_direction, '; ' ORDER BY trend_direction), '') AS trend_notes FROM r1 WHERE {key} IS NOT NULL GROUP BY 1"
 
 
+#: Records of the batches by field names: k as columns, n (batch, name) the names that any record of a batch has.
+FIELD_NAMES = ["doi", "matrix", "value_numeric", "trend_direction", "risk_threshold", "reference_resolution_status", "row_number"]
+FIELDS = f"""{R1}, b AS (SELECT *, row_number % 240 AS batch FROM r1),
+    k AS (SELECT batch, row_number, doi, CASE WHEN batch % 16 <> 3 THEN matrix END AS matrix, CASE WHEN batch % 16 <> 3 AND batch % 5 = 0 THEN value_numeric END AS value_numeric, CASE WHEN batch % 16 <> 3 AND batch % 7 = 0 THEN trend_direction END AS trend_direction,
+            CASE WHEN batch % 16 <> 3 AND batch % 8 = 1 THEN risk_threshold END AS risk_threshold, CASE WHEN batch % 16 = 3 AND row_number % 2 = 0 THEN matrix END AS status, batch % 16 = 3 AS rebuilt FROM b),
+    n AS (SELECT DISTINCT batch, unnest(list_filter([CASE WHEN rebuilt OR doi IS NOT NULL THEN 'doi' END, CASE WHEN matrix IS NOT NULL THEN 'matrix' END, CASE WHEN value_numeric IS NOT NULL THEN 'value_numeric' END, CASE WHEN trend_direction IS NOT NULL THEN 'trend_direction' END,
+            CASE WHEN risk_threshold IS NOT NULL THEN 'risk_threshold' END, CASE WHEN rebuilt THEN 'reference_resolution_status' END, 'row_number'], lambda x: x IS NOT NULL)) AS name FROM k)"""
+
+
+def _named(b: rb.Rulebook) -> set[str]:
+    """The field names of a rulebook."""
+    return {n for kind in rb.KINDS for x in getattr(b, kind) for f in (x if isinstance(x, tuple) else (x,)) for n in f.split("|")}
+
+
+RULED = [rb.GENERIC.overridden(d | {"name": n}) for n, d in DOCUMENTS.items()]
 A_LAST = "SELECT doi, arg_max(struct_pack(publisher, journal, year, citation_count), load_order) AS s FROM d1 GROUP BY doi"
 I_LATEST = "SELECT country_iso3, indicator, arg_min(struct_pack(year, value), pos) AS s FROM d3 WHERE value IS NOT NULL GROUP BY ALL"
 I_MAP = f"SELECT country_iso3, count(*) AS n, max(s.value) FILTER (WHERE indicator = 'SP.POP.TOTL') AS population FROM ({I_LATEST}) GROUP BY 1"
@@ -105,7 +120,10 @@ ORACLES = {
     "q_duplicate_groups": "SELECT n AS copies, count(*) AS n_groups FROM (SELECT count(*) AS n FROM documents GROUP BY lower(trim(text)) HAVING count(*) > 1) GROUP BY 1",
     "q_multi_rulebook": audit_sql(list(rb.RULEBOOKS.values()), "(" + str(list(rb.RULEBOOKS)) + ")[1 + row_number % 4]") + " SELECT row_number, book AS applied_rulebook, validation_status, notes FROM a",
     "q_route_label": f"{R1} SELECT label, CASE label WHEN '{LABELS[0]}' THEN 'record' WHEN '{LABELS[1]}' THEN 'synthesis' WHEN '{LABELS[2]}' THEN 'reference_rebuild' ELSE 'generic' END AS by_word, CASE WHEN contains(lower(label), 'science') THEN 'synthesis' WHEN contains(lower(label), 'nature') THEN 'record' WHEN contains(lower(label), 'est') OR contains(lower(label), 'tfa') THEN 'reference_rebuild' ELSE 'generic' END AS by_substring, count(*) AS n FROM (SELECT {LABEL} AS label FROM r1) GROUP BY 1, 2, 3",
-    "q_route_columns": f"{R1} SELECT DISTINCT {LABEL} AS label, CASE {LABEL} WHEN '{LABELS[0]}' THEN 'record' WHEN '{LABELS[1]}' THEN 'synthesis' WHEN '{LABELS[2]}' THEN 'reference_rebuild' ELSE 'generic' END AS rulebook FROM r1",
+    "q_route_columns": f"{FIELDS} SELECT batch, CASE WHEN bool_or(s) THEN 'synthesis' WHEN bool_or(r) THEN 'record' WHEN bool_or(b) THEN 'reference_rebuild' ELSE 'generic' END AS rulebook FROM (SELECT batch, name IN ('trend_direction', 'risk_threshold') AS s, name = 'value_numeric' AS r, name = 'reference_resolution_status' AS b FROM n) GROUP BY 1",
+    "q_field_overlap": f"{FIELDS}, r(rulebook, name) AS (VALUES {', '.join(f"('{b.name}', '{n}')" for b in rb.RULEBOOKS.values() for n in FIELD_NAMES if n in _named(b))}) SELECT batch, rulebook, string_agg(name, ',' ORDER BY name) AS fields FROM n JOIN r USING (name) GROUP BY 1, 2",
+    "q_variant_columns": f"{FIELDS} SELECT batch, row_number, round(try_cast(value_numeric AS DOUBLE), 6) AS value_numeric, trend_direction, status AS reference_resolution_status, CAST(NULL AS VARCHAR) AS absent FROM k",
+    "q_ruled_audit": f"{audit_sql(RULED, "CASE WHEN source_kind LIKE '%table' THEN 'strict' ELSE 'by_site' END")} SELECT row_number, book AS applied_rulebook, validation_status, notes FROM a",
     "q_row_numbers": f"{R1} SELECT row_number AS position, row_number() OVER (ORDER BY row_number) AS row_number FROM r1",
     "q_doi_inventory": f"{R1} {DOIS}",
     "q_doi_from_text": f"{with_views('r3')}, x AS (SELECT doc_id, regexp_extract_all(text, '(?i)10\\.\\d{{4,9}}/[-._;()/:A-Z0-9]+') AS d FROM r3), y AS (SELECT doc_id, unnest(d) AS doi, unnest(range(len(d))) AS pos FROM x) SELECT doi, min(struct_pack(doc_id, pos)).doc_id AS first_doc, CAST(min(struct_pack(doc_id, pos)).pos AS INT) AS first_pos FROM y GROUP BY doi",
@@ -163,7 +181,24 @@ ORACLES = {
     "q_release_rows": f"{AUDIT} SELECT row_number, doi, validation_status FROM a WHERE validation_status = 'approved'",
     "q_release_gate": f"{AUDIT} SELECT 'all' AS kind, count(*) AS not_approved, false AS passed FROM a WHERE validation_status <> 'approved' UNION ALL SELECT 'approved', CAST(0 AS BIGINT), true",
     "q_release_exclusions": f"{AUDIT} SELECT validation_status, note, count(*) AS n FROM (SELECT validation_status, unnest(string_split(notes, '; ')) AS note FROM a WHERE validation_status <> 'approved') GROUP BY 1, 2",
-    "q_bundle_completeness": PATHS,
+    "q_bundle_completeness": f"""{AUDIT}, p AS (SELECT * FROM a WHERE validation_status = 'approved'), s AS (SELECT 'api/validated_rows.json' AS path, count(*) AS n_rows FROM p UNION ALL SELECT 'api/analytics_summary.json', 1
+        UNION ALL SELECT 'reports/pollutant_summary.csv', count(DISTINCT {alias(rb.POLLUTANT)}) FROM p UNION ALL SELECT 'reports/matrix_summary.csv', count(DISTINCT {alias('matrix')}) FROM p), o AS ({PATHS})
+        SELECT path, kind, s.path IS NOT NULL OR path IN ('api/publication_payload.json', 'release_manifest.json', 'README.md', 'site_index.json', 'release_notes.md', 'public_api_schema.json') AS present, n_rows, CAST(0 AS BIGINT) AS fields_missing FROM o LEFT JOIN s USING (path)""",
+    "q_release_diff": f"""{AUDIT}, x AS (SELECT row_number AS n, row_number % 613 <> 5 AS was, row_number % 701 <> 9 AS is_now, row_number % 509 = 3 AS altered FROM a)
+        SELECT CAST(('0x' || substr(sha256(CAST(n AS VARCHAR)), 1, 2)) AS INTEGER) AS range, n AS row_number, CASE WHEN NOT was THEN 'added' WHEN NOT is_now THEN 'removed' ELSE 'changed' END AS change FROM x WHERE (was OR is_now) AND (was <> is_now OR altered)""",
+    "q_analytics_document": f"""{R1}, d1 AS ({VIEWS['d1']}), d2 AS ({VIEWS['d2']}) SELECT (SELECT count(*) FROM r1) AS total_rows, {', '.join(f"(SELECT string_agg(key || '=' || n, ';' ORDER BY n DESC, first_row) FROM ({counts(e)})) AS {c}" for c, e in (('pollutants', alias(rb.POLLUTANT)), ('matrices', 'matrix'), ('geographies', alias(rb.GEOGRAPHY))))},
+        (SELECT count(DISTINCT trend_direction) FROM r1) AS n_trends, (SELECT count(value) FROM ({VALUES})) AS n_numbers, (SELECT round(avg(value), 6) FROM ({VALUES})) AS mean, (SELECT CAST(max(risk_threshold) AS DOUBLE) FROM r1) AS threshold, (SELECT count(DISTINCT {doi('doi')}) FROM r1) AS doi_count, (SELECT count(DISTINCT doi) FROM d2) AS works_b""",
+    "q_context_document": f"""{with_views('d1', 'd2', 'd3')}, l AS ({I_LATEST}) SELECT (SELECT count(*) FROM d1) AS crossref_rows, (SELECT count(*) FROM d2) AS openalex_rows, (SELECT count(*) FROM d3) AS world_bank_rows, (SELECT count(*) FROM l) AS world_bank_latest_rows,
+        (SELECT string_agg(key || '=' || n, ';' ORDER BY n DESC, first_row) FROM ({counts('publisher', 'd1', 'load_order')})) AS publishers, (SELECT string_agg(key || '=' || n, ';' ORDER BY n DESC, first_row) FROM ({counts('journal', 'd2', 'load_order')})) AS journals, (SELECT count(DISTINCT indicator) FROM l) AS n_indicators""",
+    "q_batch_audit": f"{AUDIT} SELECT row_number, 'generic' AS applied_rulebook, validation_status, notes FROM a",
+    "q_stored_dimension": f"{ENRICHED} SELECT row_number, publisher, a_journal AS journal, year, citation_count FROM f",
+    "q_quarantine": """
+        WITH k(kind, i) AS (VALUES ('works_a', 0), ('works_b', 1), ('indicators', 2)), c AS (SELECT kind, i, c_custkey AS n, CASE WHEN c_custkey % 31 = i THEN 'no JSON' WHEN c_custkey % 37 = i THEN 'empty' WHEN c_custkey % 41 = i THEN 'foreign document' END AS dead FROM customer, k)
+        SELECT kind, 'rows' AS outcome, CAST(sum(CASE kind WHEN 'indicators' THEN n % 3 + 1 ELSE 1 END) AS BIGINT) AS n FROM c WHERE dead IS NULL GROUP BY kind UNION ALL SELECT kind, dead, count(*) FROM c WHERE dead IS NOT NULL GROUP BY ALL""",
+    "q_flatten_caps": """
+        WITH c AS (SELECT c_custkey AS n FROM customer), i AS (SELECT n, name, min(i) AS i FROM (SELECT n, i, CASE WHEN i % 5 <> 3 THEN 'I' || ((i * 7 + n) % 16) END AS name FROM (SELECT n, unnest(range(0, n % 19 + 1)) AS i FROM c)) WHERE name IS NOT NULL GROUP BY ALL),
+        t AS (SELECT n, string_agg(name, ';' ORDER BY i) AS institutions FROM (SELECT * FROM i QUALIFY row_number() OVER (PARTITION BY n ORDER BY i) <= 10) GROUP BY n)
+        SELECT 'W' || n AS openalex_id, array_to_string(list_filter(list_transform(range(0, least(n % 8 + 1, 5)), lambda i: CASE WHEN i % 4 <> 2 THEN 'C' || (i + n % 3) END), lambda x: x IS NOT NULL), ';') AS concepts, institutions FROM c JOIN t USING (n)""",
     "q_published_conformance": f"{R1} SELECT 'paper_title' AS field, count(*) FILTER (WHERE nullif(paper_title, '') IS NULL) AS n FROM r1 UNION ALL SELECT 'doi', count(*) FILTER (WHERE doi IS NULL) FROM r1 UNION ALL SELECT 'validation_status', CAST(0 AS BIGINT)",
     "q_roundtrip_csv": f"{AUDIT} SELECT row_number, validation_status, '[' || list_aggregate(list_transform(list_filter(string_split(notes, '; '), lambda x: x <> ''), lambda x: '\"' || x || '\"'), 'string_agg', ',') || ']' AS validation_notes, doi, nullif(country, '') AS country FROM a WHERE notes <> '' UNION ALL SELECT row_number, validation_status, '[]', doi, nullif(country, '') FROM a WHERE notes = ''",
     "q_roundtrip_json": f"{AUDIT} SELECT row_number, validation_status, notes, doi FROM a",

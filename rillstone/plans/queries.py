@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 
 from rillstone.functions import keys
 from rillstone.functions.fields import alias, as_rows, identity_text, present
-from rillstone.operators import context, contracts, release, summarize, validate
+from rillstone.operators import batches, context, contracts, provenance, release, ruled, summarize, validate
 from rillstone.plans import rulebook as rb
 from rillstone.plans.views import view
 from rillstone.sources import payloads, records
 from rillstone.sources.scratch import shared_path
+from rillstone.sources.stored import StoredTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 C = F.col
@@ -78,7 +80,26 @@ def _batches(df: DataFrame) -> DataFrame:
 @query
 def multi_rulebook(spark, sf):
     names = F.get(F.array(*map(F.lit, rb.RULEBOOKS)), (C("row_number") % 4).cast("int"))
-    return out(validate.audit_many(view(spark, sf, "r1").withColumn("book", names), "book", list(rb.RULEBOOKS.values())))
+    rules = rb.rule_table(spark, list(rb.RULEBOOKS.values()))
+    return out(ruled.audit_ruled(view(spark, sf, "r1").withColumn("book", names), "book", rules))
+
+
+#: Rulebook documents of the query below: whole kinds in place of the default's, one of them empty.
+DOCUMENTS = {
+    "strict": {"required_fields": ["paper_title", "doi", "pollutant_group|pollutant_original", "unit_standardized"], "review_if_missing": [], "reject_if_missing": ["doi", "unit_standardized"]},
+    "by_site": {"required_any_groups": [["location", "country|geographic_scope"], ["trend_direction", "risk_threshold"]], "duplicate_identity_fields": ["country", "matrix"], "forbidden_fields": ["risk_threshold"]},
+}
+
+
+@query
+def ruled_audit(spark, sf):
+    """Records judged by rulebook documents that are written, read again and merged over the default, one for each source."""
+    path = shared_path(spark)
+    named = view(spark, sf, "r1").select("source_kind").distinct().withColumn("book", F.when(C("source_kind").endswith("table"), "strict").otherwise("by_site"))
+    texts = F.create_map(*[x for n, d in DOCUMENTS.items() for x in (F.lit(n), F.lit(json.dumps(d | {"name": n})))])
+    named.select("book").distinct().select(texts[C("book")].alias("value")).write.text(path)
+    rules = rb.with_defaults(rb.rules_of_documents(spark.read.text(path)), rb.rule_table(spark, [rb.GENERIC]))
+    return out(ruled.audit_ruled(view(spark, sf, "r1").join(F.broadcast(named), "source_kind"), "book", rules))
 
 
 @query
@@ -88,11 +109,37 @@ def route_label(spark, sf):
     return routed.groupBy("label", "by_word", "by_substring").agg(F.count("*").alias("n"))
 
 
+def _field_batches(spark, sf) -> DataFrame:
+    """(batch, record): records as JSON array documents, a file for each batch, read as VARIANT. A record has a field where its
+    value is not null; records of every 16th batch have all of one reference field, null or not."""
+    rows = view(spark, sf, "r1").withColumn("batch", C("row_number") % 240)
+    kept = lambda c, which: F.when(which, C(c)).alias(c)
+    thin = F.struct("row_number", "doi", "matrix", kept("value_numeric", C("batch") % 5 == 0), kept("trend_direction", C("batch") % 7 == 0), kept("risk_threshold", C("batch") % 8 == 1))
+    rebuilt = F.struct("row_number", "doi", F.when(C("row_number") % 2 == 0, C("matrix")).alias("reference_resolution_status"))
+    text = F.when(C("batch") % 16 == 3, F.to_json(rebuilt, {"ignoreNullFields": "false"})).otherwise(F.to_json(thin))
+    path = shared_path(spark)
+    docs = rows.select("batch", text.alias("j")).groupBy("batch").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ",\n"), F.lit("]")).alias("value"))
+    docs.repartition("batch").write.partitionBy("batch").text(path)
+    return records.variant_records(spark, path).withColumn("batch", F.regexp_extract("file_path", "batch=([0-9]+)", 1).cast("long"))
+
+
 @query
 def route_columns(spark, sf):
-    rows = _batches(view(spark, sf, "r1"))
-    fields = F.when(C("label").startswith("science"), F.array(*map(F.lit, rows.columns))).when(C("label").startswith("nature"), F.array(F.lit("doi"), F.lit("value_min"))).when(C("label").startswith("EST"), F.array(F.lit("reference_resolution_status"))).otherwise(F.array(F.lit("doi")))
-    return rb.route_by_columns(rows.withColumn("fields", fields), "label", C("fields"))
+    return rb.route_by_names(records.field_names(_field_batches(spark, sf), "batch"), "batch")
+
+
+@query
+def field_overlap(spark, sf):
+    """The fields that each batch's records really have and each rulebook names."""
+    names = records.field_names(_field_batches(spark, sf), "batch")
+    return rb.shared_fields(names, "batch", rb.rule_table(spark, list(rb.RULEBOOKS.values()))).select("batch", "rulebook", F.array_join("fields", ",").alias("fields"))
+
+
+@query
+def variant_columns(spark, sf):
+    """Records of different fields as one table of typed columns."""
+    rows = records.typed(_field_batches(spark, sf), {"row_number": "long", "value_numeric": "double", "trend_direction": "string", "reference_resolution_status": "string", "absent": "string"}, "batch")
+    return rows.select("batch", "row_number", F.round("value_numeric", 6).alias("value_numeric"), "trend_direction", "reference_resolution_status", "absent")
 
 
 @query
@@ -522,8 +569,30 @@ def release_exclusions(spark, sf):
 
 @query
 def bundle_completeness(spark, sf):
-    made = audited(spark, sf).groupBy("validation_status").count().select(F.when(C("validation_status") == "approved", "api/validated_rows.json").otherwise(F.concat(F.lit("reports/"), "validation_status", F.lit(".csv"))).alias("path"))
-    return release.completeness(made)
+    """A bundle published whole: which of the contract's paths its manifest lists, and how many rows the tables among them have."""
+    rows, root = release.release_rows(audited(spark, sf)), shared_path(spark)
+    tables = {
+        "api/validated_rows.json": rows.select("row_number", "doi", "paper_title", "validation_status", "validation_notes"),
+        "api/analytics_summary.json": validate.status_counts(rows),
+        "api/context_manifest.json": None,
+        "reports/pollutant_summary.csv": summarize.group_table(rows, alias(rows, rb.POLLUTANT)),
+        "reports/matrix_summary.csv": summarize.group_table(rows, alias(rows, "matrix")),
+    }
+    release.publish_bundle(root, "v1", tables)
+    manifest = release.manifest_of(spark, root, "v1")
+    sizes = release.inventory(spark, manifest).filter(C("name").isin(*tables)).select(C("name").alias("path"), "n_rows")
+    missing = len(release.missing_manifest_fields(manifest))
+    return release.completeness(release.released_paths(spark, root, "v1")).join(sizes, "path", "left").withColumn("fields_missing", F.lit(missing).cast("long"))
+
+
+@query
+def release_diff(spark, sf):
+    """Two stored releases of records; the rows in which they differ, found by their hash trees."""
+    rows = out(audited(spark, sf))
+    before, after, n = shared_path(spark), shared_path(spark), C("row_number")
+    provenance.store(rows.filter(n % 613 != 5), "row_number", before)
+    provenance.store(rows.filter(n % 701 != 9).withColumn("notes", F.when(n % 509 == 3, F.concat(F.lit("seen; "), "notes")).otherwise(C("notes"))), "row_number", after)
+    return provenance.changes(spark, before, after, "row_number", rows)
 
 
 @query
@@ -553,6 +622,85 @@ def summary_document(spark, sf):
     return read.select("total", "approved", "needs_review", "rejected", F.size("notes").cast("long").alias("n_notes"), F.aggregate("notes", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n_noted"), "rulebook_name")
 
 
+@query
+def analytics_document(spark, sf):
+    """The analytics summary as one JSON document, read again."""
+    rows, path = view(spark, sf, "r1"), shared_path(spark)
+    made = summarize.analytics_document(rows, alias(rows, rb.POLLUTANT), alias(rows, rb.GEOGRAPHY), context.context_overview(rows), context.context_sizes(view(spark, sf, "d1"), view(spark, sf, "d2"), view(spark, sf, "d3")))
+    records.write_document(made, path)
+    d = spark.read.schema(made.schema).json(path)
+    pairs = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("=", x["key"], x["n"])), ";")
+    return d.select(
+        "total_rows", pairs("top_pollutants").alias("pollutants"), pairs("top_matrices").alias("matrices"), pairs("top_geographies").alias("geographies"), F.size("trend_direction_counts").cast("long").alias("n_trends"),
+        C("numeric_summary.count").alias("n_numbers"), F.round("numeric_summary.mean", 6).alias("mean"), C("risk_threshold_summary.max").alias("threshold"), C("context_overview.doi_count").alias("doi_count"), C("external_context_summary.works_b").alias("works_b"),
+    )
+
+
+@query
+def context_document(spark, sf):
+    """The summary of the normalised context tables as one JSON document, read again."""
+    path = shared_path(spark)
+    made = context.context_document(view(spark, sf, "d1"), view(spark, sf, "d2"), view(spark, sf, "d3"))
+    records.write_document(made, path)
+    pairs = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("=", x["key"], x["n"])), ";")
+    read = spark.read.schema(made.schema).json(path)
+    return read.select("crossref_rows", "openalex_rows", "world_bank_rows", "world_bank_latest_rows", pairs("crossref_publishers").alias("publishers"), pairs("openalex_journals").alias("journals"), F.size("world_bank_indicators").cast("long").alias("n_indicators"))
+
+
+# Batches and stored tables
+
+
+@query
+def batch_audit(spark, sf):
+    """Records that arrive in three batches, identities counted across them: what all batches end with."""
+    rows, store = view(spark, sf, "r1"), StoredTable(spark, shared_path(spark), "digest", 16)
+    parts = [batches.audit_batch(rows.filter(C("row_number") % 7 % 3 == k), rb.GENERIC, store, f"batch{k}") for k in range(3)]
+    whole, became = (reduce(DataFrame.unionByName, x) for x in zip(*parts, strict=True))
+    return out(batches.with_later_duplicates(whole, became, rb.GENERIC))
+
+
+@query
+def stored_dimension(spark, sf):
+    """A works dimension kept by merging three batches in any order, joined to the records."""
+    d, store = view(spark, sf, "d1"), StoredTable(spark, shared_path(spark), "doi", 16)
+    for k in (2, 0, 1):
+        a = context.keep_dimension(store, d.filter(C("load_order") % 3 == k), "load_order", f"batch{k}")
+    rows = view(spark, sf, "r1").withColumn("_doi", keys.doi(C("doi")))
+    joined = rows.join(a.withColumnRenamed("doi", "_doi"), "_doi", "left")
+    return joined.select("row_number", "publisher", "journal", "year", "citation_count")
+
+
+@query
+def quarantine(spark, sf):
+    """Landed payloads of all kinds, some broken, empty or foreign: rows and dead letters of one pass each."""
+    n = C("c_custkey")
+    body = {
+        "works_a": F.to_json(F.struct(F.struct(F.concat(F.lit("10.1016/q"), n.cast("string")).alias("DOI")).alias("message"))),
+        "works_b": F.to_json(F.struct(F.concat(F.lit("W"), n.cast("string")).alias("id"), F.lit(3).alias("cited_by_count"))),
+        "indicators": F.concat(F.lit('[{"page":1},'), F.to_json(F.transform(F.sequence(F.lit(1), (n % 3).cast("int") + 1), lambda y: F.struct((y + 2000).cast("string").alias("date"), (y * 1.5).alias("value")))), F.lit("]")),
+    }
+    kinds = []
+    for at, (kind, good) in enumerate(body.items()):
+        value = F.when(n % 31 == at, F.substring(good, 1, 9)).when(n % 37 == at, "  ").when(n % 41 == at, F.lit("[7]")).otherwise(good)
+        docs = spark.read.parquet(f"{sf}/customer.parquet").select(F.concat(F.lit("/l/C"), n.cast("string"), F.lit("/I.json")).alias("file_path"), value.alias("value"))
+        rows, dead = payloads.landed(docs, kind, shared_path(spark))
+        kinds += [rows.agg(F.lit(kind).alias("kind"), F.lit("rows").alias("outcome"), F.count("*").alias("n")), payloads.dead_counts(dead).select(F.lit(kind).alias("kind"), C("reason").alias("outcome"), "n")]
+    return reduce(DataFrame.unionByName, kinds)
+
+
+@query
+def flatten_caps(spark, sf):
+    """Works with up to 19 institutions, some repeated or without a name, and up to 8 concepts: ten and five at most stay."""
+    n = C("c_custkey").cast("int")
+    many = lambda k, f: F.filter(F.transform(F.sequence(F.lit(0), k), f), lambda x: x.isNotNull())
+    places = many(n % 19, lambda i: F.struct(F.array(F.struct(F.when(i % 5 != 3, F.concat(F.lit("I"), ((i * 7 + n) % 16).cast("string"))).alias("display_name"))).alias("institutions")))
+    names = many(n % 8, lambda i: F.struct(F.when(i % 4 != 2, F.concat(F.lit("C"), (i + n % 3).cast("string"))).alias("display_name")))
+    text = F.to_json(F.struct(F.concat(F.lit("W"), n.cast("string")).alias("id"), names.alias("concepts"), places.alias("authorships")), {"ignoreNullFields": "false"})
+    docs = spark.read.parquet(f"{sf}/customer.parquet").select(F.lit("/q").alias("file_path"), text.alias("value"))
+    flat = payloads.flatten_works_b(docs)
+    return flat.select("openalex_id", F.array_join("top_concepts", ";").alias("concepts"), F.array_join("institutions", ";").alias("institutions"))
+
+
 # Round trips
 
 

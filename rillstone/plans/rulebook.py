@@ -48,21 +48,38 @@ ALIASES = [("science", "synthesis"), ("science_synthesis", "synthesis"), ("scien
 SYNTHESIS_FIELDS, RECORD_FIELDS, REBUILD_FIELDS = ("trend_direction", "risk_threshold", "measurement_record_count_min"), ("value_numeric", "value_min", "value_max"), ("reference_short_citation", "reference_resolution_status")
 
 
+RULES = "rulebook string, rule_kind string, ordinal int, field_group array<string>"
+KINDS = [f.name for f in fields(Rulebook) if f.name != "name"]
+
+
 def rule_table(spark: SparkSession, books: list[Rulebook]) -> DataFrame:
-    """(rulebook, rule_kind, ordinal, field_group): one row for each rule."""
+    """(rulebook, rule_kind, ordinal, field_group): one row for each rule. A group is the names of one alias group, or the
+    members of a required-any group."""
     rows = []
     for b in books:
         for f in fields(b):
             value = getattr(b, f.name)
             if f.name != "name":
                 rows += [(b.name, f.name, i, list(x) if isinstance(x, tuple) else x.split("|")) for i, x in enumerate(value)]
-    return spark.createDataFrame(rows, "rulebook string, rule_kind string, ordinal int, field_group array<string>")
+    return spark.createDataFrame(rows, RULES)
+
+
+def rules_of_documents(docs: DataFrame, default_name: str = "generic") -> DataFrame:
+    """The rule table of JSON rulebook documents (value): objects of rule kinds, other fields are passed over. Each kind that a
+    document lists also gives a row of ordinal -1, so that an empty list is a rule kind without rules."""
+    parsed = docs.select(F.from_json("value", "map<string, string>").alias("_kinds")).filter("_kinds is not null")
+    named = parsed.select(F.coalesce(F.col("_kinds")["name"], F.lit(default_name)).alias("rulebook"), F.explode("_kinds").alias("rule_kind", "_items")).filter(F.col("rule_kind").isin(*KINDS))
+    items = F.transform(F.coalesce(F.from_json("_items", "array<string>"), F.array().cast("array<string>")), lambda x, i: F.struct(i.alias("ordinal"), F.when(x.startswith("["), F.from_json(x, "array<string>")).otherwise(F.split(x, "[|]")).alias("field_group")))
+    listed = F.concat(F.array(F.struct(F.lit(-1).alias("ordinal"), F.array().cast("array<string>").alias("field_group"))), items)
+    return named.select("rulebook", "rule_kind", F.inline(listed)).select("rulebook", "rule_kind", "ordinal", "field_group")
 
 
 def with_defaults(custom: DataFrame, default: DataFrame) -> DataFrame:
-    """Rule tables merged: a kind of rule that the custom table has replaces the default's whole kind."""
-    kinds = custom.select("rule_kind").distinct()
-    return custom.unionByName(default.join(F.broadcast(kinds), "rule_kind", "left_anti"))
+    """Rule tables merged: in each rulebook of the custom table, a kind of rule that it has replaces the default's whole kind.
+    default: the few rules of one rulebook."""
+    books, kinds = custom.select("rulebook").distinct(), custom.select("rulebook", "rule_kind").distinct()
+    rest = books.join(F.broadcast(default.drop("rulebook").withColumn("_", F.lit(1))), F.col("_") == 1).drop("_")
+    return custom.unionByName(rest.join(kinds, ["rulebook", "rule_kind"], "left_anti"))
 
 
 def route_by_label(batches: DataFrame, probes: Column, to: str = "rulebook", substring: bool = False) -> DataFrame:
@@ -82,10 +99,16 @@ def route_by_label(batches: DataFrame, probes: Column, to: str = "rulebook", sub
     return rows.join(hit, "_probes", "left").withColumn(to, F.coalesce("_book", F.lit("generic"))).drop("_probes", "_book")
 
 
-def route_by_columns(records: DataFrame, batch: str, fields_present: Column) -> DataFrame:
+def route_by_names(names: DataFrame, batch: str) -> DataFrame:
     """(batch, rulebook) by the field names that any record of the batch has, null or not: synthesis, record, rebuild,
-    generic. fields_present: an array of names."""
-    has = lambda names: F.max(F.arrays_overlap(fields_present, F.array(*map(F.lit, names))))
-    flags = records.groupBy(batch).agg(has(SYNTHESIS_FIELDS).alias("s"), has(RECORD_FIELDS).alias("r"), has(REBUILD_FIELDS).alias("b"))
+    generic. names: (batch, name), as records.field_names() finds them."""
+    has = lambda which: F.coalesce(F.max(F.col("name").isin(*which)), F.lit(False))
+    flags = names.groupBy(batch).agg(has(SYNTHESIS_FIELDS).alias("s"), has(RECORD_FIELDS).alias("r"), has(REBUILD_FIELDS).alias("b"))
     return flags.select(batch, F.when(F.col("s"), "synthesis").when(F.col("r"), "record").when(F.col("b"), "reference_rebuild").otherwise("generic").alias("rulebook"))
 
+
+def shared_fields(names: DataFrame, batch: str, rules: DataFrame) -> DataFrame:
+    """(batch, rulebook, fields): the fields that a batch has and a rulebook names. names: (batch, name); rules: a rule table."""
+    named = rules.select("rulebook", F.explode("field_group").alias("f")).select("rulebook", F.explode(F.transform(F.split("f", "[|]"), lambda x: F.trim(x))).alias("name")).distinct()
+    met = names.select(batch, "name").distinct().join(named, "name")
+    return met.groupBy(batch, "rulebook").agg(F.array_sort(F.collect_list("name")).alias("fields"))  # a rulebook's fields at most

@@ -1,4 +1,4 @@
-"""Landed service payloads, flattened to dimension rows. A malformed or foreign payload gives no row."""
+"""Landed service payloads, flattened to dimension rows. A malformed or foreign payload gives no row; landed() keeps it apart."""
 
 from __future__ import annotations
 
@@ -20,34 +20,85 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
-def flatten_works_a(docs: DataFrame) -> DataFrame:
-    m = docs.select("file_path", F.from_json("value", WORKS_A)["message"].alias("m")).filter("m is not null")
-    return m.select(
-        "file_path", doi(F.col("m.DOI")).alias("doi"), F.get("m.title", F.lit(0)).alias("title"), F.col("m.publisher").alias("publisher"), F.get("m.container-title", F.lit(0)).alias("journal"),
+def _works_a(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("m", F.from_json("value", WORKS_A)["message"]).withColumn("_good", F.col("m").isNotNull())
+
+
+def _rows_a(parsed: DataFrame, *keep: str) -> DataFrame:
+    return parsed.select(
+        *keep, "file_path", doi(F.col("m.DOI")).alias("doi"), F.get("m.title", F.lit(0)).alias("title"), F.col("m.publisher").alias("publisher"), F.get("m.container-title", F.lit(0)).alias("journal"),
         first_year(F.col("m.published-print"), F.col("m.published-online"), F.col("m.created")).alias("year"), F.col("m.type").alias("type"), F.col("m.is-referenced-by-count").alias("citation_count"),
         F.coalesce(F.when(F.col("m.author").isNotNull(), F.size("m.author")), F.lit(0)).alias("author_count"), F.col("m.URL").alias("url"),
     )
 
 
-def flatten_works_b(docs: DataFrame) -> DataFrame:
-    """Concepts are the first MAX_CONCEPTS, then those with a name; institutions the first MAX_INSTITUTIONS distinct names."""
-    m = docs.select("file_path", F.from_json("value", WORKS_B).alias("m")).filter("m.id is not null or m.doi is not null or m.ids is not null or m.title is not null")
+def flatten_works_a(docs: DataFrame) -> DataFrame:
+    return _rows_a(_works_a(docs).filter("_good"))
+
+
+def _works_b(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("m", F.from_json("value", WORKS_B)).withColumn("_good", F.coalesce(F.col("m.id").isNotNull() | F.col("m.doi").isNotNull() | F.col("m.ids").isNotNull() | F.col("m.title").isNotNull(), F.lit(False)))
+
+
+def _rows_b(parsed: DataFrame, *keep: str) -> DataFrame:
     names = F.flatten(F.transform(F.coalesce("m.authorships", F.array().cast("array<struct<institutions: array<struct<display_name: string>>>>")), lambda a: F.coalesce(a["institutions"]["display_name"], F.array().cast("array<string>"))))
     named = lambda xs: F.filter(xs, lambda x: x.isNotNull() & (x != ""))
     concepts = F.coalesce(named(F.slice(F.col("m.concepts")["display_name"], 1, MAX_CONCEPTS)), F.array().cast("array<string>"))
-    return m.select(
-        "file_path", doi(F.coalesce(F.nullif("m.doi", F.lit("")), "m.ids.doi")).alias("doi"), F.col("m.id").alias("openalex_id"), F.col("m.title").alias("title"), F.col("m.publication_year").alias("publication_year"), F.col("m.cited_by_count").alias("cited_by_count"),
+    return parsed.select(
+        *keep, "file_path", doi(F.coalesce(F.nullif("m.doi", F.lit("")), "m.ids.doi")).alias("doi"), F.col("m.id").alias("openalex_id"), F.col("m.title").alias("title"), F.col("m.publication_year").alias("publication_year"), F.col("m.cited_by_count").alias("cited_by_count"),
         F.col("m.primary_location.source.display_name").alias("journal"), F.col("m.open_access.is_oa").alias("is_oa"), F.col("m.open_access.oa_status").alias("oa_status"), concepts.alias("top_concepts"), F.slice(F.array_distinct(named(names)), 1, MAX_INSTITUTIONS).alias("institutions"),
     )
 
 
-def flatten_indicators(docs: DataFrame) -> DataFrame:
-    """Keys from the path <country>/<indicator>.json; rows are the second element of the document's array."""
+def flatten_works_b(docs: DataFrame) -> DataFrame:
+    """Concepts are the first MAX_CONCEPTS, then those with a name; institutions the first MAX_INSTITUTIONS distinct names."""
+    return _rows_b(_works_b(docs).filter("_good"))
+
+
+def _indicators(docs: DataFrame) -> DataFrame:
     path = r"([^/]+)/([^/]+)\.json$"
     name = F.url_decode("file_path")
-    rows = docs.select(F.regexp_extract(name, path, 1).alias("country_iso3"), F.regexp_extract(name, path, 2).alias("indicator"), F.get(F.from_json("value", "array<string>"), F.lit(1)).alias("v"))
-    each = rows.select("country_iso3", "indicator", F.posexplode(F.from_json("v", INDICATOR)).alias("pos", "r"))
-    return each.select("country_iso3", "indicator", "pos", F.col("r.country.value").alias("country_name"), F.col("r.indicator.value").alias("indicator_name"), F.col("r.date").alias("year"), F.col("r.value").alias("value"))
+    keyed = docs.withColumns({"country_iso3": F.regexp_extract(name, path, 1), "indicator": F.regexp_extract(name, path, 2)})
+    return keyed.withColumn("m", F.from_json(F.get(F.from_json("value", "array<string>"), F.lit(1)), INDICATOR)).withColumn("_good", F.col("m").isNotNull())
+
+
+def _rows_indicators(parsed: DataFrame, *keep: str) -> DataFrame:
+    each = parsed.select(*keep, "country_iso3", "indicator", F.posexplode_outer("m").alias("pos", "r"))
+    return each.select(*keep, "country_iso3", "indicator", "pos", F.col("r.country.value").alias("country_name"), F.col("r.indicator.value").alias("indicator_name"), F.col("r.date").alias("year"), F.col("r.value").alias("value"))
+
+
+def flatten_indicators(docs: DataFrame) -> DataFrame:
+    """Keys from the path <country>/<indicator>.json; rows are the second element of the document's array."""
+    return _rows_indicators(_indicators(docs).filter("_good")).filter("pos is not null")
+
+
+#: Of each kind of payload: how it is parsed, and its rows.
+KINDS = {"works_a": (_works_a, _rows_a), "works_b": (_works_b, _rows_b), "indicators": (_indicators, _rows_indicators)}
+DEAD = "file_path string, reason string, text string"
+
+
+def landed(docs: DataFrame, kind: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, dead): a kind's payloads flattened to dimension rows, and those that give none as (file_path, reason, text). Both
+    are written under path by one pass over the payloads, and read again."""
+    parse, rows_of = KINDS[kind]
+    parsed = parse(docs)
+    reason = F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty").when(F.try_parse_json("value").isNull(), "no JSON").when(~F.col("_good"), "foreign document")
+    apart = parsed.withColumns({"_dead": F.when(reason.isNotNull() | ~F.col("_good"), F.struct("file_path", F.coalesce(reason, F.lit("foreign document")).alias("reason"), F.col("value").alias("text")))})
+    flat = rows_of(apart, "_dead")
+    if "pos" in flat.columns:
+        flat = flat.filter("pos is not null or _dead is not null")
+    flat.withColumn("outcome", F.when(F.col("_dead").isNull(), "rows").otherwise("dead")).write.partitionBy("outcome").parquet(path)
+    both = docs.sparkSession.read.schema(f"{_ddl(flat)}, outcome string").parquet(path)
+    return both.filter("outcome = 'rows'").drop("_dead", "outcome"), both.filter("outcome = 'dead'").select("_dead.*")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def dead_counts(dead: DataFrame) -> DataFrame:
+    """(reason, n) of payloads that gave no row."""
+    return dead.groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def dois_of_texts(docs: DataFrame, text: str, *order: str) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
+from rillstone.sources.array_scan import array_elements
 
-def record_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+
+def record_array(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """Records of JSON array documents with file_path and position (load order); elements that are no objects go, a document
-    that is no array is an error."""
-    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
-    return _elements(docs, schema, True)
+    that is no array is an error, or where not strict has no rows. One large file is read by many tasks."""
+    each = array_elements(spark, path, strict).withColumn("_r", F.from_json("element", schema))
+    return each.select("file_path", "position", "_r.*")
 
 
 def record_array_or_empty(spark: SparkSession, path: str | None, schema: str) -> DataFrame:
@@ -22,25 +24,26 @@ def record_array_or_empty(spark: SparkSession, path: str | None, schema: str) ->
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return empty
-    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
-    return _elements(docs, schema, False)
+    return record_array(spark, path, schema, strict=False)
+
+
+def variant_records(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """(file_path, position, record): the same records as VARIANT, whatever fields each has."""
+    return array_elements(spark, path, strict).select("file_path", "position", F.try_parse_json("element").alias("record")).filter("record is not null")
 
 
-def _elements(docs: DataFrame, schema: str, strict: bool) -> DataFrame:
-    text = F.trim("value")
-    items = F.from_json("value", "array<string>")
-    if strict:
-        items = F.when(text.startswith("["), items).otherwise(F.raise_error(F.concat(F.lit("not a JSON array: "), "file_path")))
-    else:
-        items = F.when(text.startswith("["), items)
-    each = docs.select("file_path", F.posexplode(items).alias("position", "_e")).filter(F.ltrim("_e").startswith("{"))
-    return each.select("file_path", "position", F.from_json("_e", schema).alias("_r")).select("file_path", "position", "_r.*")
+def field_names(records: DataFrame, *by: str, record: str = "record") -> DataFrame:
+    """(*by, name, n): the field names that records really have, null fields too, and in how many records each is."""
+    keys = [f"`{c}`" for c in by]
+    each = records.sparkSession.sql(f"SELECT {', '.join(['e.key AS name', *keys])} FROM {{r}}, LATERAL variant_explode(`{record}`) AS e", r=records)
+    return each.groupBy(*keys, "name").agg(F.count("*").alias("n"))
 
 
-def quarantined(docs: DataFrame, value: Column, schema: str) -> DataFrame:
-    """Documents that do not parse under the schema."""
-    parsed = F.from_json(value, f"{schema}, _bad string" if "<" not in schema else schema, {"columnNameOfCorruptRecord": "_bad"})
-    return docs.filter(value.isNotNull() & (parsed.isNull() | (F.try_parse_json(value).isNull())))
+def typed(records: DataFrame, fields: dict[str, str], *keep: str, record: str = "record") -> DataFrame:
+    """Columns of VARIANT records: fields by name with their types, null where a record lacks one or has another kind of value.
+    A name may hold quotes of one kind, not of both."""
+    path = lambda name: f'$["{name}"]' if "'" in name else f"$['{name}']"
+    return records.select(*keep, *[F.try_variant_get(record, path(n), kind).alias(n) for n, kind in fields.items()])
 
 
 def flat(df: DataFrame) -> DataFrame:

@@ -174,7 +174,7 @@ def test_publish_refuses_and_lists(spark, tmp_path):
     with pytest.raises(ValueError, match="not approved"):
         release.publish(f"file://{tmp_path}", "v2", {"api/validated_rows": audited})
     assert release.provenance_hash(good).first() == release.provenance_hash(good.orderBy(F.desc("row_number"))).first()
-    assert release.missing_manifest_fields(good) == release.REQUIRED_MANIFEST_FIELDS
+    assert release.missing_manifest_fields({}) == release.REQUIRED_MANIFEST_FIELDS
 
 
 def test_stream_audits_files(spark, tmp_path):
