@@ -114,7 +114,7 @@ class Tree:
         found = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
         if self.most * _most(queries) * max(1, q.shape[1]) >= 1 << 53:
             found += 1e-12 * (np.abs(q) @ np.maximum(np.abs(low), np.abs(high)).T) + 1
-        return found
+        return np.clip(found, -(2.0**63), 2.0**63)  # as scores are cut
 
     def best(self, query: np.ndarray, bounds: np.ndarray, k: int, least: int | None, own: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores and positions of the k best rows but own, of those that reach least; ties to the smaller position."""
@@ -208,7 +208,7 @@ def _bound(query: Column, low: Column, high: Column) -> Column:
     q = lambda i: F.element_at(query, i).cast("double")
     sides = F.transform(F.sequence(F.lit(1), F.size(query)), lambda i: F.struct((q(i) * F.element_at(low, i)).alias("a"), (q(i) * F.element_at(high, i)).alias("b")))
     reach = lambda s: F.greatest(s["a"], s["b"]) + F.greatest(F.abs(s["a"]), F.abs(s["b"])) * 1e-12
-    return F.when(F.size(query) == 0, F.lit(0.0)).otherwise(F.aggregate(sides, F.lit(0.0), lambda total, s: total + reach(s)))
+    return F.when(F.size(query) == 0, F.lit(0.0)).otherwise(F.greatest(F.aggregate(sides, F.lit(0.0), lambda total, s: total + reach(s)), F.lit(-(2.0**63))))
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 1024.0, shard_rows: int = SHARD_ROWS, box_bytes: int = BOX_BYTES) -> DataFrame:
@@ -249,7 +249,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str =
         met = waiting.join(F.broadcast(boxes), "dim")
     else:
         blocks = F.pmod(F.xxhash64("row"), F.lit(QUERY_BLOCKS))
-        met = waiting.withColumn("block", blocks).join(boxes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(QUERY_BLOCKS - 1))).cast("long")), ["dim", "block"])
+        met = waiting.withColumn("block", blocks).join(boxes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(QUERY_BLOCKS - 1).cast("long")))), ["dim", "block"])
     routed = met.filter(may).select(F.col("to").alias("shard"), F.lit(2).alias("kind"), "row", "id", "vector", "least")
     rest = _searched(held.unionByName(marks).unionByName(routed), k, boxes=False)
 
