@@ -20,14 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only in local mode, where it is unset."""
+    """The shared folder the cluster names in spark.checkpoint.dir; in local mode, where it is unset, one temporary folder for
+    the session."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
+        name = spark.sparkContext.applicationId
+        if name not in _LOCAL:
+            _LOCAL[name] = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        found = _LOCAL[name]
     return found.rstrip("/")
 
 
