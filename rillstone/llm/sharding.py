@@ -12,7 +12,9 @@ size in few files are final, and fewer than FANOUT small runs of a tier wait for
 Defined cases: null values in any column are kept; a null arrival is an arrival of its own; empty arrivals add no run, an
 empty table leaves a manifest without runs; repeated rows are all kept; values of any length are stored as they are;
 columns of any name are stored, as an arrival's name is kept in the path under a name that no column has; a later arrival
-may lack columns or have new ones, which are null where a shard has none.
+may lack columns or have new ones, which are null where a shard has none. A column keeps the type it first had: numbers of a
+narrower type are widened as they arrive, any other type is refused before a row is written, or, where another writer has
+brought the column meanwhile, before the commit; the store stays as it was.
 """
 
 from __future__ import annotations
@@ -33,6 +35,27 @@ class VersionTaken(Exception):
     """Another writer has committed that version; it exists already."""
 
 
+class TypeChanged(ValueError):
+    """An arrival has a known column in a type that its values cannot be widened from."""
+
+
+#: Types whose values are all values of the later ones.
+WIDER = ["tinyint", "smallint", "int", "bigint"], ["float", "double"]
+
+
+def widened(known: StructType, arriving: StructType) -> dict[str, str]:
+    """Columns of an arrival that are widened to a known type. Raises TypeChanged where that would not do."""
+    kinds, casts = {f.name: f.dataType.simpleString() for f in known}, {}
+    for f in arriving:
+        was, now = kinds.get(f.name), f.dataType.simpleString()
+        if was is None or was == now:
+            continue
+        if not any(was in order and now in order and order.index(now) < order.index(was) for order in WIDER):
+            raise TypeChanged(f"{f.name} is {was} in the store and {now} in the arrival")
+        casts[f.name] = was
+    return casts
+
+
 class ShardStore:
     def __init__(self, spark: SparkSession, root: str, target_bytes: int = 128 << 20, fanout: int = 4):
         self.spark, self.root, self.target, self.fanout = spark, root.rstrip("/"), target_bytes, fanout
@@ -81,19 +104,27 @@ class ShardStore:
             runs = change(before["runs"])
             if runs is None:
                 return None
-            known = StructType.fromJson(json.loads(before["schema"])) if before["schema"] else StructType()
+            known = self.schema(before)
+            if widened(known, schema or StructType()):
+                raise TypeChanged("another writer has brought a column in a wider type; append again")
             merged = StructType([*known, *(f for f in schema or () if f.name not in known.names)])
             try:
                 return self.commit(before, runs, merged.json())
             except VersionTaken:
                 continue
 
+    @staticmethod
+    def schema(manifest: dict) -> StructType:
+        return StructType.fromJson(json.loads(manifest["schema"])) if manifest["schema"] else StructType()
+
     def _run(self, path: str, arrivals: int) -> dict | None:
         sizes = [s.getLen() for s in self._fs.listStatus(self._path(path)) if s.getPath().getName().startswith("part-")]
         return {"path": path, "bytes": int(sum(sizes)), "files": len(sizes), "arrivals": arrivals} if sizes else None
 
     def append(self, df: DataFrame, arrival: Column) -> dict:
-        """Write df's rows as one run of small immutable shards for each value of arrival, all in one job."""
+        """Write df's rows as one run of small immutable shards for each value of arrival, all in one job. Raises TypeChanged."""
+        casts = widened(self.schema(self.manifest()), df.schema)
+        df = df.withColumns({c: F.col(f"`{c}`").cast(kind) for c, kind in casts.items()}) if casts else df
         path, label = f"{self.root}/runs/{uuid.uuid4().hex}", f"arrival_{uuid.uuid4().hex}"
         df.withColumn(label, arrival.cast("string")).write.option("compression", "zstd").partitionBy(label).parquet(path)
         folders = [s.getPath().toString() for s in self._fs.listStatus(self._path(path)) if s.isDirectory()]
