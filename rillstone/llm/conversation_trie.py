@@ -92,8 +92,9 @@ def _digests(ends: DataFrame) -> DataFrame:
 
 def _members(rows: DataFrame) -> DataFrame:
     """(chain, n, owner, n_ends, end) of nodes that more than one conversation shares: members, the smallest, how many end
-    there, and the smallest of those."""
-    return rows.groupBy("chain").agg(F.count("*").alias("n"), F.min("conv").alias("owner"), F.count_if("last").alias("n_ends"), F.min(F.when(F.col("last"), F.col("conv"))).alias("end")).filter("n > 1")
+    there, and the smallest of those. Written, so that a join with it is one whose hot partitions Spark can split."""
+    found = rows.groupBy("chain").agg(F.count("*").alias("n"), F.min("conv").alias("owner"), F.count_if("last").alias("n_ends"), F.min(F.when(F.col("last"), F.col("conv"))).alias("end")).filter("n > 1")
+    return save(found, "members")
 
 
 def prefix_trie(turns: DataFrame, order: list[Column], conversations: DataFrame | None = None, conv_col: str = "conv_id", block: int = BLOCK) -> DataFrame:
