@@ -2,8 +2,9 @@
 
 Every word of a text counts: words are hashed to TERMS dimensions, and a dimension's idf is counted over the whole corpus.
 Examples are a documented bounded sample of labelled texts (MAX_EXAMPLES of them, MAX_EXAMPLE_BYTES of text). A dimension's
-weight is log tf times idf times a relevance, LEAST_RELEVANCE for all of them and more for those that go with label 1 beyond
-what chance explains; no dimension is left out. The index has postings per term, in blocks of BLOCK examples, and each
+weight is log tf times idf times a relevance, LEAST_RELEVANCE for all of them and up to 1 more for those that go with label 1
+beyond what chance explains; no dimension is left out. (Without a relevance neighbours follow a text's subject: see the README
+for the figures of both.) The index has postings per term, in blocks of BLOCK examples, and each
 term's largest weight in every block; terms that many examples have are kept as whole rows and added up at once. A query's
 bound of a block is the largest such sum in it and the maxima of the other terms. The blocks with the largest bounds are
 scored, and then all whose bound reaches the K-th best cosine so far, so its neighbours are exact. Votes are weighted by
@@ -13,7 +14,7 @@ Defined cases: null and empty texts have no neighbour and take the label rate of
 vote, so ids never decide; equal example texts are one example with the larger label; of the rows that share a labelled id
 one text is an example; null ids and null labels are no labels; rows with a null id, repeated rows and rows without a label
 are scored like any other; texts are read whole, of any length; other columns, of any name, stay in row; without any usable
-label every score is 0; an empty table gives an empty result.
+label every score is 0; ids may be of any type, the evidence names them as text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ FIRST_BLOCKS = 2
 ROW_SHARE, TIE = 24, 1e-6
 #: Queries whose sums over rows are one product of matrices.
 TOGETHER = 64
-LEAST_RELEVANCE, HALF_RELEVANCE = 0.01, 200.0
+LEAST_RELEVANCE, HALF_RELEVANCE = 0.1, 200.0
 EVIDENCE = 3
 
 Vector = tuple[np.ndarray, np.ndarray]
@@ -60,9 +61,8 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
         here = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), pa.array(total[here])], ["term", "n"])
 
-    # A row per task and dimension: fewer, longer tasks keep their number to the cluster's cores, whatever the input.
-    lanes = 2 * docs.sparkSession.sparkContext.defaultParallelism
-    rows = docs.select(F.col(text_col).cast("string")).coalesce(lanes).mapInArrow(count, "term int, n long")
+    # A row for each dimension that a split has: a few hundredths of the split, and a lost task repeats its split alone.
+    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "term int, n long")
     got = rows.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # TERMS rows at most
     counts = np.zeros(TERMS, np.int64)
     counts[got["term"].to_numpy()] = got["n"].to_numpy()
@@ -76,8 +76,8 @@ def _expand(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def relevance(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Of every dimension: LEAST_RELEVANCE, and up to 1 more as the likelihood ratio of its going with label 1 exceeds what
-    the largest of so many independent ones reaches by chance."""
+    """Of every dimension: LEAST_RELEVANCE, and up to 1 more as the root of the likelihood ratio of its going with label 1
+    exceeds what the largest of so many independent ones reaches by chance."""
     with_one = np.bincount(np.concatenate([t for t, y in zip(terms, labels, strict=True) if y] or [np.empty(0, int)]), minlength=TERMS).astype(float)
     having = np.bincount(np.concatenate(terms or [np.empty(0, int)]), minlength=TERMS).astype(float)
     at = np.flatnonzero(having)
@@ -87,14 +87,14 @@ def relevance(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     ratio = 2 * np.where(table > 0, table * np.log(np.maximum(table, 1) / np.maximum(expected, 1e-12)), 0).sum(axis=0)
     beyond = np.where(a * (size - ones) > (n - a) * ones, np.maximum(0, ratio - 2 * np.log(max(len(at), 2))), 0)
     out = np.full(TERMS, LEAST_RELEVANCE)
-    out[at] += beyond / (beyond + HALF_RELEVANCE)
+    out[at] += np.sqrt(beyond / (beyond + HALF_RELEVANCE))
     return out
 
 
 class BlockMaxIndex:
     """Cosine search over examples, given as term counts, labels and ids; weight: of every dimension."""
 
-    def __init__(self, weight: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[int | None]):
+    def __init__(self, weight: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[str | None]):
         self.weight = weight.astype(np.float32)
         vectors = [self.vector(*e) for e in examples]
         # Examples with the same weightiest terms stand together, so that block maxima are sharp.
@@ -207,7 +207,7 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Model:
     """What a task needs to score texts: the index, of a documented bound, and the calibration."""
 
-    def __init__(self, idf: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[int | None]):
+    def __init__(self, idf: np.ndarray, examples: list[Vector], labels: np.ndarray, ids: list[str | None]):
         make = lambda of: BlockMaxIndex(idf * relevance([examples[i][0] for i in of], labels[of]), [examples[i] for i in of], labels[of], [ids[i] for i in of])
         everyone = np.arange(len(examples))
         votes = np.zeros(len(examples))
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = [term_counts(hasher.words(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([f[i].astype("<i4").tobytes() for f in found], pa.binary()) for i in (0, 1))], ["id", "label", "terms", "counts"])
 
-    rows = examples.select(F.col("id").cast("long"), "text", F.col("label").cast("int")).mapInArrow(vectors, "id long, label int, terms binary, counts binary").collect()  # max_bytes bytes of text
+    rows = examples.select(F.col("id").cast("string"), "text", F.col("label").cast("int")).mapInArrow(vectors, "id string, label int, terms binary, counts binary").collect()  # max_bytes bytes of text
     rows.sort(key=lambda r: (bytes(r["terms"])[::-1], bytes(r["counts"])))
     return Model(idf, [(np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["counts"], "<i4")) for r in rows], np.array([r["label"] for r in rows], int), [r["id"] for r in rows])
 
@@ -264,14 +264,14 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
+        kind = pa.list_(pa.struct([("example", pa.string()), ("label", pa.int32()), ("cosine", pa.float64())]))
         hasher = WordHasher()
         for batch in batches:
             for part in slices(batch, 1):
                 scores, evidence = sent.value.scores([term_counts(hasher.words(t)) for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["row", "text", "score", "evidence"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, score double, evidence array<struct<example: long, label: int, cosine: double>>")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, score double, evidence array<struct<example: string, label: int, cosine: double>>")
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
