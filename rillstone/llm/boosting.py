@@ -15,6 +15,14 @@ MAX_TRAINING_ROWS = 20_000
 TREES, DEPTH = 12, 4
 
 
+def at_least(good: float, n: float, z: float) -> float:
+    """Lower end of the Wilson interval for a share of which good of n are seen; 0 for none."""
+    if n <= 0:
+        return 0.0
+    share, zz = good / n, z * z
+    return (share + zz / (2 * n) - z * (share * (1 - share) / n + zz / (4 * n * n)) ** 0.5) / (1 + zz / n)
+
+
 class Boosted:
     def __init__(self, features: list[str], model):
         self.model = model

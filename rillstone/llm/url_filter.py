@@ -5,12 +5,14 @@ text has fewer than MIN_PAGE_WORDS words or more than MAX_PAGE_SYMBOLS of its ch
 nor common punctuation. Rules take no part in it. Features: lengths, depth, digit and punctuation ratios, character
 entropy, parameter counts, and the smoothed share of label 1 under the host's last one, two and three labels (suffix
 statistics, kept for suffixes with MIN_SUFFIX_ROWS labelled URLs of the sample, so their number is bounded by it). A
-training row's suffix shares come from the other folds, so its own label takes no part in them.
+training row's suffix shares come from the other folds, so its own label takes no part in them. One fold of the labelled URLs
+is held out of the trees: they decide only if label 1 is, with confidence, more frequent among the held-out URLs that they
+would block than among all. Labels that URLs do not show so block nothing.
 
 Defined cases: null URLs and those without :// have an empty host and path and fall to the trees; URLs of any length are
 read whole; repeated rows are judged each, a URL with both labels is a row of either; among rules of one length the
-alphabetically first wins; with fewer than MIN_LABELLED labelled URLs, or of one label only, every undecided URL is
-allowed; null labels are none; only id and URL are read, so other columns may have any name; an empty table gives an
+alphabetically first wins; where the trees do not decide (also without labels, or with one label only), every undecided URL is
+allowed, its score still given; null labels are none; only id and URL are read, so other columns may have any name; an empty table gives an
 empty result. Only DataFrame functions and Spark's own learner are used.
 """
 
@@ -27,8 +29,9 @@ COMPILED_RULES = 200
 MIN_SUFFIX_ROWS, PRIOR_ROWS, FOLDS = 10, 10, 5
 #: Labelled URLs the trees are fitted on, a documented bound.
 TRAINING_ROWS = 5_000
-MIN_LABELLED, MIN_PAGE_WORDS, MAX_PAGE_SYMBOLS = 200, 60, 0.03
-BLOCK_FROM = 0.5
+MIN_PAGE_WORDS, MAX_PAGE_SYMBOLS = 60, 0.03
+#: URLs with this score or more are blocked; normal deviates by which held-out ones must beat the label rate.
+BLOCK_FROM, CONFIDENCE = 0.5, 2.58
 FEATURES = ["f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_punctuation", "f_entropy", "f_parameters", "f_query_length", "f_fragment", "f_secure", "f_suffix1", "f_suffix2", "f_suffix3"]
 SUFFIXES = (1, 2, 3)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -115,16 +118,19 @@ class UrlModel:
         # The sample's size is a documented bound; so is that of the suffix tables made from it.
         sample = lexical(bounded_sample(known, "url", rows), "url").withColumn("_fold", F.pmod(F.xxhash64("url", F.lit(5)), F.lit(FOLDS)))
         sample = save(sample, "labelled-urls")
-        n, self.base = sample.agg(F.count("*"), F.coalesce(F.avg("_label"), F.lit(0.0))).first()
-        self.model, self.shares = None, []
-        if n < MIN_LABELLED:
-            return
+        self.base = sample.agg(F.coalesce(F.avg("_label"), F.lit(0.0))).first()[0]
+        self.shares, self.decides = [], False
         training = sample
         for k in SUFFIXES:
             whole, rest = _suffix_shares(sample, self.base, k)
             self.shares.append((f"_s{k}", save(whole, "suffixes")))
             training = training.join(F.broadcast(save(rest, "suffixes")), [f"_s{k}", "_fold"], "left")
-        self.model = boosting.fit(self._filled(training), FEATURES, "_label", "url", rows)
+        training = self._filled(training)
+        self.model = boosting.fit(training.filter("_fold <> 0"), FEATURES, "_label", "url", rows)
+        if self.model is not None:
+            held_out = self.model.score(training.filter("_fold = 0"), "_p").filter(F.col("_p") >= BLOCK_FROM)
+            n, ones = held_out.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0.0))).first()
+            self.decides = boosting.at_least(ones, n, CONFIDENCE) > self.base
 
     def _filled(self, df: DataFrame) -> DataFrame:
         return df.fillna({f"f_suffix{k}": self.base for k in SUFFIXES})
@@ -143,6 +149,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFr
     """(id, url, host, path, rule, verdict, block_score). labelled: (url, label), label 1 to block."""
     host, path = host_and_path(F.col(url_col).cast("string"))
     judged = match_rules(pages.select(F.col(id_col), F.col(url_col).cast("string").alias(url_col), host.alias("host"), path.alias("path")), rules)
-    scored = UrlModel(labelled, rows).score(judged, url_col)
-    verdict = F.coalesce("rule_verdict", F.when(F.col("block_score") >= BLOCK_FROM, "block").otherwise("allow"))
+    model = UrlModel(labelled, rows)
+    scored = model.score(judged, url_col)
+    verdict = F.coalesce("rule_verdict", F.when((F.col("block_score") >= BLOCK_FROM) & model.decides, "block").otherwise("allow"))
     return scored.select(id_col, url_col, "host", "path", "rule", verdict.alias("verdict"), "block_score")

@@ -54,6 +54,16 @@ def test_trees_learn_from_given_labels(spark):
     assert sum((r["verdict"] == "block") == (r["page_id"] % 3 == 0) for r in got) > 0.97 * len(got)
 
 
+@pytest.mark.parametrize("share", [0.1, 0.5])
+def test_trees_that_know_nothing_do_not_decide(spark, share):
+    """Labels that no URL shows: some scores are high, none blocks."""
+    rng = np.random.default_rng(2)
+    rows = [(i, f"http://h{rng.integers(60)}.example.{'org' if i % 2 else 'com'}/{rng.integers(10**6)}", float(rng.random() < share)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, label double")
+    got = url_filter.filter_urls(df, [], df.select("url", "label")).collect()
+    assert {r["verdict"] for r in got} == {"allow"} and len({r["block_score"] for r in got}) > 10
+
+
 def test_odd_rows_and_few_labels(spark):
     df = spark.createDataFrame([(i, u) for i, u in enumerate(ODD)] + [(None, None), (1, "http://net/")], "page_id long, url string")
     few = spark.createDataFrame([("http://a.com/", 1.0), ("http://b.com/", 0.0), (None, None)], "url string, label double")
