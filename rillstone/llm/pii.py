@@ -2,10 +2,13 @@
 
 Base spans (email, ip, card, phone) are leftmost matches that do not overlap within their kind, kept where their check
 passes. Looser generators propose spans that may overlap: other separators, missing prefixes, written-out signs. A
-candidate's label is a check of its content that no base pattern makes and no feature shows: the Luhn sum of 13 to 19
-digits, four octets, a domain that ends in letters, a number of dialled digits. The trees see only how it is written and
-what stands around it, with trees for each kind. Each kind's threshold is the least score at which MIN_PRECISION of the candidates held out from the
-trees pass their check; candidates above it that overlap no base span are added, of overlapping ones the best.
+candidate's label is a check of its content that no base pattern makes: the Luhn sum of 13 to 19 digits, four octets, a
+domain that ends in letters, a number of dialled digits behind a dialling sign. The trees see only how it is written and what
+stands around it. For cards, addresses and hosts no feature shows the check; for phones the features do (digits, first sign),
+and what their trees learn is which ways of writing pass it. Each kind has trees of its own, fitted on either half of its
+candidates and used on the other, so every score is of trees that have not seen the candidate. A kind's threshold is the
+least score at and above which MIN_PRECISION of its candidates pass their check, by the lower end of a confidence interval;
+candidates above it that overlap no base span are added, of overlapping ones the best.
 
 Start and end are code points, end exclusive. Positions come from the lengths of what lies between matches; sums run in
 blocks, overlaps by running maxima, so texts with very many matches stay cheap. Patterns are possessive and start at the
@@ -13,9 +16,8 @@ start of a run, or where the last match ended, which finds the plain patterns' m
 
 Defined cases: null texts are empty and have no spans; texts are read whole, of any length; rows with a null or repeated
 id are treated each; ties between overlapping candidates go to the later start, then kind; only id and text are read, so
-other columns may have any name; of a kind without candidates of both labels nothing is added, nor of one with fewer than
-MIN_HELD_OUT of them held out; an empty table gives an empty result. Only DataFrame functions and Spark's own learner are
-used.
+other columns may have any name; of a kind without candidates of both labels nothing is added, nor of one whose precision is
+not shown by its candidates; an empty table gives an empty result. Only DataFrame functions and Spark's own learner are used.
 """
 
 from __future__ import annotations
@@ -46,7 +48,8 @@ CANDIDATES = [
     ("card", r"(?<![0-9+])[0-9](?:[\x20./_-]{0,2}[0-9]){8,40}+", "[0-9]"),
     ("phone", r"(?<![0-9+])(?:\+|\(|00)?[0-9](?:[\x20()./-]{0,3}[0-9]){6,40}+", "[0-9]"),
 ]
-MIN_PRECISION, BINS, MIN_HELD_OUT, FOLDS = 0.95, 50, 20, 5
+#: A threshold's precision, and the normal deviate of the confidence with which it is reached.
+MIN_PRECISION, CONFIDENCE, BINS, FOLDS = 0.95, 1.28, 50, 2
 FEATURES = ["f_length", "f_digits", "f_letters", "f_separators", "f_dots", "f_brackets", "f_groups", "f_longest", "f_plus", "f_first", "f_before_space", "f_before_digit", "f_before_word", "f_after_space", "f_after_digit", "f_after_word", "f_cue"]
 #: Words of four languages that stand before personal data; a context feature, not a rule.
 CUES = r"(?i)(mail|tel|phone|fon|call|card|karte|carte|tarjeta|kont|ip|addr|adres|server|host)[^\n]{0,8}$"
@@ -167,14 +170,15 @@ def _free(each: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def thresholds(scored: DataFrame, precision: float = MIN_PRECISION) -> dict[int, float]:
-    """Of each kind the least score, in steps of 1 / BINS, at and above which so many of the candidates pass their check."""
+    """Of each kind the least score, in steps of 1 / BINS, at and above which, with confidence, that share of the candidates pass
+    their check."""
     bins = scored.groupBy("kind", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()  # 4 kinds of BINS bins
     least: dict[int, float] = {}
     for kind in range(len(KINDS)):
         n = good = 0
         for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
             n, good = n + r["n"], good + r["good"]
-            if n >= MIN_HELD_OUT and good >= precision * n:
+            if boosting.at_least(good, n, CONFIDENCE) >= precision:
                 least[kind] = r["bin"] / BINS
     return least
 
@@ -184,18 +188,19 @@ def _added(found: DataFrame, rows: int) -> DataFrame | None:
     each = found.select("k1", "k2", F.explode("candidates").alias("c")).select("k1", "k2", "c.*").distinct()
     base = found.select("k1", "k2", F.explode("base").alias("b")).select("k1", "k2", F.col("b.start").alias("start"), F.col("b.end").alias("end")).distinct()
     each = save(_free(_checked(each), base), "pii-candidates")
-    held_out = F.pmod(F.xxhash64("hit", "before"), F.lit(FOLDS)) == 0
+    fold = F.pmod(F.xxhash64("hit", "before"), F.lit(FOLDS))
     parts = []
-    for kind in range(len(KINDS)):  # trees of its own
-        own = each.filter(F.col("kind") == kind)
-        model = boosting.fit(_features(own.filter(~held_out)), FEATURES, "label", "hit", rows)
-        if model is not None:
-            parts.append(model.score(_features(own), "p").select("k1", "k2", "kind", "start", "end", "label", "free", "p", held_out.alias("held_out")))
+    for kind in range(len(KINDS)):  # trees of its own, and each candidate's score is of trees that have not seen it
+        for k in range(FOLDS):
+            own = each.filter(F.col("kind") == kind)
+            model = boosting.fit(_features(own.filter(fold != k)), FEATURES, "label", "hit", rows)
+            if model is not None:
+                parts.append(model.score(_features(own.filter(fold == k)), "p").select("k1", "k2", "kind", "start", "end", "label", "free", "p"))
     if not parts:
         return None
     scored = save(reduce(DataFrame.unionByName, parts), "pii-scores")
     threshold = F.lit(2.0)
-    for kind, t in thresholds(scored.filter("held_out")).items():
+    for kind, t in thresholds(scored).items():
         threshold = F.when(F.col("kind") == kind, t).otherwise(threshold)
     chosen = scored.filter(F.col("free") & (F.col("p") >= threshold))
     order = Window.partitionBy("k1", "k2").orderBy("start", "end")
