@@ -6,7 +6,8 @@ batch before the shuffle, and counts them exactly by the key itself. Pass 3 drop
 
 The filters' size follows the number of documents. Beyond MAX_FILTER_BITS, too large to send to every executor, keys' 8-byte
 hashes are dealt out by range instead: each range has a pair of filters of its own that never leaves its task, and what it
-sees a second time are the suspects, which the keys are joined with. Results never depend on the filters.
+sees a second time are the suspects. They make one filter of bounded size, through which pass 2 goes as before: of lines
+only suspects' keys leave a task (a full filter lets more through, and loses nothing). Results never depend on the filters.
 
 Defined cases: null and empty texts are one empty line, whose key is empty and never dropped; repeated rows count as
 separate documents; several equal lines of one document count once; lines and texts may have any length; ids may be null,
@@ -23,12 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import save, slices, small
+from ._common import save, slices
 
 LINES_PER_DOCUMENT = 16
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 16, 1 << 28
-#: Bits of one range's filters, and suspected hashes that may be broadcast.
-RANGE_BITS, BROADCAST_HASHES = 1 << 26, 2_000_000
+#: Bits of one range's filters; bits for each suspect in the filter of all.
+RANGE_BITS, SUSPECT_BITS = 1 << 26, 12
 CHUNK_BYTES = 1 << 14
 HASHES = 3
 #: Confirmed keys up to so many bytes go to the executors as one set; beyond it they are joined.
@@ -102,20 +103,45 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
-def _by_key(docs: DataFrame, id_col: str, text_col: str, min_length: int, twice: bytes | None) -> DataFrame:
-    """(key, h, n, first): for every batch of texts the keys (those that the filter suspects, where there is one), their
-    hash, in how many documents each is, and the smallest id of those."""
+def suspects_filter(suspects: DataFrame, most_bits: int) -> bytes:
+    """One filter of the suspected hashes (h), of most_bits bits at most; each of its chunks is set in one place."""
+    wanted = max(MIN_FILTER_BITS, SUSPECT_BITS * suspects.count())
+    n_bits = min(most_bits, 1 << (wanted - 1).bit_length())
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bits(batch.column(0).to_numpy().view(np.uint64), n_bits))
+            yield pa.RecordBatch.from_arrays([pa.array((at // np.uint64(8 * CHUNK_BYTES)).astype(np.int32)), pa.array((at % np.uint64(8 * CHUNK_BYTES)).astype(np.int32))], ["chunk", "bit"])
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, bits = 0, np.zeros(8 * CHUNK_BYTES, np.uint8)
+        for batch in batches:
+            if len(batch):
+                chunk = batch.column(0)[0].as_py()
+                bits[batch.column(1).to_numpy()] = 1
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["chunk", "bits"])
+
+    merged = np.zeros(n_bits // 8, np.uint8)
+    for row in suspects.mapInArrow(places, "chunk int, bit int").groupBy("chunk").applyInArrow(put, "chunk int, bits binary").toLocalIterator():
+        part = merged[row["chunk"] * CHUNK_BYTES : (row["chunk"] + 1) * CHUNK_BYTES]
+        part[:] = np.frombuffer(row["bits"], np.uint8)[: len(part)]
+    return merged.tobytes()
+
+
+def _by_key(docs: DataFrame, id_col: str, text_col: str, min_length: int, twice: bytes) -> DataFrame:
+    """(key, h, n, first): for every batch of texts the keys that the filter suspects, their hash, in how many documents each
+    is, and the smallest id of those."""
     sent = docs.sparkSession.sparkContext.broadcast(twice)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary"))
     kind = rows.schema["_id"].dataType.simpleString()
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if sent.value is None else np.frombuffer(sent.value, np.uint8)
+        bits = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
             for part in slices(batch, 1, 4 << 20):
                 flat = [(k, i) for i, keys in enumerate(_keys(part.column(1), min_length)) for k in keys]
                 hashes = _hashes([k for k, _ in flat])
-                hit = np.arange(len(flat)) if bits is None or not flat else np.flatnonzero(_contains(bits, _bits(hashes, len(bits) * 8)))
+                hit = np.flatnonzero(_contains(bits, _bits(hashes, len(bits) * 8)))
                 ids, found = part.column(0).to_pylist(), {}
                 for j in hit:
                     key, i = flat[j]
@@ -157,10 +183,10 @@ def repeated_keys(docs: DataFrame, id_col: str, text_col: str, min_docs: int, mi
     wanted = max(MIN_FILTER_BITS, 8 * LINES_PER_DOCUMENT * docs.count())
     n_bits = 1 << (wanted - 1).bit_length()
     if n_bits <= MAX_FILTER_BITS:
-        rows = _by_key(docs, id_col, text_col, min_length, twice_seen_filter(docs, text_col, n_bits, min_length))
+        twice = twice_seen_filter(docs, text_col, n_bits, min_length)
     else:
-        suspects = save(range_suspects(docs, text_col, -(-n_bits // RANGE_BITS), min_length), "line-suspects")
-        rows = _by_key(docs, id_col, text_col, min_length, None).join(small(suspects, suspects.count(), BROADCAST_HASHES), "h", "left_semi")
+        twice = suspects_filter(save(range_suspects(docs, text_col, -(-n_bits // RANGE_BITS), min_length), "line-suspects"), MAX_FILTER_BITS)
+    rows = _by_key(docs, id_col, text_col, min_length, twice)
     return rows.groupBy("key").agg(F.first("h").alias("h"), F.sum("n").alias("n_docs"), F.min("first").alias("owner")).filter(F.col("n_docs") >= min_docs)
 
 
