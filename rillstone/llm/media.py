@@ -6,8 +6,9 @@ read back from the store; a digest that very many rows share is split over LANES
 payloads themselves never travel in the join. Positions and captions stay those of the parsed sequence.
 
 Defined cases: null payloads and texts are empty; null HTML is an empty sequence; references to unknown digests keep
-their place with null media; markup left open ends with the document; repeated rows resolve each; equal payloads have one
-entry per lane; an empty table gives an empty result.
+their place with null media; markup left open ends with the document; repeated rows resolve each; equal payloads have an
+entry in a lane for each writing task, and one in described(); rows with a null id share a lane; texts of any length are stored
+whole; columns of other names are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

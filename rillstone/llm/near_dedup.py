@@ -14,7 +14,9 @@ shingles of a set, up to the mass that two alike sets can leave unshared. Every
 least similarity meets there and is verified, whatever leaders were drawn.
 
 Defined cases: texts of 1 to 4 words have one shingle, all their words; texts without words are alike only when they are
-equal (null as empty); repeated rows share a class; a null id keeps its row; an empty table gives an empty result.
+equal (null as empty); texts of any length are read whole; repeated rows share a class; a null id keeps its row; ids may be of
+any type that has an order; ties go to the smallest id, then the smallest text key; columns of other names are not read, and
+keep_one() keeps them as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -158,7 +160,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array(reps, pa.binary()), pa.array([of.get(r) for r in reps], pa.list_(pa.int64()))], ["id", "k1", "k2", "rep", "bands"])
 
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long"), text, *text_key(text)).mapInArrow(run, "id long, k1 long, k2 long, rep binary, bands array<long>")
+    rows = docs.select(F.col(id_col).alias("id"), text, *text_key(text))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, k1 long, k2 long, rep binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -347,7 +350,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     who = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
     kept = save(rows.groupBy("comp").agg(F.min(who).alias("one")).select("one.id", "one.k1", "one.k2"), "kept")
     again = rows.groupBy("id", "k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").join(kept, (rows["id"].eqNullSafe(kept["id"])) & (rows["k1"] == kept["k1"]) & (rows["k2"] == kept["k2"]), "left_semi")
-    keyed = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_id"), *[k.alias(f"_{i}") for i, k in enumerate(text_key(F.col(text_col).cast("string")), 1)])
+    keyed = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_id"), *[k.alias(f"_{i}") for i, k in enumerate(text_key(F.col(text_col).cast("string")), 1)])
     left = keyed.join(kept, (keyed["_id"].eqNullSafe(kept["id"])) & (keyed["_1"] == kept["k1"]) & (keyed["_2"] == kept["k2"]), "left_semi")
     if not again.isEmpty():
         left = left.dropDuplicates(["_id", "_1", "_2"])

@@ -4,8 +4,9 @@ Documents become token pieces of at most max_tokens. The plan is best-fit decrea
 free space are one entry, so planning costs depend on max_tokens and never on the number of pieces. Pieces then take the
 planned slots by joining on their rank within their length; ranks of a frequent length are dealt out over salts.
 
-Defined cases: null and empty texts give one piece of the end id alone; repeated rows and repeated ids are packed each;
-an empty table gives an empty plan.
+Defined cases: null and empty texts give one piece of the end id alone; texts of any length are cut into pieces, read whole;
+repeated rows and repeated, null or text ids are packed each; pieces of one length are alike, and which of them takes which of
+its slots is not defined; columns of other names are not read; an empty table gives an empty plan.
 """
 
 from __future__ import annotations
@@ -127,10 +128,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                     for piece, start in enumerate(range(0, len(whole), 4 * max_tokens)):
                         cut = whole[start : start + 4 * max_tokens]
                         rows.append((doc_id, piece, start // 4, len(cut) // 4, cut))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                kinds = (part.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(encode, "doc_id long, piece int, start long, length long, ids binary")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string"))
+    return rows.mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids binary")
 
 
 def best_fit_plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:

@@ -1,7 +1,8 @@
-"""Removal of repeated byte strings by bucket-pointer refinement.
+"""Removal of repeated byte strings by buckets of q-grams, refined by the buckets at later offsets.
 
-The bucket of a position is the hash of the Q bytes that start there. Buckets are refined as in bucket-pointer suffix
-sorting: the refined bucket of a span is made of the bucket identifiers at its start and at later offsets, and only spans
+This is not bucket-pointer refinement to the letter: no bucket is sorted by later identifiers, and updated buckets are not
+used again (see the README for why). The bucket of a position is the hash of the Q bytes that start there. Buckets are refined from others:
+the refined bucket of a span is made of the bucket identifiers at its start and at later offsets, and only spans
 whose bucket still has another member are looked at again, at a finer step:
 
 1. every LENGTH-byte window is represented by the position in it whose bucket hash is least (leftmost on ties), which
@@ -17,7 +18,8 @@ A bucket has another member when the least and the largest of its occurrences (t
 so a string that a third of the corpus shares costs a row per task. Texts travel once per step, and only those concerned.
 
 Defined cases: null and empty texts have no windows; a text of fewer than LENGTH bytes keeps all; equal texts of at least
-LENGTH bytes lose all, repeated rows included; windows never cross documents; overlaps within a document count.
+LENGTH bytes lose all, repeated rows included; windows never cross documents; overlaps within a document count; ids may be
+null, repeated or of any type; columns of other names are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -231,7 +233,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, n_bytes, n_removed, n_spans, kept binary or null): kept is null where nothing was removed, so whole texts
     don't travel; restore() or a reader takes the document's own text there."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    keyed = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).select("id", "text", *text_key(F.col("text")))
+    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).select("id", "text", *text_key(F.col("text")))
     rows = save(keyed.select("id", "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "rows")
     texts = keyed.filter(F.octet_length("text") >= LENGTH).select("k1", "k2", "text")
     copied = save(rows.filter(F.col("n_bytes") >= LENGTH).groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k1", "k2"), "copied")

@@ -70,6 +70,16 @@ def test_line_dedup_by_ranges_of_hashes(docs, monkeypatch, bits):
     assert got == _lines_by_hand([(r["doc_id"], r["text"]) for r in docs.collect()], 3)
 
 
+def test_line_dedup_sends_suspects_alone(docs):
+    """By ranges of hashes too, the keys that leave a task are those that more than one document has, and few others."""
+    texts = [_utf8(r["text"]) for r in docs.collect()]
+    keys = Counter(k for t in texts for k in {line_dedup.line_key(x) for x in t.split(b"\n")} if k)
+    suspects = line_dedup.range_suspects(docs, "text", 4)
+    found = {bytes(r["key"]): r["n"] for r in line_dedup._by_key(docs.coalesce(1), "doc_id", "text", 1, line_dedup.suspects_filter(suspects, 1 << 20)).groupBy("key").agg(F.sum("n").alias("n")).collect()}
+    repeated = {k: n for k, n in keys.items() if n > 1}
+    assert {k: n for k, n in found.items() if n > 1} == repeated and len(found) <= len(repeated) + 0.01 * len(keys)
+
+
 def test_line_dedup_keeps_other_columns(odd, docs):
     got = line_dedup.without_repeated_lines(odd.withColumns({"n_lines": F.lit(1), "row": F.lit("r")}), min_docs=3)
     assert got.columns == [*odd.columns, "n_lines", "row"]
@@ -578,6 +588,15 @@ def test_queries_return_a_row_for_each(spark, name):
         assert rows == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
+def test_ids_of_text(spark, docs):
+    """Operators take ids of any type; results are those of the same rows with numbers."""
+    some = docs.filter("doc_id < 60")
+    named = some.withColumn("doc_id", F.format_string("%05d", "doc_id"))
+    for run in (lambda d: packing.pack_documents(d, VOCABULARY).select("doc_id", "piece", "length", "ids_crc32"), near_dedup.near_duplicate_classes, lambda d: near_dedup.keep_one(d).select("doc_id"), suffix_dedup.remove_repeats):
+        number = lambda r: tuple(int(x) if isinstance(x, str) and len(x) == 5 and x.isdigit() else x for x in r)
+        assert Counter(map(number, run(named).collect())) == Counter(map(tuple, run(some).collect()))
+
+
 def test_empty_tables(none):
     assert line_dedup.drop_repeated_lines(none).count() == 0
     assert packing.pack_documents(none, VOCABULARY).count() == 0
