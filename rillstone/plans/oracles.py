@@ -178,6 +178,12 @@ ORACLES = {
     "q_mapped_audit": f"{RESOLVED}, x AS (SELECT doi, count(*) OVER (PARTITION BY lower(coalesce(doi, '')), lower(trim(chemical_name)), lower(trim(medium)), lower(location)) AS n FROM v) SELECT count(*) AS total, count(*) FILTER (WHERE doi IS NOT NULL AND n = 1) AS approved, count(*) FILTER (WHERE doi IS NOT NULL AND n > 1) AS needs_review, count(*) FILTER (WHERE doi IS NULL) AS rejected FROM x",
     "q_benchmark_doi_reuse": f"{RESOLVED} SELECT row_id, doi FROM v WHERE doi = '10.1021/benchmark'",
     "q_reconcile": f"{with_views('r5')} SELECT row_id, CAST(1 AS BIGINT) AS n_in, CAST(CASE WHEN row_id % 97 = 5 THEN 0 ELSE 2 END AS BIGINT) AS n_out FROM r5 WHERE row_id % 97 = 5 OR row_id % 89 = 3",
+    "q_reconcile_by_difference": f"{with_views('r5')} SELECT row_id, CAST(1 AS BIGINT) AS n_in, CAST(CASE WHEN row_id % 97 = 5 THEN 0 ELSE 2 END AS BIGINT) AS n_out FROM r5 WHERE row_id % 97 = 5 OR row_id % 89 = 3",
+    "q_route_many_aliases": """
+        WITH l AS (SELECT concat_ws('/', 'Batch', source, lang) AS label, count(*) AS n FROM documents GROUP BY 1),
+        a AS (SELECT c_custkey AS k, '_src' || (c_custkey % 9) || '_' || (['en', 'de', 'fr', 'es', 'xx'])[c_custkey % 5 + 1] || '_' AS words FROM customer),
+        m AS (SELECT label, min(k) AS k FROM l JOIN a ON contains('_' || regexp_replace(lower(label), '[^a-z0-9]+', '_', 'g') || '_', words) GROUP BY 1)
+        SELECT label, coalesce('book' || k, 'generic') AS rulebook, n FROM l LEFT JOIN m USING (label)""",
     "q_release_rows": f"{AUDIT} SELECT row_number, doi, validation_status FROM a WHERE validation_status = 'approved'",
     "q_release_gate": f"{AUDIT} SELECT 'all' AS kind, count(*) AS not_approved, false AS passed FROM a WHERE validation_status <> 'approved' UNION ALL SELECT 'approved', CAST(0 AS BIGINT), true",
     "q_release_exclusions": f"{AUDIT} SELECT validation_status, note, count(*) AS n FROM (SELECT validation_status, unnest(string_split(notes, '; ')) AS note FROM a WHERE validation_status <> 'approved') GROUP BY 1, 2",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rillstone.functions import keys
 from rillstone.functions.fields import alias, as_rows, identity_text, present
-from rillstone.operators import batches, context, contracts, provenance, release, ruled, summarize, validate
+from rillstone.operators import batches, context, contracts, provenance, reconcile, release, ruled, summarize, validate
 from rillstone.plans import rulebook as rb
 from rillstone.plans.views import view
 from rillstone.sources import payloads, records
@@ -26,7 +26,7 @@ LABELS = ["nature_geoscience_waters", "science_advances ocean", "EST TFA rebuild
 
 
 def query(f):
-    QUERIES[f"q_{f.__name__}"] = f
+    QUERIES[f"q_{f.__name__.rstrip('_')}"] = f
     return f
 
 
@@ -142,6 +142,15 @@ def variant_columns(spark, sf):
     return rows.select("batch", "row_number", F.round("value_numeric", 6).alias("value_numeric"), "trend_direction", "reference_resolution_status", "absent")
 
 
+@query
+def route_many_aliases(spark, sf):
+    """Labels made of the documents' sources and languages, routed by an alias for each customer, most of them never met."""
+    aliases = spark.read.parquet(f"{sf}/customer.parquet").select(C("c_custkey").cast("int").alias("alias_ord"), F.concat(F.lit("src"), (C("c_custkey") % 9).cast("string"), F.lit(" "), F.element_at(F.array(*map(F.lit, ("en", "de", "fr", "es", "xx"))), (C("c_custkey") % 5 + 1).cast("int"))).alias("alias"), F.concat(F.lit("book"), C("c_custkey").cast("string")).alias("rulebook"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.concat_ws("/", F.lit("Batch"), "source", "lang").alias("label"))
+    routed = rb.route_by_label(docs, F.array("label"), aliases=aliases)
+    return routed.groupBy("label", "rulebook").agg(F.count("*").alias("n"))
+
+
 @query
 def rule_table(spark, sf):
     default = rb.rule_table(spark, [rb.GENERIC])
@@ -542,12 +551,20 @@ def benchmark_doi_reuse(spark, sf):
 
 
 @query
-def reconcile(spark, sf):
+def reconcile_(spark, sf):
     source = view(spark, sf, "r5")
     kept = _resolved(spark, sf).filter("row_id % 97 <> 5")
     return contracts.reconciled(source, kept.unionByName(kept.filter("row_id % 89 = 3")), "row_id")
 
 
+@query
+def reconcile_by_difference(spark, sf):
+    """The same by lookup tables of the difference."""
+    source = view(spark, sf, "r5")
+    kept = _resolved(spark, sf).filter("row_id % 97 <> 5")
+    return reconcile.reconciled_by_difference(source, kept.unionByName(kept.filter("row_id % 89 = 3")), "row_id")
+
+
 # Release
 
 

@@ -82,20 +82,41 @@ def with_defaults(custom: DataFrame, default: DataFrame) -> DataFrame:
     return custom.unionByName(rest.join(kinds, ["rulebook", "rule_kind"], "left_anti"))
 
 
-def route_by_label(batches: DataFrame, probes: Column, to: str = "rulebook", substring: bool = False) -> DataFrame:
-    """batches with the rulebook whose alias is first found in the probes (an array, in order), else generic.
+def alias_table(spark: SparkSession, aliases: list[tuple[str, str]] = ALIASES) -> DataFrame:
+    """(alias_ord, alias, rulebook) in the order in which they are tried."""
+    return spark.createDataFrame([(i, a, r) for i, (a, r) in enumerate(aliases)], "alias_ord int, alias string, rulebook string")
+
+
+def _worded(text: Column) -> Column:
+    """A text's words, runs of a-z and 0-9 of its lower case, each with _ on both sides."""
+    return F.concat(F.lit("_"), F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), F.lit("_")), F.lit("_"))
+
+
+def alias_index(aliases: DataFrame) -> DataFrame:
+    """(token, alias_ord, worded, rulebook): each alias under the one of its words that fewest aliases have."""
+    worded = aliases.select("alias_ord", _worded(F.col("alias")).alias("worded"), "rulebook").filter("worded <> '__'")
+    each = worded.withColumn("token", F.explode(F.array_distinct(F.split(F.trim("worded", F.lit("_")), "_"))))
+    rare = each.join(each.groupBy("token").agg(F.count("*").alias("n")), "token")
+    return rare.groupBy("alias_ord", "worded", "rulebook").agg(F.min(F.struct("n", "token")).alias("r")).select("r.token", "alias_ord", "worded", "rulebook")
+
+
+def route_by_label(batches: DataFrame, probes: Column, to: str = "rulebook", substring: bool = False, aliases: DataFrame | None = None) -> DataFrame:
+    """batches with the rulebook whose alias is first found in the probes (an array, in order), else generic. aliases:
+    (alias_ord, alias, rulebook), any number of them.
 
     By default an alias must be a run of whole words of the probe, so that "geoscience" is no "science" and "latest" no
-    "est"; substring takes any occurrence.
+    "est": probes meet aliases by a word, in a plain join. substring takes any occurrence, and tries every alias.
     """
-    spark = batches.sparkSession
-    names = spark.createDataFrame([(i, a, r) for i, (a, r) in enumerate(ALIASES)], "alias_ord int, alias string, _book string")
+    aliases = alias_table(batches.sparkSession) if aliases is None else aliases
     rows = batches.withColumn("_probes", probes)
-    distinct = rows.select("_probes").distinct()
-    each = distinct.select("_probes", F.posexplode("_probes").alias("_p", "_probe"))
-    low = F.lower(F.col("_probe"))
-    fits = F.contains(low, F.col("alias")) if substring else F.concat(F.lit("_"), F.regexp_replace(low, "[^a-z0-9]+", "_"), F.lit("_")).contains(F.concat(F.lit("_"), F.col("alias"), F.lit("_")))
-    hit = each.join(F.broadcast(names), fits).groupBy("_probes").agg(F.min_by("_book", F.struct("_p", "alias_ord")).alias("_book"))
+    each = rows.select("_probes").distinct().select("_probes", F.posexplode("_probes").alias("_p", "_probe"))
+    if substring:
+        met = each.join(F.broadcast(aliases), F.contains(F.lower("_probe"), F.col("alias")))
+    else:
+        worded = each.withColumn("_worded", _worded(F.col("_probe")))
+        tokens = worded.withColumn("token", F.explode(F.array_distinct(F.split(F.trim("_worded", F.lit("_")), "_"))))
+        met = tokens.join(alias_index(aliases), "token").filter(F.contains("_worded", F.col("worded")))
+    hit = met.groupBy("_probes").agg(F.min_by("rulebook", F.struct("_p", "alias_ord")).alias("_book"))
     return rows.join(hit, "_probes", "left").withColumn(to, F.coalesce("_book", F.lit("generic"))).drop("_probes", "_book")
 
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.operators import batches, context, provenance, release, ruled, validate
+from rillstone.operators import batches, context, contracts, provenance, reconcile, release, ruled, validate
 from rillstone.plans import rulebook as rb
 from rillstone.plans.views import view
 from rillstone.sources import array_scan, commits, payloads, records, scratch
@@ -288,3 +288,46 @@ def test_scratch_where_no_folder_is_named():
     Context.master = "spark://host:7077"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.shared_path(Session())
+
+
+# Reconciliation and routing
+
+
+@pytest.mark.parametrize(("n", "cells"), [(0, 8), (3, 8), (40, 64), (900, 64), (900, 4096)])
+def test_reconciliation_by_difference(spark, monkeypatch, n, cells):
+    rng = random.Random(n)
+    keys = [None if k == 0 else f"key{k}" for k in range(1500)]
+    copies = {k: rng.choice([0, 2, 3]) for k in rng.sample(keys, n)} | ({"only out": 2} if n else {})
+    source = spark.createDataFrame([(k, "x") for k in keys] + [("key7", "y")], "k string, v string")
+    output = spark.createDataFrame([(k,) for k in [*keys, "only out"] for _ in range(copies.get(k, 2 if k == "key7" else k != "only out"))], "k string")
+    full = []
+    monkeypatch.setattr(reconcile, "reconciled", lambda a, b, key, of=reconcile.reconciled: full.append(a.count()) or of(a, b, key))
+    got = Counter(tuple(r) for r in reconcile.reconciled_by_difference(source, output, "k", cells).collect())
+    assert got == Counter(tuple(r) for r in contracts.reconciled(source, output, "k").collect())
+    assert (full[0] > 1000) == (n == 900 and cells == 64)  # joined in full only where the cells do not do
+
+
+def test_fifty_thousand_aliases(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    aliases = [(i, " ".join(rng.choices(words, k=rng.randint(1, 3))) if i else "", f"book{i}") for i in range(50_000)]
+    labels = ["/".join(rng.choices([*words, "W1-x", "none"], k=rng.randint(0, 6))) for _ in range(60)] + ["", "?!", "w1w2", "xw1"]
+    df = spark.createDataFrame([([a, b],) for a, b in zip(labels, labels[::-1], strict=True)], "probes array<string>")
+    table = spark.createDataFrame(aliases, "alias_ord int, alias string, rulebook string")
+    routed = rb.route_by_label(df, F.col("probes"), aliases=table)
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    at = {}
+    for i, a, book in aliases:
+        if a:
+            at.setdefault(tuple(a.split()), (i, book))
+
+    def by_hand(probes):
+        for p in probes:
+            own = [w for w in "".join(c if c.isalnum() else " " for c in p.lower()).split()]
+            hits = [at[t] for k in range(len(own)) for n in (1, 2, 3) if (t := tuple(own[k : k + n])) in at and len(t) == n]
+            if hits:
+                return min(hits)[1]
+        return "generic"
+
+    assert [r["rulebook"] for r in routed.orderBy("probes").collect()] == [by_hand(p) for p in sorted([a, b] for a, b in zip(labels, labels[::-1], strict=True))]
