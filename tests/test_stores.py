@@ -16,6 +16,7 @@ from rillstone.plans import rulebook as rb
 from rillstone.plans.views import view
 from rillstone.sources import array_scan, commits, payloads, records, scratch
 from rillstone.sources.stored import StoredTable
+from rillstone.streaming.audit import audit_stream
 
 from .conftest import SF
 
@@ -331,3 +332,21 @@ def test_fifty_thousand_aliases(spark):
         return "generic"
 
     assert [r["rulebook"] for r in routed.orderBy("probes").collect()] == [by_hand(p) for p in sorted([a, b] for a, b in zip(labels, labels[::-1], strict=True))]
+
+
+def test_stream_counts_identities_across_batches(spark, tmp_path):
+    rows = view(spark, SF, "r1").filter("row_number <= 120").withColumn("doi", F.concat(F.lit("10.1/"), F.col("row_number") % 50))
+    same = {c: F.lit("x") for c in ("pollutant_group", "matrix", "geographic_scope", "temporal_window")}
+    rows = scratch.written(rows.withColumns(same))
+    for k in range(3):
+        rows.filter(F.col("row_number") % 3 == k).coalesce(1).write.json(f"file://{tmp_path}/part{k}")
+        (tmp_path / "in").mkdir(exist_ok=True)
+        next((tmp_path / f"part{k}").glob("part-*.json")).rename(tmp_path / "in" / f"{k}.json")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    store = StoredTable(spark, f"file://{tmp_path}/ids", "digest", 4)
+    audit_stream(spark, f"file://{tmp_path}/in", ddl, rb.GENERIC, f"file://{tmp_path}/out", f"file://{tmp_path}/check", store, max_files=1).awaitTermination()
+    whole, became = spark.read.parquet(f"file://{tmp_path}/out"), spark.read.parquet(f"file://{tmp_path}/out-became")
+    assert whole.select("epoch").distinct().count() == 3 and became.count() > 0
+    columns = ["row_number", "validation_status", "validation_notes"]
+    got = batches.with_later_duplicates(whole, became.drop("epoch"), rb.GENERIC).select(*columns)
+    assert Counter(map(str, got.collect())) == Counter(map(str, validate.audit(rows, rb.GENERIC).select(*columns).collect()))
