@@ -31,6 +31,8 @@ MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 16, 1 << 28
 #: Bits of one range's filters; bits for each suspect in the filter of all.
 RANGE_BITS, SUSPECT_BITS = 1 << 26, 12
 CHUNK_BYTES = 1 << 14
+#: Tasks that each build a pair of filters.
+MOST_LANES = 64
 HASHES = 3
 #: Confirmed keys up to so many bytes go to the executors as one set; beyond it they are joined.
 BROADCAST_KEY_BYTES = 16 << 20
@@ -89,8 +91,9 @@ def twice_seen_filter(docs: DataFrame, text_col: str, n_bits: int, min_length: i
         if once is not None:
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "twice": [twice.tobytes()]})
 
-    # One pair of filters per task: fewer, longer tasks keep their number to the cluster's cores, whatever the input.
-    lanes = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    # One pair of filters per task, 32 bytes a document each: MOST_LANES of them are less than a document's text. Filters
+    # of this kind are for some millions of documents at most, so a task's share of them is small, too.
+    lanes = min(MOST_LANES, 2 * docs.sparkSession.sparkContext.defaultParallelism)
     texts = docs.select(F.col(text_col).cast("binary").alias("text")).coalesce(lanes)
     parts = texts.mapInArrow(build, "chunk int, once binary, twice binary")
     merged = np.zeros(n_bits // 8, np.uint8)
