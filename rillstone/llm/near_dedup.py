@@ -302,6 +302,12 @@ def _across(at: DataFrame, k: int, least: float) -> DataFrame:
     return both.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"))
 
 
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of those found and further links: a star for each component stands for the links that made it."""
+    a, b = links.columns
+    return components(found.filter("node <> comp").select(F.col("node").alias(a), F.col("comp").alias(b)).unionByName(links))
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataFrame:
     """(id, k1, k2, rep, comp), one row per document; comp is the component that verified links make."""
     rows = save(sketches(docs, id_col, text_col), "sketches")
@@ -310,8 +316,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
     one = rows.join(members.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.min(F.struct("k1", "k2")).alias("k"))
     sets = save(shingle_sets(docs, text_col, save(one.select("k.k1", "k.k2", "rep"), "wanted")), "sets")
     pairs = save(_with_leaders(members).distinct(), "pairs")
-    links = save(verified(pairs, sets, least), "links")
-    found = save(components(links), "components")
+    found = save(components(save(verified(pairs, sets, least), "links")), "components")
     apart = sets.join(_still_mixed(members, found), "rep", "left_semi")
     costs = save(_costs(apart).filter(F.col("cost") <= 1 / least), "costs")
     strict = save(sets.join(costs, "rep", "left_semi").mapInArrow(_strict_sketches, "rep binary, bucket array<long>, bits array<long>"), "strict")
@@ -323,15 +328,14 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
         new = save(verified(more, sets, least), "links")
         pairs = pairs.unionByName(more)
         if not new.isEmpty():
-            links = links.unionByName(new)
-            found = save(components(links), "components")
+            found = save(_merged(found, new), "components")
         elif k:
             break
     apart = apart.join(_still_mixed(members, found), "rep", "left_semi").join(costs, "rep", "left_semi")
     rest = save(_prefix_pairs(save(apart, "apart"), strict.select("rep", "bits"), found, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
     new = save(verified(rest, sets, least), "links")
     if not new.isEmpty():
-        found = save(components(links.unionByName(new)), "components")
+        found = save(_merged(found, new), "components")
     comps = found.select(F.col("node").alias("rep"), "comp")
     return save(rows.drop("bands").join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "classes")
 
