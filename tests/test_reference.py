@@ -166,6 +166,14 @@ def test_enrichment_keeps_rows_and_joins_url_dois(spark):
     assert got[1]["context"]["crossref"] is None and got[1]["context"]["world_bank"]["indicators"] == {}
 
 
+def test_a_view_that_multiplies_rows_spreads_one_file_over_tasks(spark, tmp_path):
+    spark.range(60_000).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(f"file://{tmp_path}/customer.parquet")
+    series = view(spark, f"file://{tmp_path}", "d3")
+    assert series.count() == 15 * 60_000
+    assert max(r["n"] for r in series.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()) < 15 * 30_000
+    assert context.latest_indicators(series).count() == 3 * 60_000
+
+
 def test_publish_refuses_and_lists(spark, tmp_path):
     audited = validate.audit(view(spark, SF, "r1"), rb.GENERIC)
     good = release.release_rows(audited).select("row_number", "doi", "paper_title", "validation_status")
