@@ -174,6 +174,14 @@ def test_a_view_that_multiplies_rows_spreads_one_file_over_tasks(spark, tmp_path
     assert context.latest_indicators(series).count() == 3 * 60_000
 
 
+def test_a_bundle_audits_its_records_once(spark, monkeypatch):
+    given = []
+    publish = release.publish_bundle
+    monkeypatch.setattr(release, "publish_bundle", lambda root, tag, tables: given.append(tables) or publish(root, tag, tables))
+    queries.QUERIES["q_bundle_completeness"](spark, SF).collect()
+    assert len(given) == 1 and not any("events.parquet" in f for df in given[0].values() if df is not None for f in df.inputFiles())
+
+
 def test_publish_refuses_and_lists(spark, tmp_path):
     audited = validate.audit(view(spark, SF, "r1"), rb.GENERIC)
     good = release.release_rows(audited).select("row_number", "doi", "paper_title", "validation_status")
