@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -90,12 +91,16 @@ def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 1 << 20, most_r
 
 
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """run for mapInArrow; when its task ends, what Arrow has freed goes back to the system, as Python workers are used again."""
+    """run for mapInArrow; when its task ends, what Arrow and the C library have freed goes back to the system, as Python workers are
+    used again."""
 
     @wraps(run)
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+        if trim:
+            trim(0)
 
     return tidied
 

@@ -30,7 +30,7 @@ RANKED_ROWS = 50_000
 PLAN_ROWS = 200_000
 #: Words that each of two generations remembers, and the characters of the longest.
 CACHE_WORDS, CACHED_LENGTH = 60_000, 48
-JOINED_WORDS, ENCODED_BYTES = 4096, 6 << 20
+JOINED_WORDS, ENCODED_BYTES = 4096, 3 << 20
 CLOSING = r"(\pL)([.,;:!?]+)([ \n]|$)"
 
 
@@ -90,18 +90,25 @@ class WordEncoder:
         """The ids of each text; null counts as empty."""
         texts = texts.fill_null("")
         special = pc.match_substring(texts, "<|")
-        low = pc.ascii_lower(pc.if_else(special, "", texts))
-        apart = pc.replace_substring_regex(low, CLOSING, r"\1 \2\3")
-        split = pc.split_pattern(pc.replace_substring(apart, "\n", " "), " ")
-        coded = split.flatten().dictionary_encode()
+        plain = pc.ascii_lower(pc.if_else(special, "", texts))  # each step's texts are freed by the next
+        plain = pc.replace_substring_regex(plain, CLOSING, r"\1 \2\3")
+        plain = pc.replace_substring(plain, "\n", " ")
+        plain = pc.split_pattern(plain, " ")
+        first = plain.offsets.to_numpy() - plain.offsets[0].as_py()
+        coded = plain.flatten().dictionary_encode()
+        del plain
         values = self._parts(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        ids, start = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size) - size
+        size = np.fromiter(map(len, values), np.int32, len(values)) // 4
+        ids, start = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size, dtype=np.int32) - size
         code = coded.indices.to_numpy()
+        del coded, values
         n = size[code]
-        ends = np.concatenate(([0], np.cumsum(n)))
-        raw = ids[np.repeat(start[code] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
-        at = (ends[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
+        ends = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+        place = np.repeat(start[code] - ends[:-1].astype(np.int32), n)  # an Arrow text, and so its ids, are fewer than 2^31
+        place += np.arange(ends[-1], dtype=np.int32)
+        raw = ids[place].tobytes()
+        del place, n, code
+        at = (ends[first] * 4).tolist()
         out = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
         for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
             out[i] = self._each([texts[i].as_py()])[0]
