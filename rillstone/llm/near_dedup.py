@@ -11,7 +11,8 @@ still hold several components are banded a second time, with stricter bands, unl
 rule every partner out (an exact bound); there they are compared with leaders of other components, a few rounds long.
 Leaders only save comparisons. What still shares a bucket of several components is joined on prefixes: the rarest
 shingles of a set, up to the mass that two alike sets can leave unshared. Every pair of these sets that reaches the
-least similarity meets there and is verified, whatever leaders were drawn.
+least similarity meets there and is verified, whatever leaders were drawn; parities of their shingles, an exact bound, and
+sketches rule most of the others out.
 
 Defined cases: texts of 1 to 4 words have one shingle, all their words; texts without words are alike only when they are
 equal (null as empty); texts of any length are read whole; repeated rows share a class; a null id keeps its row; ids may be of
@@ -48,6 +49,9 @@ LEADER_ROUNDS = 2
 #: (1 + J_P) / 2; a pair is left out only if it agrees on SIGMAS standard deviations fewer bits than a pair of the least
 #: similarity is expected to (a pair of just that similarity is lost with probability 0.0000034).
 SKETCH_WORDS, SIGMAS = 20, 4.5
+#: Beside it a set has marks: as many bits, each the parity of the number of its shingles that fall there. A shingle that one set
+#: alone has changes one bit, so two sets hold at least as many unshared shingles as their marks differ in bits.
+MARKS = 64 * SKETCH_WORDS
 #: Holders of a shingle that one lane of the prefix join takes, and what rounding may add to a bound.
 LANE_ROWS, ROUNDING = 2_000, 1e-9
 _U = np.uint64
@@ -203,6 +207,12 @@ def sketch_bits(holds: np.ndarray) -> np.ndarray:
     return np.packbits(drawn.astype(np.uint8), axis=1, bitorder="little").view("<i8")
 
 
+def parity_marks(shingles: np.ndarray) -> np.ndarray:
+    """The marks of a set, as 64-bit words."""
+    odd = np.bincount((mix(shingles ^ _U(0x5851F42D4C957F2D)) % _U(MARKS)).astype(np.int64), minlength=MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 @tidy
 def _strict_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -210,15 +220,25 @@ def _strict_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             sets = [_unpacked(x) for x in part.column(1).to_pylist()]
             holds = prob_min_hash([x[0] for x in sets], [x[1] for x in sets], STRICT_BANDS * STRICT_ROWS)
             keys = band_keys(holds, STRICT_BANDS, STRICT_ROWS)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys.tolist(), pa.list_(pa.int64())), pa.array(sketch_bits(holds).tolist(), pa.list_(pa.int64()))], ["rep", "bucket", "bits"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys.tolist(), pa.list_(pa.int64())), pa.array(sketch_bits(holds).tolist(), pa.list_(pa.int64())), pa.array([parity_marks(x[0]).tolist() for x in sets], pa.list_(pa.int64())), pa.array([float(x[1].sum() / x[1].min()) for x in sets])], ["rep", "bucket", "bits", "marks", "extent"])
+
+
+def _differing(x: str, y: str) -> Column:
+    return reduce(add, [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH_WORDS)])
 
 
 def _agree(x: str, y: str, least: float) -> Column:
     """Whether two sketches agree on as many bits as a pair of the least similarity may."""
     n, p = 64 * SKETCH_WORDS, (1 + least) / 2
-    most = n * (1 - p) + SIGMAS * (n * p * (1 - p)) ** 0.5
-    differ = reduce(add, [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH_WORDS)])
-    return differ <= int(most)
+    return _differing(x, y) <= int(n * (1 - p) + SIGMAS * (n * p * (1 - p)) ** 0.5)
+
+
+def _marks_allow(least: float) -> Column:
+    """Whether the marks of two sets let them be alike; exact. Of a set of extent e, the inverse of its smallest mass, a shingles
+    that it alone has are a mass of a / e at least, and cost e / (e - a) (see _costs). For d such shingles in both sets, however
+    they fall on them, the costs add up to (sqrt(e) + sqrt(x_e))^2 / (e + x_e - d) at least."""
+    shared = F.col("extent") + F.col("x_extent") - _differing("x_marks", "marks")
+    return (F.sqrt("extent") + F.sqrt("x_extent")) * (F.sqrt("extent") + F.sqrt("x_extent")) <= shared * (1 / least + 1 + ROUNDING)
 
 
 def _members(banded: DataFrame) -> DataFrame:
@@ -268,13 +288,14 @@ def _costs(sets: DataFrame) -> DataFrame:
     return sets.select("rep").join(alone, "rep", "left").select("rep", F.when(F.col("u") > 0.999, F.lit(1000.0)).otherwise(1 / (1 - F.coalesce("u", F.lit(0.0)))).alias("cost"))
 
 
-def _prefix_pairs(sets: DataFrame, bits: DataFrame, found: DataFrame, least: float) -> DataFrame:
+def _prefix_pairs(sets: DataFrame, strict: DataFrame, found: DataFrame, least: float) -> DataFrame:
     """(a, b): a superset of the pairs of sets, of different components, whose similarity is at least least.
 
     Sets list their shingles in one order, rarest first. At the first shingle that two sets share, the mass that stands
     before it is unshared in both, so the bound of _costs holds for that mass: cost + cost is at most 1 / least + 1, and the
-    cheaper side pays at most half of it. Sets without repeated shingles also differ in size by at most the factor least, and
-    sketches (rep, bits) rule most of the rest out."""
+    cheaper side pays at most half of it. Sets without repeated shingles also differ in size by at most the factor least.
+    Marks rule most of the rest out where sets have some hundred shingles, sketches where they have more: of strict, (rep, bits,
+    marks, extent)."""
     most, half = 1 / least + 1 + ROUNDING, (1 / least + 1) / 2 + ROUNDING
     rows = _shingle_rows(sets)
     rarest = Window.partitionBy("rep").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
@@ -283,12 +304,12 @@ def _prefix_pairs(sets: DataFrame, bits: DataFrame, found: DataFrame, least: flo
     at = save(_mixed(prefix, found), "prefixes")
     shared = at.groupBy("shingle").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cost").alias("cheapest"))
     shared = shared.filter((F.col("lo") != F.col("hi")) & (F.col("cheapest") <= half)).select("shingle", F.ceil(F.col("n") / LANE_ROWS).cast("int").alias("lanes"))
-    at = at.join(shared, "shingle").join(bits, "rep")
-    x = at.filter(F.col("cost") <= half).select("shingle", F.pmod(F.xxhash64("rep"), "lanes").cast("int").alias("lane"), *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "cost", "size", "bits")])
-    y = at.select("shingle", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), "rep", "comp", "cost", "size", "bits")
+    at = at.join(shared, "shingle").join(strict.select("rep", "bits", "marks", "extent"), "rep")
+    x = at.filter(F.col("cost") <= half).select("shingle", F.pmod(F.xxhash64("rep"), "lanes").cast("int").alias("lane"), *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "cost", "size", "bits", "marks", "extent")])
+    y = at.select("shingle", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), "rep", "comp", "cost", "size", "bits", "marks", "extent")
     near = (F.col("size") == 0) | (F.col("x_size") == 0) | (F.least("size", "x_size") >= F.greatest("size", "x_size") * least - ROUNDING)
     once = (F.col("cost") > half) | (F.col("x_rep") < F.col("rep"))
-    both = x.join(y, ["shingle", "lane"]).filter((F.col("comp") != F.col("x_comp")) & (F.col("cost") + F.col("x_cost") <= most) & near & once & _agree("x_bits", "bits", least))
+    both = x.join(y, ["shingle", "lane"]).filter((F.col("comp") != F.col("x_comp")) & (F.col("cost") + F.col("x_cost") <= most) & near & once & _marks_allow(least) & _agree("x_bits", "bits", least))
     return both.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
 
 
@@ -319,7 +340,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
     found = save(components(save(verified(pairs, sets, least), "links")), "components")
     apart = sets.join(_still_mixed(members, found), "rep", "left_semi")
     costs = save(_costs(apart).filter(F.col("cost") <= 1 / least), "costs")
-    strict = save(sets.join(costs, "rep", "left_semi").mapInArrow(_strict_sketches, "rep binary, bucket array<long>, bits array<long>"), "strict")
+    strict = save(sets.join(costs, "rep", "left_semi").mapInArrow(_strict_sketches, "rep binary, bucket array<long>, bits array<long>, marks array<long>, extent double"), "strict")
     again = _members(strict.select("rep", F.explode("bucket").alias("bucket")))
     for k in range(LEADER_ROUNDS):
         at = _mixed(again, found).join(costs, "rep")
@@ -332,7 +353,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
         elif k:
             break
     apart = apart.join(_still_mixed(members, found), "rep", "left_semi").join(costs, "rep", "left_semi")
-    rest = save(_prefix_pairs(save(apart, "apart"), strict.select("rep", "bits"), found, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    rest = save(_prefix_pairs(save(apart, "apart"), strict, found, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
     new = save(verified(rest, sets, least), "links")
     if not new.isEmpty():
         found = save(_merged(found, new), "components")

@@ -408,6 +408,47 @@ def test_near_pairs_hidden_in_a_template(spark):
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == {i: i - i % 2 for i in range(800)}
 
 
+def _prefix_join(spark, texts):
+    """The pairs of the prefix join over the texts, as indices, and their sets."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shingler = near_dedup.Shingler()
+    words = [shingler.words(t) for t in texts]
+    of = {near_dedup.representative(t, w): i for i, (t, w) in enumerate(zip(texts, words, strict=True))}
+    wanted = near_dedup.sketches(df, "doc_id", "text").select("k1", "k2", "rep")
+    sets = near_dedup.shingle_sets(df, "text", wanted).cache()
+    strict = sets.mapInArrow(near_dedup._strict_sketches, "rep binary, bucket array<long>, bits array<long>, marks array<long>, extent double")
+    pairs = near_dedup._prefix_pairs(sets, strict, spark.createDataFrame([], "node binary, comp binary"), 0.8)
+    return {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in pairs.collect()}, [shingler.shingles(w) for w in words]
+
+
+def test_texts_that_are_almost_alike_are_ruled_out_before_they_meet(spark):
+    """Each text changes 5 of 15 words of a template, no two more than 3 of the same; those that share 3 are 0.76 alike."""
+    chosen = []
+    for some in itertools.combinations(range(15), 5):
+        if len(chosen) < 150 and all(len({*some} & c) < 4 for c in chosen):
+            chosen.append({*some})
+    got, sets = _prefix_join(spark, [" ".join(f"a{k // 10}" if k % 10 == 5 and k // 10 in c else f"t{k}" for k in range(150)) for c in chosen])
+    likest = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if len(chosen[a] & chosen[b]) == 3]
+    assert len(likest) > 1_000 and 0.75 < near_dedup.similarity(sets[likest[0][0]], sets[likest[0][1]]) < 0.77
+    assert len(got) < 100
+
+
+def test_prefix_join_keeps_every_alike_pair(spark):
+    """Sets of all sizes, some with repeated shingles, around the least similarity."""
+    rng, texts = np.random.default_rng(7), []
+    for n in (9, 40, 150, 700, 2500):
+        for repeated in (0, 1, 3):
+            template = [f"t{n}r{repeated}x{i}" for i in range(n)]
+            for _ in range(6):
+                at, cut = int(rng.integers(0, n)), int(rng.integers(0, n // 9 + 1))
+                text = template[:at] + [f"u{rng.integers(1 << 40)}" for _ in range(cut)] + template[at + int(rng.integers(0, cut + 1)) :]
+                texts.append(" ".join(text + text[: n // 3] * repeated))
+    texts = list(dict.fromkeys(texts))
+    got, sets = _prefix_join(spark, texts)
+    alike = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if near_dedup.similarity(sets[a], sets[b]) >= 0.8}
+    assert len(alike) > 60 and alike <= got
+
+
 def test_keep_one(odd):
     kept = near_dedup.keep_one(odd)
     assert kept.columns == odd.columns
